@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pacewright.llm.decontamination import contamination
 from pacewright.llm.near_duplicates import near_duplicates
 
+from pacewright.llm.toxicity import score_texts, train
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -17,8 +20,18 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = score_texts(docs, train(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "held_out", "score", "predicted", "passages")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_near_duplicates,)}
+    return {f.__name__: f for f in (op3_near_duplicates, op8_decontamination, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -25,14 +25,14 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_folder(spark).rstrip('/')}/pacewright-{uuid.uuid4().hex}"
-        self.paths: dict[int, str] = {}
+        self.made = 0
 
     def save(self, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{len(self.paths):03d}"
+        path = f"{self.root}/{self.made:03d}"
+        self.made += 1
         df.write.parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(kept)] = path
-        kept._scratch = self  # keeps id() unique while the table lives
+        kept._scratch_path = path
         return kept
 
     def drop(self, *tables: DataFrame) -> None:
@@ -40,5 +40,5 @@ class Scratch:
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for df in tables:
-            path = jvm.org.apache.hadoop.fs.Path(self.paths[id(df)])
+            path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
             path.getFileSystem(conf).delete(path, True)
