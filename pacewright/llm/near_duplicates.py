@@ -8,8 +8,9 @@
    document frequency). Values of very common passages are rarely among these.
 3. A list links its members to a hub, the member with the most shared values, not to each other.
    Pairs whose union-sketch estimate is far below the threshold go; the rest are verified on full
-   sets. Members of different components then meet in further rounds: with the next hub, and
-   finally all that are left, so that no link is lost.
+   sets. Where members of one hub are still in different components, blocks of them are compared
+   on full sets inside tasks, which return links only, so that no link is lost and no table of
+   all pairs is made.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from pacewright.llm.components import components
 from pacewright.llm.scratch import Scratch
@@ -31,6 +31,8 @@ SHINGLE = 5
 #: binomial count of 128 with mean 96 is below 66 less than once in 10^9 pairs.
 K, LEAST_OVERLAP = 128, 66
 NUMERATOR, DENOMINATOR = 3, 4
+#: Documents of a block: two blocks are compared in a task.
+BLOCK = 128
 _MULTIPLIERS = [pow(0xD1342543DE82EF95, j + 1, 1 << 64) for j in range(SHINGLE)]
 
 
@@ -134,7 +136,51 @@ def _verify(scratch: Scratch, pairs: DataFrame, reps: DataFrame, docs: DataFrame
     return scratch.save(linked)
 
 
-def near_duplicates(docs: DataFrame, k: int = K, hub_rounds: int = 2) -> DataFrame:
+def _compare(cell: pa.Table) -> pa.Table:
+    """The links between the left and the right rows of a cell that are in different components."""
+    rep, c, left = (cell.column(x).to_numpy() for x in ("rep", "c", "left"))
+    lists = cell.column("shingles").combine_chunks()
+    values, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+    offsets = offsets - offsets[0]
+    size = np.diff(offsets)
+    a, b = [], []
+    right = np.flatnonzero(~left)
+    owner = np.repeat(np.arange(len(size)), size)
+    order = np.argsort(values, kind="stable")
+    ranked, owned = values[order], owner[order]
+    for i in np.flatnonzero(left):
+        own = values[offsets[i] : offsets[i + 1]]
+        lo, hi = np.searchsorted(ranked, own, "left"), np.searchsorted(ranked, own, "right")
+        span = hi - lo
+        hits = np.repeat(lo - np.concatenate(([0], np.cumsum(span)[:-1])), span) + np.arange(span.sum())
+        common = np.bincount(owned[hits], minlength=len(size))[right]
+        linked = right[(common * DENOMINATOR >= (size[i] + size[right] - common) * NUMERATOR) & (c[right] != c[i])]
+        a += [max(rep[i], rep[j]) for j in linked]
+        b += [min(rep[i], rep[j]) for j in linked]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _blocks(scratch: Scratch, apart: DataFrame, docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between the members of a hub that are outside its component and all its members.
+
+    The outsiders are dealt into blocks, all members too, and each pair of blocks is a cell, compared
+    in one task: memory is bounded by two blocks, whatever the number of a hub's members.
+    """
+    own = apart.where("rep = hub").select("hub", F.col("c").alias("hc"))
+    rows = apart.join(own, "hub").withColumn("out", F.col("c") != F.col("hc"))
+    sizes = rows.groupBy("hub").agg(F.count("*").alias("m"), F.count_if("out").alias("k")).where("k > 0")
+    parts = lambda n: F.ceil(F.col(n) / block).cast("int")
+    rows = rows.join(sizes, "hub").select("hub", "rep", "c", "out", parts("k").alias("nl"), parts("m").alias("nr"), F.xxhash64("rep").alias("h"))
+    sets = full_sets(docs.join(rows.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+    rows = rows.join(sets.toDF("rep", "shingles"), "rep")
+    lefts = rows.where("out").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nr") - 1))).withColumn("i", F.expr("pmod(h, nl)").cast("int"))
+    rights = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nl") - 1))).withColumn("j", F.expr("pmod(h, nr)").cast("int"))
+    columns = ("hub", "i", "j", "rep", "c", "shingles")
+    cells = lefts.select(*columns, F.lit(True).alias("left")).unionByName(rights.select(*columns, F.lit(False).alias("left")))
+    return scratch.save(cells.groupBy("hub", "i", "j").applyInArrow(_compare, "a long, b long").distinct())
+
+
+def near_duplicates(docs: DataFrame, k: int = K) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document.
 
     Documents are linked where 4 * common shingles >= 3 * shingles of both; component_id is the least
@@ -154,34 +200,18 @@ def near_duplicates(docs: DataFrame, k: int = K, hub_rounds: int = 2) -> DataFra
     reps = same.select("rep", F.col("n_shingles").alias("n"), "sketch")
     # 2. lists
     lists = scratch.save(_postings(reps, k))
-    found: DataFrame | None = None
-    tried: DataFrame | None = None
-    open_lists = lists.withColumn("c", F.col("rep"))
-    # 3. hubs, then all that is left between components
-    for turn in range(hub_rounds + 1):
-        if turn:
-            label = scratch.save(components(scratch, found))
-            labelled = lists.join(label.toDF("rep", "c0"), "rep", "left").withColumn("c", F.coalesce("c0", "rep")).drop("c0")
-            several = labelled.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("v")
-            open_lists = scratch.save(labelled.join(several, "v", "left_semi"))
-        if turn < hub_rounds:
-            score = F.xxhash64("rep", F.lit(turn)) if turn else F.col("weight").cast("long")
-            hubs = open_lists.groupBy("v").agg(F.max(F.struct(score.alias("score"), (-F.col("rep")).alias("neg"), "n", "c")).alias("h"))
-            hubs = hubs.select("v", (-F.col("h.neg")).alias("hub"), F.col("h.n").alias("m"), F.col("h.c").alias("hc"))
-            met = open_lists.join(hubs, "v").where((F.col("c") != F.col("hc")) & _fits("n", "m"))
-            pairs = met.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-        else:
-            left = open_lists.select("v", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-            right = open_lists.select("v", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-            met = left.join(right, "v").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _fits("na", "nb"))
-            pairs = met.select("a", "b").distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = scratch.save(pairs)
-        linked = _verify(scratch, pairs, reps, docs, k)
-        tried = pairs if tried is None else tried.union(pairs)
-        found = linked if found is None else found.union(linked)
-    label = components(scratch, found)
+    # 3. hubs, then the members of a hub that are in different components
+    score = F.struct(F.col("weight"), (-F.col("rep")).alias("neg"), F.col("n"))
+    hubs = lists.groupBy("v").agg(F.max(score).alias("h")).select("v", (-F.col("h.neg")).alias("hub"), F.col("h.n").alias("m"))
+    met = scratch.save(lists.join(hubs, "v").select("v", "hub", "m", "rep", "n"))
+    near = met.where((F.col("rep") != F.col("hub")) & _fits("n", "m"))
+    pairs = scratch.save(near.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct())
+    found = _verify(scratch, pairs, reps, docs, k)
+    label = scratch.save(components(scratch, found))
+    labelled = met.select("v", "hub", "rep").join(label.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
+    several = labelled.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("v")
+    apart = scratch.save(labelled.join(several, "v", "left_semi").select("hub", "rep", "c").distinct())
+    label = components(scratch, found.union(_blocks(scratch, apart, docs)))
     member = same.where("copies > 1").select("n_shingles", "fp1", "fp2", "rep")
     out = base.select("doc_id", "n_shingles", "fp1", "fp2").join(member, ["n_shingles", "fp1", "fp2"], "left")
     out = out.withColumn("rep", F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")))
