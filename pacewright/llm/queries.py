@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pacewright.llm.decontamination import contamination
 from pacewright.llm.near_duplicates import near_duplicates
 
+from pacewright.llm.quality import quality
 from pacewright.llm.toxicity import score_texts, train
 
 
@@ -16,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_table(spark, sf_dir, "documents")).drop("lang", "source")
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -31,7 +36,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_near_duplicates, op8_decontamination, op9_toxicity)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_near_duplicates, op8_decontamination, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
