@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pacewright.llm.decontamination import contamination
 from pacewright.llm.near_duplicates import near_duplicates
 
+from pacewright.llm.pieces import encode
 from pacewright.llm.quality import quality
 from pacewright.llm.toxicity import score_texts, train
 
+#: The vocabulary file of the encoding queries; read on the driver only.
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -25,6 +29,10 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(_table(spark, sf_dir, "documents"), TOKENIZER).select("doc_id", "n_tokens", "ids", "round_trip")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -36,7 +44,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_near_duplicates, op8_decontamination, op9_toxicity)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_near_duplicates, op7_pieces, op8_decontamination, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
