@@ -25,6 +25,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
@@ -224,7 +225,8 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
                 lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.diff(offsets).astype(np.int64)), lists, pa.array(same, pa.bool_())], [*part.schema.names, "n_tokens", "ids", "round_trip"])
 
-    schema = docs.schema.add("n_tokens", "long").add("ids", "array<int>").add("round_trip", "boolean")
+    added = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())]
+    schema = T.StructType([*docs.schema.fields, *added])
     return docs.mapInArrow(run, schema)
 
 
