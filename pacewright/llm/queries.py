@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pacewright.llm.decontamination import contamination
+from pacewright.llm.licenses import scan
 from pacewright.llm.near_duplicates import near_duplicates
 
 from pacewright.llm.pieces import encode
@@ -29,6 +30,10 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(_table(spark, sf_dir, "documents"), TOKENIZER).select("doc_id", "n_tokens", "ids", "round_trip")
 
@@ -44,7 +49,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_near_duplicates, op7_pieces, op8_decontamination, op9_toxicity)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_near_duplicates, op4_license_scan, op7_pieces, op8_decontamination, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
