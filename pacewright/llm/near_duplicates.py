@@ -32,7 +32,9 @@ SHINGLE = 5
 K, LEAST_OVERLAP = 128, 66
 NUMERATOR, DENOMINATOR = 3, 4
 #: Documents of a block: two blocks are compared in a task.
-BLOCK = 128
+BLOCK = 512
+#: Ids up to which a set of them is sent to every executor (16 bytes each) to pick their texts.
+BROADCAST_IDS = 1_000_000
 _MULTIPLIERS = [pow(0xD1342543DE82EF95, j + 1, 1 << 64) for j in range(SHINGLE)]
 
 
@@ -89,8 +91,10 @@ def sketches(docs: DataFrame, k: int = K) -> DataFrame:
     return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, schema)
 
 
-def full_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, shingles: the whole sorted set of each document."""
+def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, shingles: the whole sorted set of each document whose id is in ``ids(doc_id)``."""
+    few = ids.count() <= BROADCAST_IDS
+    docs = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,8 +132,7 @@ def _verify(scratch: Scratch, pairs: DataFrame, reps: DataFrame, docs: DataFrame
     union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
     agreed = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
     likely = scratch.save(both.where((agreed >= LEAST_OVERLAP) | (F.size(union) < k) & (agreed * DENOMINATOR >= F.size(union) * NUMERATOR)).select("a", "b"))
-    ends = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-    sets = full_sets(docs.select("doc_id", "text").join(ends, "doc_id", "left_semi"))
+    sets = full_sets(docs, likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct())
     whole = likely.join(sets.toDF("a", "xa"), "a").join(sets.toDF("b", "xb"), "b")
     common = F.size(F.array_intersect("xa", "xb"))
     linked = whole.where(common * DENOMINATOR >= (F.size("xa") + F.size("xb") - common) * NUMERATOR).select("a", "b")
@@ -171,7 +174,7 @@ def _blocks(scratch: Scratch, apart: DataFrame, docs: DataFrame, block: int = BL
     sizes = rows.groupBy("hub").agg(F.count("*").alias("m"), F.count_if("out").alias("k")).where("k > 0")
     parts = lambda n: F.ceil(F.col(n) / block).cast("int")
     rows = rows.join(sizes, "hub").select("hub", "rep", "c", "out", parts("k").alias("nl"), parts("m").alias("nr"), F.xxhash64("rep").alias("h"))
-    sets = full_sets(docs.join(rows.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+    sets = full_sets(docs, rows.select(F.col("rep").alias("doc_id")).distinct())
     rows = rows.join(sets.toDF("rep", "shingles"), "rep")
     lefts = rows.where("out").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nr") - 1))).withColumn("i", F.expr("pmod(h, nl)").cast("int"))
     rights = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nl") - 1))).withColumn("j", F.expr("pmod(h, nr)").cast("int"))
@@ -195,9 +198,10 @@ def near_duplicates(docs: DataFrame, k: int = K) -> DataFrame:
     base = scratch.save(sketches(docs, k))
     words = base.where("n_shingles > 0")
     # 1. equal sets
-    same = words.groupBy("n_shingles", "fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("sketch").alias("sketch"))
-    same = scratch.save(same)
-    reps = same.select("rep", F.col("n_shingles").alias("n"), "sketch")
+    same = words.groupBy("n_shingles", "fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    member = scratch.save(same.where("copies > 1").drop("copies"))
+    copies = words.join(member, ["n_shingles", "fp1", "fp2"]).where("doc_id <> rep").select("doc_id")
+    reps = words.join(copies, "doc_id", "left_anti").select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch")
     # 2. lists
     lists = scratch.save(_postings(reps, k))
     # 3. hubs, then the members of a hub that are in different components
@@ -212,7 +216,6 @@ def near_duplicates(docs: DataFrame, k: int = K) -> DataFrame:
     several = labelled.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("v")
     apart = scratch.save(labelled.join(several, "v", "left_semi").select("hub", "rep", "c").distinct())
     label = components(scratch, found.union(_blocks(scratch, apart, docs)))
-    member = same.where("copies > 1").select("n_shingles", "fp1", "fp2", "rep")
     out = base.select("doc_id", "n_shingles", "fp1", "fp2").join(member, ["n_shingles", "fp1", "fp2"], "left")
     out = out.withColumn("rep", F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")))
     out = out.join(label.toDF("rep", "component_id"), "rep", "left").withColumn("component_id", F.coalesce("component_id", "rep"))
