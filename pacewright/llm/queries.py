@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pacewright.llm.decontamination import contamination
+from pacewright.llm.language_model import score
 from pacewright.llm.licenses import scan
 from pacewright.llm.near_duplicates import near_duplicates
 
@@ -48,8 +49,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", "passages")
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_near_duplicates, op4_license_scan, op7_pieces, op8_decontamination, op9_toxicity)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_near_duplicates, op4_license_scan, op7_pieces, op8_decontamination, op9_toxicity, op10_language_model)}
 
 
 def oracle_sql() -> dict[str, str]:
