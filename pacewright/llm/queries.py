@@ -14,6 +14,7 @@ from pacewright.llm.near_duplicates import near_duplicates
 from pacewright.llm.pieces import encode
 from pacewright.llm.quality import quality
 from pacewright.llm.toxicity import score_texts, train
+from pacewright.llm.url_filter import judge
 from pacewright.llm.warc import round_trip
 
 #: The vocabulary file of the encoding queries; read on the driver only.
@@ -36,6 +37,14 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_table(spark, sf_dir, "documents"))
 
 
+#: Host and path prefix of a URL rule, and its verdict.
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "pages"))
 
@@ -59,7 +68,7 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_near_duplicates, op4_license_scan, op6_warc, op7_pieces, op8_decontamination, op9_toxicity, op10_language_model)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_near_duplicates, op4_license_scan, op5_url_filter, op6_warc, op7_pieces, op8_decontamination, op9_toxicity, op10_language_model)}
 
 
 def oracle_sql() -> dict[str, str]:
