@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pacewright.llm.decontamination import contamination
+from pacewright.llm.html_text import main_text
 from pacewright.llm.language_model import score
 from pacewright.llm.licenses import scan
 from pacewright.llm.near_duplicates import near_duplicates
@@ -29,6 +30,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents")).drop("lang", "source")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -68,7 +73,7 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_near_duplicates, op4_license_scan, op5_url_filter, op6_warc, op7_pieces, op8_decontamination, op9_toxicity, op10_language_model)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_html_text, op3_near_duplicates, op4_license_scan, op5_url_filter, op6_warc, op7_pieces, op8_decontamination, op9_toxicity, op10_language_model)}
 
 
 def oracle_sql() -> dict[str, str]:
