@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pacewright.llm import oracles
 from pacewright.llm.decontamination import contamination
 from pacewright.llm.html_text import main_text
 from pacewright.llm.language_model import score
@@ -27,7 +28,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(_table(spark, sf_dir, "documents")).drop("lang", "source")
+    return quality(_table(spark, sf_dir, "documents")).drop("lang", "source", "distance")
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,4 +78,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
