@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,9 +27,20 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+#: Modules of this package that register queries.
+MODULES = ("views", "checks", "joins", "aggregates", "windows", "sets", "texts", "nested", "analysis", "assembly", "survey", "documents")
+
+
+def _load() -> None:
+    for name in MODULES:
+        import_module(f"pacewright.plans.{name}")
+
+
 def queries() -> dict[str, Query]:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_ORACLES)
