@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -159,15 +159,17 @@ def place_order(x: Inputs) -> DataFrame:
 def rank_order(points: DataFrame) -> DataFrame:
     """Rows of (race, distance_m, performance, time_s, rank) outside the longest agreeing sequence of ranks in order of time.
 
-    One race's points at one distance are a bounded group: a field of runners.
+    One race's points at one distance are a field of runners, a short list, so a row is a field.
     """
 
-    def outside(field: pd.DataFrame) -> pd.DataFrame:
-        field = field.sort_values(["time_s", "rank", "performance"], kind="stable")
-        return field[~longest_rising(field["rank"].to_numpy())]
+    def outside(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = [(race, m, x["performance"], x["time_s"], x["rank"]) for race, m, field in zip(frame["race"], frame["distance_m"], frame["field"], strict=True) for x, good in zip(field, longest_rising(np.array([y["rank"] for y in field])), strict=True) if not good]
+            yield pd.DataFrame(rows, columns=["race", "distance_m", "performance", "time_s", "rank"])
 
-    points = points.select("race", "distance_m", "performance", "time_s", "rank")
-    return points.groupBy("race", "distance_m").applyInPandas(outside, points.schema)
+    field = F.sort_array(F.collect_list(F.struct("time_s", "rank", "performance")))
+    rows = points.groupBy("race", "distance_m").agg(field.alias("field"))
+    return rows.mapInPandas(outside, points.select("race", "distance_m", "performance", "time_s", "rank").schema)
 
 
 def equal_printed(exact: Column, printed: Column, scale: Column) -> Column:

@@ -1 +1,62 @@
-"""Queries."""
+"""The survey of what could be held, and streaming of new readings."""
+
+from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+from pacewright.plans.registry import query
+from pacewright.sources.tables import Tables, oracle
+from pacewright.streaming import readings
+
+
+@query("first_count_wins", "select o_custkey, o_orderpriority, arg_min(o_shippriority, k) as n from (select o_custkey, o_orderpriority, case when o_orderstatus <> 'P' then o_orderkey % 10 end as o_shippriority, o_orderkey as k from orders) where o_shippriority is not null group by all")
+def first_count_wins(spark, sf_dir):
+    """The first count that is known, by priority of its source."""
+    o = Tables(spark, sf_dir).read("orders").where("o_orderstatus <> 'P'")
+    return o.groupBy("o_custkey", "o_orderpriority").agg(F.min_by(F.col("o_orderkey") % 10, "o_orderkey").alias("n"))
+
+
+@query("held_or_fallback", "select o_orderkey, coalesce(a.n, b.n, 0) as n from orders left join (select c_nationkey as k, c_mktsegment as s, count(*) as n from customer where c_nationkey < 12 group by all) a on a.k = o_custkey % 25 and a.s = 'BUILDING' left join (select c_nationkey as k, count(*) as n from customer where c_nationkey < 20 group by all) b on b.k = o_custkey % 25")
+def held_or_fallback(spark, sf_dir):
+    """An entry on its full key, else on the key without its last part."""
+    t = Tables(spark, sf_dir)
+    c = t.read("customer")
+    full = c.where("c_nationkey < 12 and c_mktsegment = 'BUILDING'").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("a"))
+    part = c.where("c_nationkey < 20").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("b"))
+    o = t.read("orders").withColumn("k", F.col("o_custkey") % 25)
+    return o.join(full, "k", "left").join(part, "k", "left").select("o_orderkey", F.coalesce("a", "b", F.lit(0)).alias("n"))
+
+
+@query("chosen_edition", "select o_orderkey, arg_min(l_partkey, struct_pack(a := rule, b := l_partkey)) as edition from (select o_orderkey, l_partkey, case when l_suppkey % 10 = o_custkey % 10 then 1 when l_quantity > 40 then 2 else 3 end as rule from orders join lineitem on l_orderkey = o_orderkey) group by o_orderkey")
+def chosen_edition(spark, sf_dir):
+    """The best match by rule, ties by id."""
+    t = Tables(spark, sf_dir)
+    d = t.read("orders").join(t.read("lineitem"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rule = F.when(F.col("l_suppkey") % 10 == F.col("o_custkey") % 10, 1).when(F.col("l_quantity") > 40, 2).otherwise(3)
+    return d.groupBy("o_orderkey").agg(F.min_by("l_partkey", F.struct(rule, "l_partkey")).alias("edition"))
+
+
+@query("undercard", oracle("select race, avg(case when country = 'NATION_3' then 1.0 else 0.0 end) >= 0.5 as host_field, count(*) as field from runs group by race"))
+def undercard(spark, sf_dir):
+    """Whether at least half of a field comes from the host."""
+    r = Tables(spark, sf_dir).runs
+    return r.groupBy("race").agg((F.avg(F.when(F.col("country") == "NATION_3", 1.0).otherwise(0.0)) >= 0.5).alias("host_field"), F.count("*").alias("field"))
+
+
+@query("calendar_days", "select c_custkey, cast(unnest(range(date '1995-01-01' + cast(c_custkey % 300 as int) - 1, date '1995-01-01' + cast(c_custkey % 300 as int) + 2, interval 1 day)) as date) - date '1995-01-01' as day from customer")
+def calendar_days(spark, sf_dir):
+    """An entry on every day of its range and a day on either side."""
+    c = Tables(spark, sf_dir).read("customer")
+    first = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("c_custkey") % 300).cast("int"))
+    days = F.sequence(F.date_sub(first, 1), F.date_add(first, 1))
+    return c.select("c_custkey", F.explode(days).alias("d")).select("c_custkey", F.datediff("d", F.lit("1995-01-01").cast("date")).cast("long").alias("day"))
+
+
+@query("windowed_events", "select cast(floor(epoch(ts) / 3600) as bigint) as hour, event_type, count(*) as n from events group by all")
+def windowed_events(spark, sf_dir):
+    """Hourly counts of a stream of events, read to its end."""
+    return readings.hourly_counts(spark, sf_dir)
+
+
+@query("round_labels", oracle("select performance, count(*) over (partition by race, event) > 1 as labelled from runs"))
+def round_labels(spark, sf_dir):
+    return Tables(spark, sf_dir).runs.select("performance", (F.count("*").over(W.partitionBy("race", "event")) > 1).alias("labelled"))
