@@ -37,9 +37,13 @@ _IMPLIED = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({
 _CONTAINERS = {"body", "div", "article", "main", "section", "td", "blockquote", "center"}
 _ASIDE = re.compile(
     r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|sidebar|side-bar|footer|masthead|topbar|ad|ads|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|cookie|cookies|consent|gdpr|notice|notices|alert"
-    r"|comment|comments|disqus|replies|respond|promo|promotion|share|sharing|social|related|recommended|popup|modal|overlay|newsletter|subscribe|signup|breadcrumb|breadcrumbs|pagination|pager|widget|toolbar|skip|hidden)(?:$|[\s_-])",
+    r"|comment|comments|commentlist|adsbygoogle|disqus|replies|respond|promo|promotion|share|sharing|social|related|recommended|popup|modal|overlay|newsletter|subscribe|signup|breadcrumb|breadcrumbs|pagination|pager|widget|toolbar|skip|hidden)(?:$|[\s_-])",
     re.I,
 )
+_HEADER = re.compile(r"(?:^|[\s_-])(?:site|page|main|global|top)?[_-]?header(?:$|[\s_-])", re.I)
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+#: Elements whose class and id say nothing about their part of the page.
+_NAMED_FREELY = {"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6", "p"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar"}
 
 
@@ -64,8 +68,9 @@ def _node(tag: str, attributes: str, parent: Node, in_article: bool) -> Node:
     names = own.get("class", "")
     step = ".".join([tag, *sorted({re.sub(r"\d+", "#", x.lower()) for x in names.split()})])
     dropped = tag in _DROPPED or tag == "header" and not in_article or "hidden" in own or own.get("aria-hidden", "") == "true" or own.get("role", "").lower() in _ROLES
-    if tag not in ("html", "body", "article", "main"):
-        dropped = dropped or bool(_ASIDE.search(names) or _ASIDE.search(own.get("id", "")))
+    if tag not in _NAMED_FREELY:
+        marks = _CAMEL.sub("-", f"{names} {own.get('id', '')}")
+        dropped = dropped or bool(_ASIDE.search(marks)) or not in_article and bool(_HEADER.search(marks))
     return Node(tag, step, parent, dropped or bool(re.search(r"display\s*:\s*none", own.get("style", ""))))
 
 
