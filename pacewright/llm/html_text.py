@@ -40,10 +40,10 @@ _ASIDE = re.compile(
     r"|comment|comments|commentlist|adsbygoogle|disqus|replies|respond|promo|promotion|share|sharing|social|related|recommended|popup|modal|overlay|newsletter|subscribe|signup|breadcrumb|breadcrumbs|pagination|pager|widget|toolbar|skip|hidden)(?:$|[\s_-])",
     re.I,
 )
-_HEADER = re.compile(r"(?:^|[\s_-])(?:site|page|main|global|top)?[_-]?header(?:$|[\s_-])", re.I)
+_HEADER = re.compile(r"(?:^|\s)(?:(?:site|page|main|global|top)[_-])?header(?:$|\s)", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: Elements whose class and id say nothing about their part of the page.
-_NAMED_FREELY = {"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6", "p"}
+_NAMED_FREELY = {"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar"}
 
 
