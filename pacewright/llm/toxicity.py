@@ -88,12 +88,12 @@ def _evidence(segments: list[tuple[int, int, float]], n: int, decay: float, log_
     return [max(0.0, decay * s - log_k - np.log(n)) for _, _, s in segments]
 
 
-def _count(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Documents of each class (clean, toxic) with a token in each bucket, and words of each class."""
+def _count(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents of each class (clean, toxic) with a token in each bucket; words and documents of each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, 1 << BUCKET_BITS), np.int64)
-        words = np.zeros(2, np.int64)
+        words, documents = np.zeros(2, np.int64), np.zeros(2, np.int64)
         for batch in batches:
             toxic = batch.column(1).to_numpy(zero_copy_only=False)
             for chunk in chunks(batch.column(0), NOT_ALNUM):
@@ -103,21 +103,24 @@ def _count(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                     own = keys[kind[keys >> BUCKET_BITS] == c] & ((1 << BUCKET_BITS) - 1)
                     seen[c] += np.bincount(own, minlength=1 << BUCKET_BITS)
                     words[c] += chunk.counts[kind == c].sum()
+                    documents[c] += (kind == c).sum()
         at = np.flatnonzero(seen.any(axis=0))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(at, -1)), pa.array(np.append(seen[0][at], words[0])), pa.array(np.append(seen[1][at], words[1]))], ["bucket", "clean", "toxic"]
+            [pa.array(np.append(at, [-1, -2])), *(pa.array(np.append(seen[c][at], [words[c], documents[c]])) for c in (0, 1))], ["bucket", "clean", "toxic"]
         )
 
     got = labelled.select("text", "toxic").mapInArrow(run, "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()
     counts, own = np.zeros((2, 1 << BUCKET_BITS)), got[got.bucket >= 0]
     counts[:, own.bucket] = own[["clean", "toxic"]].to_numpy().T
-    return counts, got[got.bucket < 0][["clean", "toxic"]].sum().to_numpy(dtype=float)
+    whole = [got[got.bucket == b][["clean", "toxic"]].sum().to_numpy(dtype=float) for b in (-1, -2)]
+    return counts, whole[0], whole[1]
 
 
-def _token_scores(counts: np.ndarray) -> np.ndarray:
-    clean, toxic = counts + PRIOR
-    odds = np.log(toxic / (toxic.sum() - toxic)) - np.log(clean / (clean.sum() - clean))
-    error = CONFIDENCE * np.sqrt(1 / toxic + 1 / clean)
+def _token_scores(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
+    """Lower bounds of the log-odds ratio of holding a token, under a symmetric Dirichlet prior on holding it or not."""
+    held, free = counts + PRIOR, documents[:, None] - counts + PRIOR
+    odds = np.log(held[1] / free[1]) - np.log(held[0] / free[0])
+    error = CONFIDENCE * np.sqrt((1 / held + 1 / free).sum(axis=0))
     return np.clip(np.where(odds > 0, np.maximum(0, odds - error), np.minimum(0, odds + error)), -1, MOST) - DRIFT
 
 
@@ -142,7 +145,7 @@ def _rising(positive: np.ndarray, total: np.ndarray) -> np.ndarray:
             p2, n2, k2 = pools.pop()
             pools[-1] = [pools[-1][0] + p2, pools[-1][1] + n2, pools[-1][2] + k2]
     base = (positive.sum() + 0.5) / (total.sum() + 1)
-    return np.repeat([(p + base) / (n + 1) for p, n, _ in pools], [k for *_, k in pools])
+    return np.maximum.accumulate(np.repeat([(p + base) / (n + 1) for p, n, _ in pools], [k for *_, k in pools]))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
@@ -155,8 +158,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mode
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     labelled = scratch.save(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic"))
-    counts, words = _count(labelled)
-    scores = _token_scores(counts)
+    counts, words, documents = _count(labelled)
+    scores = _token_scores(counts, documents)
     decay = _decay(scores, counts[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,9 +174,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mode
     tail = seen.where("toxic = 0").select(F.explode("own").alias("x")).groupBy(F.floor("x").alias("b")).count().toPandas().sort_values("b", ascending=False)
     log_k = -np.log(max(1.0, words[0]))  # if clean text has no segment: one in all of it
     if len(tail):
+        # from the better half of the segments: the best ones are from documents with wrong labels
         above = tail["count"].cumsum()
-        enough = int(np.argmax(above.to_numpy() >= min(10, above.iloc[-1])))
-        log_k = float(np.log(above.iloc[enough]) - np.log(max(1.0, words[0])) + tail["b"].iloc[enough])
+        half = int(np.argmax(above.to_numpy() >= above.iloc[-1] / 2))
+        log_k = float(np.log(above.iloc[half]) - np.log(max(1.0, words[0])) + tail["b"].iloc[half])
     total = F.aggregate(F.transform("own", lambda x: F.greatest(F.lit(0.0), x - log_k - F.log(F.col("n").cast("double")))), F.lit(0.0), lambda a, x: a + x)
     bins = seen.select("toxic", F.least(F.floor(total / BIN), F.lit(BINS - 1)).cast("int").alias("b")).groupBy("b").agg(F.sum("toxic").alias("p"), F.count("*").alias("n")).toPandas()
     scratch.drop(labelled, seen)
