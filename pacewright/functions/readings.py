@@ -16,7 +16,7 @@ QUALIFIED = ("Q", "q", "qR", "qJ")
 
 
 @F.udf(_TOKENS)
-def time_tokens(line: str | None):
+def time_tokens(line):
     """Times of a split line, each with the bracketed or bare rank after it; other words and lone ranks are passed over."""
     found: list[list] = []
     for word in (line or "").split():
@@ -55,7 +55,7 @@ def wind_before_unit(words: DataFrame, unit: str = "m/s", within: float = 4.0) -
 
 
 @F.udf(T.ArrayType(T.StructType([T.StructField("label", T.StringType()), T.StructField("x", T.DoubleType())])))
-def label_grid(labels: list | None, centres: list | None, has_finish: bool | None):
+def label_grid(labels, centres, has_finish):
     """Labels with their places; an unlabelled finish is one median pitch to the right of the last."""
     if not labels:
         return []
