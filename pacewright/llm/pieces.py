@@ -31,7 +31,7 @@ SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 #: Remembered units and pairs of a worker; the memory is emptied when full.
-REMEMBERED_UNITS, REMEMBERED_PAIRS = 300_000, 1_000_000
+REMEMBERED_UNITS, REMEMBERED_PAIRS = 800_000, 1_000_000
 #: What an unknown character costs beyond the worst piece of a unigram model.
 UNKNOWN_PENALTY = 10.0
 
@@ -74,7 +74,6 @@ class Model:
         self.cost = {p: -self.pieces[i][1] for p, i in self.ids.items()}
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(self.pieces) if kind == BYTE}
         self.unknown = next((i for i, (*_, kind) in enumerate(self.pieces) if kind == UNKNOWN), 0)
-        self.longest = max(map(len, self.ids), default=1)
         self.worst = max(self.cost.values(), default=0.0) + UNKNOWN_PENALTY
         self.halves: dict[str, tuple[str, str]] = {}
         self.surface = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.encode() for p, _, kind in self.pieces]
@@ -82,8 +81,11 @@ class Model:
             for p in self.ids:
                 if len(p) > 1:
                     self._derive(p)
+        # every beginning of a piece, with the piece if it is one that merges can give
+        reachable = {p: p for p in self.ids if self.kind != BPE or len(p) == 1 or p in self.halves}
+        self.prefixes: dict[str, str | None] = {p[:k]: None for p in self.ids for k in range(1, len(p) + 1)} | reachable
         self.units = _Memory(self._path, REMEMBERED_UNITS)
-        self.pairs = _Memory(self._stay_apart, REMEMBERED_PAIRS)
+        self.pairs = _Memory(lambda a: _Memory(lambda b: self._stay_apart(a, b), REMEMBERED_PAIRS), REMEMBERED_PAIRS)
 
     @staticmethod
     def parse(data: bytes) -> Model:
@@ -117,9 +119,8 @@ class Model:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         self.halves[piece] = last
 
-    def _stay_apart(self, pair: tuple[str, str]) -> bool:
+    def _stay_apart(self, a: str, b: str) -> bool:
         """Whether merging the characters of two pieces leaves these two: undo merges at the border, the latest first."""
-        a, b = pair
         limit = inf
         while True:
             merged = self.cost.get(a + b, inf)
@@ -135,19 +136,39 @@ class Model:
             else:
                 limit, b = float(np.nextafter(of_b, inf)), self.halves[b][0]
 
+    def _arcs(self, unit: str, start: int) -> list[str]:
+        """The pieces from a position on, its character alone first (a piece or not)."""
+        get, end, n = self.prefixes.get, start + 1, len(unit)
+        found = [unit[start]]
+        seen = get(unit[start], "")
+        while seen != "" and end < n:
+            end += 1
+            seen = get(unit[start:end], "")
+            if seen:
+                found.append(seen)
+        return found
+
     def _path(self, unit: str) -> tuple[int, ...]:
         """The ids on the best path through the lattice of one unit."""
-        best = [0.0] + [inf] * len(unit)
-        last: list[str] = [""] * (len(unit) + 1)
-        for end in range(1, len(unit) + 1):
-            for start in range(max(0, end - self.longest), end):
-                piece = unit[start:end]
-                if self.kind == BPE:
-                    if (piece in self.halves or start + 1 == end) and (start == 0 or self.pairs[last[start], piece]):
-                        best[end], last[end] = 0.0, piece
-                        break
-                else:
-                    weight = best[start] + (self.cost[piece] if piece in self.cost else self.worst if start + 1 == end else inf)
+        n = len(unit)
+        last: list[str] = [""] * (n + 1)
+        if self.kind == BPE:
+            # a position has one state that a finite path reaches, so none is entered twice; the farthest goes first
+            reached = [0]
+            while not last[n]:
+                start = reached.pop()
+                apart = self.pairs[last[start]] if start else None
+                for piece in self._arcs(unit, start):
+                    end = start + len(piece)
+                    if not last[end] and (apart is None or apart[piece]):
+                        last[end] = piece
+                        reached.append(end)
+        else:
+            best = [0.0] + [inf] * n
+            for start in range(n):
+                for piece in self._arcs(unit, start):
+                    end = start + len(piece)
+                    weight = best[start] + self.cost.get(piece, self.worst)
                     if weight < best[end]:
                         best[end], last[end] = weight, piece
         path, end = [], len(unit)
