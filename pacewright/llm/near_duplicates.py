@@ -44,7 +44,7 @@ def shingle_sets(chunk: Chunk) -> Iterator[np.ndarray]:
     n = len(h)
     rolled = np.zeros(n, U64)
     for j, m in enumerate(_MULTIPLIERS):
-        rolled[: n - j] += h[j:] * U64(m)
+        rolled[: max(0, n - j)] += h[j:] * U64(m)
     rolled = mix(rolled)
     for a, b in zip(chunk.bounds[:-1], chunk.bounds[1:], strict=True):
         if b - a >= SHINGLE:
