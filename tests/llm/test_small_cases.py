@@ -232,6 +232,55 @@ def test_trie_probabilities_sum_to_one(spark):
         assert math.isclose((10 ** trie.log10(base + np.arange(256))).sum(), 1, rel_tol=1e-9)
 
 
+def ppm(texts, asked):
+    """log10 of each asked text's probability, by definition, after (text, times)."""
+    count = [collections.defaultdict(collections.Counter) for _ in range(5)]
+    padded = lambda t: b"\n" * 4 + t.encode() + b"\xff"
+    for text, times in texts:
+        t = padded(text)
+        for i in range(4, len(t)):
+            for k in range(5):
+                count[k][t[i - k : i]][t[i]] += times
+    out = []
+    for text in asked:
+        t, total = padded(text), 0.0
+        for i in range(4, len(t)):
+            excluded = set()
+            for k in range(4, -1, -1):
+                own = {s: n for s, n in count[k].get(t[i - k : i], {}).items() if s not in excluded}
+                if t[i - k : i] not in count[k]:
+                    continue
+                escape = max(1, len(own))
+                if t[i] in own:
+                    total += math.log10(own[t[i]] / (sum(own.values()) + escape))
+                    break
+                total += math.log10(escape / (sum(own.values()) + escape))
+                excluded |= set(own)
+            else:
+                total -= math.log10(max(1, 256 - len(excluded)))
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("held", [None, 0, 40])
+def test_scores_keep_rare_contexts_of_a_large_corpus(spark, monkeypatch, held):
+    if held is not None:
+        monkeypatch.setattr(language_model, "HELD_WINDOWS", held)
+    rng = random.Random(8)
+    out = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    common = " ".join(rng.choice(["stone", "river", "hill", "road"]) for _ in range(500))
+    small = [" ".join(rng.choice(["žluť", "kůň", "pěl", "ódy", "vlk"]) for _ in range(12)) for _ in range(6)]
+    learnt = [i for i in range(3000) if not out(i)][: 800 + len(small)]
+    asked = [i for i in range(3000) if out(i)][:4]
+    texts = ["žluť vlk", "pěl ódy kůň road", "xyz žlu", ""]
+    rows = [*zip(learnt, [common] * 800 + small), *zip(asked, texts)]
+    got = {r.doc_id: r.score for r in language_model.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(common) * 800 > 2 << 20
+    want = ppm([(common, 800), *((t, 1) for t in small)], texts + small + [common])
+    for i, w in zip(asked + learnt[800:] + learnt[:1], want, strict=True):
+        assert math.isclose(got[i], w, rel_tol=1e-9), i
+
+
 # HTML
 
 
