@@ -1,10 +1,10 @@
 """License scans with a positional rare-token index.
 
 The index holds, for every word of the license templates, the templates and positions where it
-stands. A document's licence words with the highest inverse document frequency are looked up; each
-occurrence at word i votes for (template, i - position), and votes that agree place the template.
-The placement counts when enough of the template's words stand where they should and its
-mandatory key phrases are there word for word.
+stands. Of each template the words with the highest inverse document frequency are looked up, one more
+than may be out of place, so every placement has one of them in place: an occurrence at word i
+proposes (template, i - position). The placement counts when enough of the template's words stand
+where they should and its mandatory key phrases are there word for word.
 """
 
 from __future__ import annotations
@@ -47,9 +47,10 @@ TEMPLATES = (
     Template("proprietary", "Unauthorized copying of this file, via any medium, is strictly prohibited. Proprietary and confidential.", ("proprietary and confidential",)),
 )
 BASE = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
-#: Rarest distinct licence words of a document that are looked up; the share of them, and of the
-#: template's words, that must stand in place.
-RARE_WORDS, LEAST_VOTES, LEAST_COVERAGE = 16, 2, 0.8
+#: The share of a template's words that must stand in place.
+LEAST_COVERAGE = 0.8
+#: Proposed placements that are compared at once.
+COMPARED = 1 << 14
 #: The score of a document whose only sign is a base phrase.
 PHRASE_SCORE = 0.5
 
@@ -119,23 +120,40 @@ def frequencies(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) ->
     return count
 
 
-def _placed(own: Index, rarity: np.ndarray, words: np.ndarray, at: np.ndarray, word: np.ndarray) -> Iterator[tuple[str, int, int, float]]:
-    """(label, first word, words, share in place) of every template that stands in one document."""
-    present = np.unique(word)
-    rare = set(present[np.argsort(rarity[present], kind="stable")[:RARE_WORDS]].tolist())
-    votes: dict[tuple[int, int], set[int]] = {}
-    for i, w in zip(at.tolist(), word.tolist(), strict=True):
-        if w in rare:
-            for t, p in own.posts[w]:
-                votes.setdefault((t, i - p), set()).add(w)
-    for (t, start), agreed in sorted(votes.items()):
-        body = own.bodies[t]
-        if len(agreed) < min(LEAST_VOTES, len(body)):
-            continue
-        lo, hi = max(0, start), min(len(words), start + len(body))
-        share = float((words[lo:hi] == body[lo - start : hi - start]).sum() / len(body))
-        if share >= LEAST_COVERAGE and all(len(_places(words[lo:hi], k)) for k in own.keys[t]):
-            yield own.templates[t].label, lo, hi - lo, share
+def _anchors(own: Index, count: np.ndarray) -> list[np.ndarray]:
+    """For each template the positions of its rarest words: the least number of which one stands in place in every placement."""
+    out = []
+    for body in own.bodies:
+        words = np.searchsorted(own.words, body)
+        least = next(n for n in range(len(body) + 1) if n / len(body) >= LEAST_COVERAGE)
+        out.append(np.argsort(count[words], kind="stable")[: len(body) - least + 1])
+    return out
+
+
+def _placed(own: Index, anchors: list[np.ndarray], chunk: Chunk, hashes: np.ndarray, at: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, str, int, int, float]]:
+    """(row, label, first word, words, share in place) of every template that stands in a row, in order of row, template and place."""
+    order = np.argsort(word, kind="stable")
+    edges = np.searchsorted(word[order], np.arange(len(own.words) + 1))
+    found = []
+    for t, body in enumerate(own.bodies):
+        starts, rows = [], []
+        for p in anchors[t].tolist():
+            w = np.searchsorted(own.words, body[p])
+            here = at[order[edges[w] : edges[w + 1]]]
+            starts.append(here - p)
+            rows.append(np.searchsorted(chunk.bounds, here, "right") - 1)
+        proposed = np.unique(np.stack((np.concatenate(rows), np.concatenate(starts)), 1), axis=0)
+        for i in range(0, len(proposed), COMPARED):
+            row, start = proposed[i : i + COMPARED].T
+            place = start[:, None] + np.arange(len(body))
+            inside = (place >= chunk.bounds[row][:, None]) & (place < chunk.bounds[row + 1][:, None])
+            share = ((hashes[np.clip(place, 0, len(hashes) - 1)] == body) & inside).sum(1) / len(body)
+            for j in np.flatnonzero(share >= LEAST_COVERAGE).tolist():
+                first, end = int(chunk.bounds[row[j]]), int(chunk.bounds[row[j] + 1])
+                lo, hi = max(first, int(start[j])), min(end, int(start[j]) + len(body))
+                if all(len(_places(hashes[lo:hi], k)) for k in own.keys[t]):
+                    found.append((int(row[j]), t, int(start[j]), own.templates[t].label, lo - first, hi - lo, float(share[j])))
+    yield from ((x[0], *x[3:]) for x in sorted(found))
 
 
 _FOUND = pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("share", pa.float64())]))
@@ -153,12 +171,9 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFr
     """
     count = frequencies(docs, templates)
 
-    def one(chunk: Chunk, r: int, own: Index, hashes: np.ndarray, at: np.ndarray, word: np.ndarray) -> list[tuple[str, int, int, float]]:
-        lo, hi = chunk.bounds[r], chunk.bounds[r + 1]
-        return list(_placed(own, count, hashes[lo:hi], at - lo, word))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index(templates)
+        anchors = _anchors(own, count)
         for batch in batches:
             for chunk in chunks(batch.column(1), NOT_ALNUM):
                 n = chunk.rows
@@ -173,9 +188,9 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFr
                     np.maximum.at(last, row, at - chunk.bounds[row])
                     for r in np.unique(row):
                         base[r].add(label)
-                at, word = own.find(hashes)
-                edges = np.searchsorted(at, chunk.bounds)
-                found = [one(chunk, r, own, hashes, at[a:b], word[a:b]) if b - a >= LEAST_VOTES else [] for r, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))]
+                found: list[list[tuple[str, int, int, float]]] = [[] for _ in range(n)]
+                for r, *placement in _placed(own, anchors, chunk, hashes, *own.find(hashes)):
+                    found[r].append(tuple(placement))
                 score = [max([PHRASE_SCORE * bool(base[r]), *(x[3] for x in found[r])]) for r in range(n)]
                 none = number == 0
                 yield pa.RecordBatch.from_arrays(
@@ -188,13 +203,9 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFr
                         pa.array([",".join(sorted(x)) for x in base]),
                         pa.array([",".join(sorted(x | {y[0] for y in f})) for x, f in zip(base, found, strict=True)]),
                         pa.array(score, pa.float64()),
-                        pa.array([[dict(zip(("label", "first_word", "n_words", "share"), map(_plain, y), strict=True)) for y in f] for f in found], _FOUND),
+                        pa.array([[dict(zip(("label", "first_word", "n_words", "share"), y, strict=True)) for y in f] for f in found], _FOUND),
                     ],
                     ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "placements"],
                 )
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
-
-
-def _plain(x):
-    return x.item() if isinstance(x, np.generic) else x

@@ -159,6 +159,30 @@ def test_licenses(spark):
     assert licenses.scan(d.limit(0)).count() == 0
 
 
+def test_licenses_are_placed_as_by_brute_force(spark):
+    rng = random.Random(11)
+    bsd, isc = next(t.text for t in licenses.TEMPLATES if t.label == "bsd"), next(t.text for t in licenses.TEMPLATES if t.label == "isc")
+    vocabulary = sorted({w for t in licenses.TEMPLATES for w in licenses._words(t.text)})
+    texts = [f"{bsd}. {isc}. Released under the MIT License.", "the of to " * 400 + "Licensed under CC BY 4.0.", "under the MIT License.", "Released under the MIT"]
+    for _ in range(60):
+        parts = [[w for w in licenses._words(rng.choice(licenses.TEMPLATES).text) if rng.random() < 0.97] for _ in range(rng.randint(1, 5))]
+        texts.append(" ".join(w if rng.random() < 0.95 else rng.choice(vocabulary) for part in parts for w in part))
+    common = ["released under the mit license"] * 300
+    d = spark.createDataFrame([*enumerate(texts), *((1000 + i, t) for i, t in enumerate(common))], "doc_id long, text string").coalesce(2)
+    got = {r.doc_id: [(p.label, p.first_word, p.n_words, p.share) for p in r.placements] for r in licenses.scan(d).collect()}
+    for i, text in enumerate(texts):
+        own, want = licenses._words(text), []
+        for t in licenses.TEMPLATES:
+            body = licenses._words(t.text)
+            for start in range(-len(body), len(own)):
+                lo, hi = max(0, start), min(len(own), start + len(body))
+                share = sum(own[j] == body[j - start] for j in range(lo, hi)) / len(body)
+                if share >= licenses.LEAST_COVERAGE and all(f" {' '.join(licenses._words(k))} " in f" {' '.join(own[lo:hi])} " for k in t.keys):
+                    want.append((t.label, lo, hi - lo, share))
+        assert got[i] == want, text
+    assert {p[0] for p in got[0]} == {"bsd", "isc", "mit"}
+
+
 # URLs
 
 
