@@ -33,22 +33,32 @@ class Template:
 TEMPLATES = (
     Template("mit", "Released under the MIT License.", ("mit license",)),
     Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction", ("permission is hereby granted free of charge", "deal in the software without restriction")),
+    Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction", ("permission is hereby granted free of charge", "deal in the software without restriction")),
     Template("apache-2.0", "Licensed under the Apache License, Version 2.0.", ("apache license version 2 0",)),
     Template("apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License", ("apache license version 2 0", "except in compliance with the license")),
     Template("gpl-2.0", "This work is licensed under the GNU General Public License, version 2.", ("gnu general public license version 2",)),
     Template("gpl-3.0", "This work is licensed under the GNU General Public License, version 3.", ("gnu general public license version 3",)),
     Template("gpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License", ("redistribute it and or modify it", "gnu general public license", "version 3 of the license")),
+    Template("gpl-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License", ("redistribute it and or modify it", "gnu general public license", "version 2 of the license")),
+    Template("gpl-2.0", "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation", ("redistribute it and or modify it", "gnu general public license version 2")),
+    Template("lgpl-2.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2 of the License", ("gnu library general public license", "version 2 of the license")),
+    Template("lgpl-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License", ("gnu lesser general public license", "version 2 1 of the license")),
+    Template("lgpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License", ("gnu lesser general public license", "version 3 of the license")),
+    Template("agpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License", ("gnu affero general public license", "version 3 of the license")),
     Template("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0.", ("cc by nc 4 0",)),
     Template("cc-by-4.0", "Licensed under CC BY 4.0.", ("cc by 4 0",)),
     Template("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0.", ("cc by sa 4 0",)),
     Template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", ("redistribution and use in source and binary forms", "following conditions are met")),
     Template("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", ("mozilla public license v 2 0",)),
     Template("isc", "Permission to use, copy, modify, and or distribute this software for any purpose with or without fee is hereby granted", ("with or without fee is hereby granted",)),
+    Template("isc", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted", ("with or without fee is hereby granted",)),
     Template("proprietary", "Unauthorized copying of this file, via any medium, is strictly prohibited. Proprietary and confidential.", ("proprietary and confidential",)),
 )
 BASE = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
 #: The share of a template's words that must stand in place.
 LEAST_COVERAGE = 0.8
+#: Words on either side of a placement in which a key phrase may stand: words put in or left out move it.
+KEY_SLACK = 4
 #: Proposed placements that are compared at once.
 COMPARED = 1 << 14
 #: The score of a document whose only sign is a base phrase.
@@ -151,7 +161,8 @@ def _placed(own: Index, anchors: list[np.ndarray], chunk: Chunk, hashes: np.ndar
             for j in np.flatnonzero(share >= LEAST_COVERAGE).tolist():
                 first, end = int(chunk.bounds[row[j]]), int(chunk.bounds[row[j] + 1])
                 lo, hi = max(first, int(start[j])), min(end, int(start[j]) + len(body))
-                if all(len(_places(hashes[lo:hi], k)) for k in own.keys[t]):
+                near = hashes[max(first, lo - KEY_SLACK) : min(end, hi + KEY_SLACK)]
+                if all(len(_places(near, k)) for k in own.keys[t]):
                     found.append((int(row[j]), t, int(start[j]), own.templates[t].label, lo - first, hi - lo, float(share[j])))
     yield from ((x[0], *x[3:]) for x in sorted(found))
 

@@ -167,6 +167,7 @@ def test_licenses_are_placed_as_by_brute_force(spark):
     for _ in range(60):
         parts = [[w for w in licenses._words(rng.choice(licenses.TEMPLATES).text) if rng.random() < 0.97] for _ in range(rng.randint(1, 5))]
         texts.append(" ".join(w if rng.random() < 0.95 else rng.choice(vocabulary) for part in parts for w in part))
+    slack = licenses.KEY_SLACK
     common = ["released under the mit license"] * 300
     d = spark.createDataFrame([*enumerate(texts), *((1000 + i, t) for i, t in enumerate(common))], "doc_id long, text string").coalesce(2)
     got = {r.doc_id: [(p.label, p.first_word, p.n_words, p.share) for p in r.placements] for r in licenses.scan(d).collect()}
@@ -177,12 +178,29 @@ def test_licenses_are_placed_as_by_brute_force(spark):
             for start in range(-len(body), len(own)):
                 lo, hi = max(0, start), min(len(own), start + len(body))
                 share = sum(own[j] == body[j - start] for j in range(lo, hi)) / len(body)
-                if share >= licenses.LEAST_COVERAGE and all(f" {' '.join(licenses._words(k))} " in f" {' '.join(own[lo:hi])} " for k in t.keys):
+                if share >= licenses.LEAST_COVERAGE and all(f" {' '.join(licenses._words(k))} " in f" {' '.join(own[max(0, lo - slack):hi + slack])} " for k in t.keys):
                     want.append((t.label, lo, hi - lo, share))
         assert got[i] == want, text
     assert {p[0] for p in got[0]} == {"bsd", "isc", "mit"}
 
 
+@pytest.mark.parametrize(
+    ("label", "text"),
+    [
+        ("mit", 'MIT License\n\nCopyright (c) 2020 A. Author\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software'),
+        ("gpl-2.0", "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version."),
+        ("gpl-3.0", "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version."),
+        ("lgpl-2.1", "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version."),
+        ("agpl-3.0", "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as published\nby the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version."),
+        ("isc", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above"),
+    ],
+)
+def test_licenses_in_their_own_words(spark, label, text):
+    d = spark.createDataFrame([(1, "words before " + text)], "doc_id long, text string")
+    labels = licenses.scan(d).first().labels.split(",")
+    assert label in labels and set(labels) <= {label, "gpl"}
+
+
 # URLs
 
 
