@@ -4,7 +4,8 @@ A mask fixes some token positions and ignores others, so its hash survives a sub
 ignored position. Every position of every document is hashed under each mask and joined with the
 hashed benchmark items; each hit aligns document and item on a diagonal, where tokens are compared
 one by one. An item is found in a document when the matched positions, over all verified
-diagonals, cover enough of it.
+diagonals, cover enough of it, or when the document quotes a long passage of it, however long the item
+is. Items shorter than a mask are met as whole sequences.
 """
 
 from __future__ import annotations
@@ -20,59 +21,67 @@ MASKS = ("11011011", "111010011", "1100110101")
 REACH, LEAST_EQUAL = 8, 9
 #: Share of an item's tokens that a document must have, in place, to contain it.
 COVERAGE = 0.6
+#: Equal tokens around one hit that are a find whatever the item's length. A run of so many is always seen
+#: whole: its fifth token starts a hit of the shortest mask.
+LONG_OVERLAP = 13
 #: Rows up to which the seeds of a benchmark are sent to every executor (about 30 bytes each).
 BROADCAST_SEEDS = 2_000_000
 
 
-def _seeds(tokens: Column, at: Column) -> Column:
-    """The hashes of one position under each mask that fits before the end; null under the others."""
+def _seeds(tokens: Column, at: Column, whole: tuple[int, ...], items: bool) -> Column:
+    """The hashes of one position under each mask that fits before the end; null under the others. ``whole``: lengths of items met as a whole."""
     found = []
-    for m, mask in enumerate(MASKS):
-        fixed = [tokens[at + j] for j, bit in enumerate(mask) if bit == "1"]
-        found.append(F.when(at + len(mask) <= F.size(tokens), F.xxhash64(F.lit(m), *fixed)))
+    for m, mask in enumerate((*MASKS, *("1" * n for n in whole))):
+        fixed = [F.get(tokens, at + j) for j, bit in enumerate(mask) if bit == "1"]
+        fits = F.size(tokens) == len(mask) if items and m >= len(MASKS) else at + len(mask) <= F.size(tokens)
+        found.append(F.when(fits, F.xxhash64(F.lit(m if m < len(MASKS) else len(MASKS) + len(mask)), *fixed)))
     return F.array(*found)
 
 
-def _positions(table: DataFrame, *keep: str) -> DataFrame:
+def _positions(table: DataFrame, whole: tuple[int, ...], items: bool, *keep: str) -> DataFrame:
     """One row per position and mask, with the seed's hash. Generated inside one code stage: the token array isn't copied."""
-    shortest = min(map(len, MASKS))
+    shortest = min(*map(len, MASKS), *whole)
     at = F.explode(F.when(F.size("tokens") >= shortest, F.sequence(F.lit(0), F.size("tokens") - shortest)))
     every = table.select(*keep, "tokens", at.alias("at"))
-    return every.select(*keep, "tokens", "at", F.explode(_seeds(F.col("tokens"), F.col("at"))).alias("seed")).where("seed is not null")
+    return every.select(*keep, "tokens", "at", F.explode(_seeds(F.col("tokens"), F.col("at"), whole, items)).alias("seed")).where("seed is not null")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, item_id, n_item_words, n_matched, coverage, first_word of every item found in a document.
 
     Tokens are lower-case words between white space. first_word is where the item's first token stands
-    or would stand in the document (the least one, if the item is found at several places). Items of
-    fewer tokens than the shortest mask are never found; null texts and empty tables give no rows;
+    or would stand in the document (the least one, if the item is found at several places). Coverage is
+    below ``coverage`` where only a long passage of the item is quoted. Items of fewer tokens than the
+    shortest mask are found word for word; items without a token are not; null texts and empty tables give no rows;
     equal items are each found, repeated rows of a document count once; rows without a doc_id or
     item_id are left out.
     """
     items = benchmark.where("item_id is not null").select("item_id", space_words(F.lower("text")).alias("tokens")).distinct()
-    seeds = _positions(items, "item_id").select("seed", "item_id", F.col("at").alias("item_at"), F.col("tokens").alias("item"))
+    length = F.size("tokens")
+    short = items.where((length > 0) & (length < min(map(len, MASKS)))).select(length.alias("n")).distinct()
+    whole = tuple(sorted(r.n for r in short.collect()))
+    seeds = _positions(items, whole, True, "item_id").select("seed", "item_id", F.col("at").alias("item_at"), F.col("tokens").alias("item"))
     if benchmark.agg(F.sum(F.length("text"))).first()[0] or 0:
         n = seeds.count()
         seeds = F.broadcast(seeds) if n <= BROADCAST_SEEDS else seeds
     tokens = docs.where("doc_id is not null").select("doc_id", space_words(F.lower("text")).alias("tokens"))
-    hits = _positions(tokens, "doc_id").join(seeds, "seed")
+    hits = _positions(tokens, whole, False, "doc_id").join(seeds, "seed")
     start = F.col("at") - F.col("item_at")
     equal = F.filter(F.sequence(F.lit(0), F.size("item") - 1), lambda j: F.get("tokens", j + F.col("start")) == F.get("item", j))
     near = F.size(F.filter("equal", lambda j: F.abs(j - F.col("item_at")) <= REACH))
-    least = F.least(F.lit(LEAST_EQUAL), F.size("item") - F.floor(F.size("item") / 4))
+    least = F.least(F.lit(LEAST_EQUAL), F.col("n") - F.floor(F.col("n") / 4))
     diagonals = (
         hits.withColumn("start", start)
         .withColumn("equal", equal)
-        .withColumn("near", near >= least)
+        .withColumn("near", near)
         .groupBy("doc_id", "item_id", "start")
         .agg(F.first("equal").alias("equal"), F.first(F.size("item")).alias("n"), F.max("near").alias("near"))
-        .where("near")  # after the grouping: as a condition of the join it would keep the join out of generated code
+        .where(F.col("near") >= least)  # after the grouping: as a condition of the join it would keep the join out of generated code
     )
-    found = diagonals.select("doc_id", "item_id", "n", "start", F.explode("equal").alias("j")).groupBy("doc_id", "item_id")
-    found = found.agg(F.first("n").cast("long").alias("n_item_words"), F.count_distinct("j").alias("n_matched"), F.min("start").cast("long").alias("first_word"))
+    found = diagonals.select("doc_id", "item_id", "n", "start", "near", F.explode("equal").alias("j")).groupBy("doc_id", "item_id")
+    found = found.agg(F.first("n").cast("long").alias("n_item_words"), F.count_distinct("j").alias("n_matched"), F.min("start").cast("long").alias("first_word"), F.max("near").alias("near"))
     share = F.col("n_matched") / F.col("n_item_words")
-    return found.where(share >= coverage).select("doc_id", "item_id", "n_item_words", "n_matched", share.alias("coverage"), "first_word")
+    return found.where((share >= coverage) | (F.col("near") >= LONG_OVERLAP)).select("doc_id", "item_id", "n_item_words", "n_matched", share.alias("coverage"), "first_word")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:

@@ -63,6 +63,20 @@ def test_leaks(spark):
     assert decontamination.contamination(d.limit(0), b).count() == 0 and decontamination.contamination(d, b.limit(0)).count() == 0
 
 
+def test_leaks_of_part_of_an_item_and_of_short_items(spark):
+    rng = random.Random(12)
+    noise = lambda n: [f"n{rng.randrange(10**6)}" for _ in range(n)]
+    item, long = [f"t{i}" for i in range(59)], [f"u{i}" for i in range(300)]
+    parts = [item[20:49], long[100:250], item[:13], item[46:], item[30:43], item[:12], item[40:49]]
+    docs = [(i, " ".join(noise(40) + p + noise(40))) for i, p in enumerate(parts)]
+    docs += [(10, "x A b C"), (11, "a b x c"), (12, "one two three four five six seven"), (13, "one two three four five six eight"), (14, "solo"), (15, "a b c a b c")]
+    items = [(1, " ".join(item)), (2, " ".join(long)), (3, "a b c"), (4, "one two three four five six seven"), (5, "Solo"), (6, "")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_matched, r.first_word) for r in decontamination.contamination(d, b).collect()}
+    assert got == {(0, 1): (29, 20), (1, 2): (150, -60), (2, 1): (13, 40), (3, 1): (13, -6), (4, 1): (13, 10), (10, 3): (3, 1), (12, 4): (7, 0), (14, 5): (1, 0), (15, 3): (3, 0)}
+    assert sorted(r.doc_id for r in decontamination.without_leaks(d, b).collect()) == [5, 6, 11, 13]
+
+
 # toxicity
 
 
