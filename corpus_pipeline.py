@@ -50,7 +50,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", toxicity), ("quality_rules", quality_rules), ("near_dedup", near_dedup), ("decontamination", decontamination), ("encoding", encoding)]
 
-#: Trained scores and merges by rank have no SQL; the stages are tested one by one against brute force.
+#: Trained scores and merges by rank have no SQL. The stages' tests check columns, counts and nulls; no brute force says which rows a stage keeps.
 ORACLE_SQL = None
 
 
