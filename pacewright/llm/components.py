@@ -30,12 +30,12 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """
     now = scratch.save(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     mark = None
-    while True:
+    while not now.isEmpty():
         after = scratch.save(_star(_star(now, large=True), large=False))
         seen = after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         scratch.drop(now)
         now = after
-        if (seen.n, seen.s) == mark or seen.n == 0:
+        if (seen.n, seen.s) == mark:
             break
         mark = (seen.n, seen.s)
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))

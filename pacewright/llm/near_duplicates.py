@@ -7,15 +7,18 @@
    values, so the rarest ``size - needed + 1`` of each sketch suffice to meet it (prefix filter over
    document frequency). Values of very common passages are rarely among these.
 3. A list links its members to a hub, the member with the most shared values, not to each other.
-   Pairs whose union-sketch estimate is far below the threshold go; the rest are verified on full
-   sets. Where members of one hub are still in different components, blocks of them are compared
-   on full sets inside tasks, which return links only, so that no link is lost and no table of
-   all pairs is made.
+   A member meets the hub it shares most lists with first, and others only while they are in another
+   component. Pairs whose union-sketch estimate is far below the threshold go; the rest are verified on
+   full sets.
+4. Where members of one hub are still in different components, blocks of them are compared on full
+   sets inside tasks, which return links only, so that no link is lost and no table of all pairs is made.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +30,12 @@ from pacewright.llm.scratch import Scratch
 from pacewright.llm.tokens import SPACE, U64, Chunk, chunks, mix
 
 SHINGLE = 5
-#: Values of a sketch, and the least overlap of two full sketches at a similarity of 0.75: a
-#: binomial count of 128 with mean 96 is below 66 less than once in 10^9 pairs.
-K, LEAST_OVERLAP = 128, 66
+#: Values of a sketch, and the chance at which a linked pair may share fewer of them than are looked up.
+K, MISSED = 64, 1e-9
 NUMERATOR, DENOMINATOR = 3, 4
-#: Documents of a block: two blocks are compared in a task.
-BLOCK = 512
-#: Ids up to which a set of them is sent to every executor (16 bytes each) to pick their texts.
+#: Shingles of a block (8 bytes each): two blocks are compared in a task. Keys that a hub's facts are dealt over.
+BLOCK, SALTS = 1 << 19, 16
+#: Rows up to which ids and pairs are sent to every executor (16 bytes each) to pick their texts.
 BROADCAST_IDS = 1_000_000
 _MULTIPLIERS = [pow(0xD1342543DE82EF95, j + 1, 1 << 64) for j in range(SHINGLE)]
 
@@ -91,32 +93,46 @@ def sketches(docs: DataFrame, k: int = K) -> DataFrame:
     return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, schema)
 
 
-def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id, shingles: the whole sorted set of each document whose id is in ``ids(doc_id)``."""
-    few = ids.count() <= BROADCAST_IDS
-    docs = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+def full_sets(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """The columns of ``asked`` (rep first) and the whole sorted set of each of its documents, last."""
+    few = asked.count() <= BROADCAST_IDS
+    names = asked.columns
+    docs = docs.withColumnRenamed("doc_id", "rep").join(F.broadcast(asked) if few else asked, "rep").select("text", *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch.column(1), SPACE):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.first, chunk.rows), _lists([_signed(s) for s in shingle_sets(chunk)])], ["doc_id", "shingles"])
+            for chunk in chunks(batch.column(0), SPACE):
+                rest = [x.slice(chunk.first, chunk.rows) for x in batch.columns[1:]]
+                yield pa.RecordBatch.from_arrays([*rest, _lists([_signed(s) for s in shingle_sets(chunk)])], [*names, "shingles"])
+
+    return docs.mapInArrow(run, ", ".join(f"{x} long" for x in names) + ", shingles array<long>")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
+@cache
+def least_overlap(k: int) -> int:
+    """The most values that linked sketches of k share but for one pair in ``1 / MISSED``: the tail of a binomial of k at the threshold."""
+    share, tail = NUMERATOR / DENOMINATOR, 0.0
+    for x in range(k + 1):
+        tail += comb(k, x) * share**x * (1 - share) ** (k - x)
+        if tail > MISSED:
+            return max(1, x)
+    return k
 
 
-def needed(n: Column, k: int = K, least: int = LEAST_OVERLAP) -> Column:
+def needed(n: Column, k: int = K) -> Column:
     """Least number of values that the sketch of a set of n shingles shares with a linked one's."""
     whole = F.ceil(n * NUMERATOR / DENOMINATOR)  # both sketches are whole sets then
-    return F.when(n * DENOMINATOR <= k * NUMERATOR, whole).otherwise(F.lit(least)).cast("int")
+    return F.when(n * DENOMINATOR <= k * NUMERATOR, whole).otherwise(F.lit(least_overlap(k))).cast("int")
 
 
 def _postings(reps: DataFrame, k: int) -> DataFrame:
     """v, rep, n, weight: the prefix of each sketch in order of rising document frequency."""
-    values = reps.select("rep", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("v"))
-    shared = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    met = values.join(shared, "v").groupBy("rep", "n", "s").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("met"))
+    values = reps.select("rep", "n", F.explode("sketch").alias("v"))
+    shared = values.groupBy("v").agg(F.count("*").cast("int").alias("df")).where("df > 1")
+    met = values.join(shared, "v").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("met"))
     # values that no other sketch has come first in the order and need no list
-    length = F.col("s") - needed(F.col("n"), k) + 1 - (F.col("s") - F.size("met"))
+    s = F.least(F.col("n"), F.lit(k))
+    length = s - needed(F.col("n"), k) + 1 - (s - F.size("met"))
     prefix = F.filter("met", lambda x, i: i < length)
     return met.select("rep", "n", F.size("met").alias("weight"), F.explode(prefix).alias("x")).select(F.col("x.v").alias("v"), "rep", "n", "weight")
 
@@ -126,17 +142,23 @@ def _fits(a: str, b: str) -> Column:
 
 
 def _verify(scratch: Scratch, pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are linked, after the union sketches' estimate has filtered them."""
+    """The pairs (rep, hub) whose full sets are linked, after the union sketches' estimate has filtered them.
+
+    Only a member's set is sent to its hub's partition, once a pair; the hub's set goes there once. AQE
+    splits the partition of a hub with many members and copies the hub's one row.
+    """
     sides = reps.select("rep", "sketch")
-    both = pairs.join(sides.toDF("a", "sa"), "a").join(sides.toDF("b", "sb"), "b")
+    both = pairs.join(sides.toDF("rep", "sa"), "rep").join(sides.toDF("hub", "sb"), "hub")
     union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
     agreed = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
-    likely = scratch.save(both.where((agreed >= LEAST_OVERLAP) | (F.size(union) < k) & (agreed * DENOMINATOR >= F.size(union) * NUMERATOR)).select("a", "b"))
-    sets = full_sets(docs, likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct())
-    whole = likely.join(sets.toDF("a", "xa"), "a").join(sets.toDF("b", "xb"), "b")
+    likely = scratch.save(both.where((agreed >= least_overlap(k)) | (F.size(union) < k) & (agreed * DENOMINATOR >= F.size(union) * NUMERATOR)).select("rep", "hub"))
+    if likely.isEmpty():
+        return likely.toDF("a", "b")
+    members = full_sets(docs, likely).toDF("rep", "hub", "xa")
+    hubs = full_sets(docs, likely.select(F.col("hub").alias("rep")).distinct()).toDF("hub", "xb")
+    whole = members.join(hubs, "hub")
     common = F.size(F.array_intersect("xa", "xb"))
-    linked = whole.where(common * DENOMINATOR >= (F.size("xa") + F.size("xb") - common) * NUMERATOR).select("a", "b")
-    return scratch.save(linked)
+    return scratch.save(whole.where(common * DENOMINATOR >= (F.size("xa") + F.size("xb") - common) * NUMERATOR).select(F.col("rep").alias("a"), F.col("hub").alias("b")))
 
 
 def _compare(cell: pa.Table) -> pa.Table:
@@ -166,21 +188,40 @@ def _compare(cell: pa.Table) -> pa.Table:
 def _blocks(scratch: Scratch, apart: DataFrame, docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between the members of a hub that are outside its component and all its members.
 
-    The outsiders are dealt into blocks, all members too, and each pair of blocks is a cell, compared
-    in one task: memory is bounded by two blocks, whatever the number of a hub's members.
+    The outsiders are dealt into blocks of about ``block`` shingles, all members too, and each pair of
+    blocks is a cell, compared in one task: memory is bounded by two blocks and the longest text,
+    whatever the number of a hub's members. What is known of a hub reaches its members over salted keys.
     """
-    own = apart.where("rep = hub").select("hub", F.col("c").alias("hc"))
-    rows = apart.join(own, "hub").withColumn("out", F.col("c") != F.col("hc"))
-    sizes = rows.groupBy("hub").agg(F.count("*").alias("m"), F.count_if("out").alias("k")).where("k > 0")
+    parted = apart.groupBy("hub", "c").agg(F.sum("n").alias("s"), F.bool_or(F.col("rep") == F.col("hub")).alias("own"))
+    facts = parted.groupBy("hub").agg(F.max(F.when(F.col("own"), F.col("c"))).alias("hc"), F.sum("s").alias("all"), F.sum(F.when(~F.col("own"), F.col("s"))).alias("outer"))
     parts = lambda n: F.ceil(F.col(n) / block).cast("int")
-    rows = rows.join(sizes, "hub").select("hub", "rep", "c", "out", parts("k").alias("nl"), parts("m").alias("nr"), F.xxhash64("rep").alias("h"))
-    sets = full_sets(docs, rows.select(F.col("rep").alias("doc_id")).distinct())
-    rows = rows.join(sets.toDF("rep", "shingles"), "rep")
-    lefts = rows.where("out").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nr") - 1))).withColumn("i", F.expr("pmod(h, nl)").cast("int"))
-    rights = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nl") - 1))).withColumn("j", F.expr("pmod(h, nr)").cast("int"))
-    columns = ("hub", "i", "j", "rep", "c", "shingles")
-    cells = lefts.select(*columns, F.lit(True).alias("left")).unionByName(rights.select(*columns, F.lit(False).alias("left")))
-    return scratch.save(cells.groupBy("hub", "i", "j").applyInArrow(_compare, "a long, b long").distinct())
+    facts = facts.where("outer > 0").select("hub", "hc", parts("outer").alias("nl"), parts("all").alias("nr"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salt = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    rows = apart.select("hub", "rep", "c").withColumn("salt", salt(F.lit(SALTS))).join(facts, ["hub", "salt"]).drop("salt")
+    own = [F.pmod(F.xxhash64("rep", F.lit(1)), F.col(n)).cast("int") for n in ("nl", "nr")]
+    cell = lambda i, j, left: F.struct(i.alias("i"), j.alias("j"), F.lit(left).alias("left"))
+    right = F.transform(F.sequence(F.lit(0), F.col("nl") - 1), lambda i: cell(i, own[1], False))
+    left = F.transform(F.sequence(F.lit(0), F.col("nr") - 1), lambda j: cell(own[0], j, True))
+    cells = F.explode(F.when(F.col("c") != F.col("hc"), F.concat(left, right)).otherwise(right)).alias("x")
+    rows = scratch.save(rows.select("rep", "hub", "c", cells).select("rep", "hub", "c", "x.*"))
+    if rows.isEmpty():
+        return rows.select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    sets = full_sets(docs, rows.select("rep").distinct()).toDF("rep", "shingles")
+    return scratch.save(rows.join(sets, "rep").groupBy("hub", "i", "j").applyInArrow(_compare, "a long, b long").distinct())
+
+
+def _merged(scratch: Scratch, label: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) after further links, found between the components so far."""
+    if label is None:
+        return scratch.save(components(scratch, links))
+    if links.isEmpty():
+        return label
+    known = label.select("node", "component")
+    ends = links.join(known.toDF("a", "ca"), "a", "left").join(known.toDF("b", "cb"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    over = components(scratch, ends)
+    new = over.toDF("component", "top")
+    lower = label.join(new, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    return scratch.save(lower.unionByName(over.join(label.select("node"), "node", "left_anti")))
 
 
 def near_duplicates(docs: DataFrame, k: int = K) -> DataFrame:
@@ -188,9 +229,10 @@ def near_duplicates(docs: DataFrame, k: int = K) -> DataFrame:
 
     Documents are linked where 4 * common shingles >= 3 * shingles of both; component_id is the least
     doc_id that links reach, kept says whether it is the document's own. Null or empty texts and texts
-    without words have no shingles, keep themselves and are linked with nothing. Rows that repeat a
-    doc_id each have a row and share their links; rows without a doc_id are left out. An empty table
-    gives an empty result; further columns are ignored.
+    without words have no shingles, keep themselves and are linked with nothing. Whole texts are read,
+    however long: a text's set (8 bytes a word) must fit in a task. Rows that repeat a doc_id each have a
+    row and share their links; rows without a doc_id are left out. An empty table gives an empty result;
+    further columns are ignored.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
@@ -202,21 +244,41 @@ def near_duplicates(docs: DataFrame, k: int = K) -> DataFrame:
     member = scratch.save(same.where("copies > 1").drop("copies"))
     copies = words.join(member, ["n_shingles", "fp1", "fp2"]).where("doc_id <> rep").select("doc_id")
     reps = words.join(copies, "doc_id", "left_anti").select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch")
-    # 2. lists
+    # 2. lists and their hubs
     lists = scratch.save(_postings(reps, k))
-    # 3. hubs, then the members of a hub that are in different components
     score = F.struct(F.col("weight"), (-F.col("rep")).alias("neg"), F.col("n"))
     hubs = lists.groupBy("v").agg(F.max(score).alias("h")).select("v", (-F.col("h.neg")).alias("hub"), F.col("h.n").alias("m"))
     met = scratch.save(lists.join(hubs, "v").select("v", "hub", "m", "rep", "n"))
-    near = met.where((F.col("rep") != F.col("hub")) & _fits("n", "m"))
-    pairs = scratch.save(near.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct())
-    found = _verify(scratch, pairs, reps, docs, k)
-    label = scratch.save(components(scratch, found))
-    labelled = met.select("v", "hub", "rep").join(label.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
+    # 3. each member and the hub that it shares most lists with, then its other hubs if they are still apart
+    near = met.where((F.col("rep") != F.col("hub")) & _fits("n", "m")).groupBy("rep", "hub").agg(F.count("*").alias("lists"))
+    near = scratch.save(near)
+    best = near.groupBy("rep").agg(F.max(F.struct("lists", (-F.col("hub")).alias("neg"))).alias("x")).select("rep", (-F.col("x.neg")).alias("hub"))
+    label = _merged(scratch, None, _verify(scratch, best, reps, docs, k))
+    other = _apart(near.join(best, ["rep", "hub"], "left_anti").select("rep", "hub"), label)
+    label = _merged(scratch, label, _verify(scratch, other, reps, docs, k))
+    # 4. the members of a hub that are in different components
+    labelled = met.select("v", "hub", "rep", "n").join(label.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep"))
     several = labelled.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("v")
-    apart = scratch.save(labelled.join(several, "v", "left_semi").select("hub", "rep", "c").distinct())
-    label = components(scratch, found.union(_blocks(scratch, apart, docs)))
+    apart = scratch.save(labelled.join(several, "v", "left_semi").select("hub", "rep", "n", "c").distinct())
+    label = _merged(scratch, label, _blocks(scratch, apart, docs))
     out = base.select("doc_id", "n_shingles", "fp1", "fp2").join(member, ["n_shingles", "fp1", "fp2"], "left")
     out = out.withColumn("rep", F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")))
     out = out.join(label.toDF("rep", "component_id"), "rep", "left").withColumn("component_id", F.coalesce("component_id", "rep"))
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs (rep, hub) whose ends are in different components."""
+    ends = pairs.join(label.toDF("rep", "ca"), "rep", "left").join(label.toDF("hub", "cb"), "hub", "left")
+    return ends.where(F.coalesce("ca", "rep") != F.coalesce("cb", "hub")).select("rep", "hub")
+
+
+def without_copies(docs: DataFrame) -> DataFrame:
+    """The documents without those that another of their group, with a lower doc_id, stands for.
+
+    Rows without a doc_id stay; rows that repeat a doc_id stay or go together. The ids that go are sent to
+    every executor where they are few enough, counted first; else texts are dealt by doc_id.
+    """
+    gone = Scratch(docs.sparkSession).save(near_duplicates(docs).where("not kept").select("doc_id").distinct())
+    few = gone.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)

@@ -80,12 +80,11 @@ def _quality() -> str:
         ranks = table(f"r{i}", q.RANKS, distances=distances)
         moments = table(f"m{i}", q.MOMENTS, distances=distances, ranks=ranks)
         estimate = table(f"e{i + 1}", q.ESTIMATE, moments=moments)
-    distances = table("dz", q.DISTANCES, rows="rws", estimate=estimate)
-    table("lst", q.LAST, estimate=estimate, middle="middle", ranks=table("rz", q.RANKS, distances=distances))
+    table("lst", q.LAST, estimate=estimate, middle="middle")
     table("placed", "select * from (" + q.PLACED + ") p left join grouped using (gl, gs) left join lst using (pl, ps)", stats="stats")
-    table("far", q.VERDICTS.replace("lang, source, ", ""), placed="placed")
+    table("far", q.verdicts("doc_id"), placed="placed")
     chain = ",\n".join(f"{name} as materialized ({sql})" for name, sql in tables)
-    return f"with {chain}\nselect doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and coalesce(distance <= {q.CUTOFF!r}, true) as kept from far"
+    return f"with {chain}\nselect * exclude (distance) from far"
 
 
 def oracle_sql() -> dict[str, str]:

@@ -30,8 +30,10 @@ from pyspark.sql import types as T
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
-#: Remembered units and pairs of a worker; the memory is emptied when full.
-REMEMBERED_UNITS, REMEMBERED_PAIRS = 800_000, 1_000_000
+#: Remembered units of a worker (about 200 bytes each), in two generations.
+REMEMBERED_UNITS = 150_000
+#: Remembered left pieces and right pieces of each: together at most some hundred thousand pairs that texts hold.
+LEFT_PIECES, RIGHT_PIECES = 4_000, 256
 #: What an unknown character costs beyond the worst piece of a unigram model.
 UNKNOWN_PENALTY = 10.0
 
@@ -85,7 +87,7 @@ class Model:
         reachable = {p: p for p in self.ids if self.kind != BPE or len(p) == 1 or p in self.halves}
         self.prefixes: dict[str, str | None] = {p[:k]: None for p in self.ids for k in range(1, len(p) + 1)} | reachable
         self.units = _Memory(self._path, REMEMBERED_UNITS)
-        self.pairs = _Memory(lambda a: _Memory(lambda b: self._stay_apart(a, b), REMEMBERED_PAIRS), REMEMBERED_PAIRS)
+        self.pairs = _Memory(lambda a: _Memory(lambda b: self._stay_apart(a, b), RIGHT_PIECES), LEFT_PIECES)
 
     @staticmethod
     def parse(data: bytes) -> Model:
@@ -153,16 +155,23 @@ class Model:
         n = len(unit)
         last: list[str] = [""] * (n + 1)
         if self.kind == BPE:
-            # a position has one state that a finite path reaches, so none is entered twice; the farthest goes first
-            reached = [0]
-            while not last[n]:
-                start = reached.pop()
-                apart = self.pairs[last[start]] if start else None
-                for piece in self._arcs(unit, start):
-                    end = start + len(piece)
-                    if not last[end] and (apart is None or apart[piece]):
-                        last[end] = piece
-                        reached.append(end)
+            # a position has one state that a finite path reaches, so none is entered twice; the longest arc goes first
+            open_, start, end, pairs = [], 0, -1, self.pairs
+            while end < n:
+                if end:
+                    start = max(0, end)
+                    open_.append((start, self._arcs(unit, start), pairs[last[start]] if start else None))
+                end = 0
+                start, arcs, apart = open_[-1]
+                while arcs:
+                    piece = arcs.pop()
+                    reached = start + len(piece)
+                    if not last[reached] and (apart is None or apart[piece]):
+                        last[reached] = piece
+                        end = reached
+                        break
+                else:
+                    open_.pop()
         else:
             best = [0.0] + [inf] * n
             for start in range(n):
@@ -203,13 +212,19 @@ _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
 class _Memory(dict):
+    """Results by key, in two generations of ``size``: when the young one is full it becomes the old one, whose keys in use come back."""
+
     def __init__(self, make, size: int):
-        self.make, self.size = make, size
+        self.make, self.size, self.old = make, size, {}
 
     def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.size:
+            self.old = dict(self)
             self.clear()
-        self[key] = value = self.make(key)
+        self[key] = value
         return value
 
 

@@ -11,6 +11,8 @@ only ever aggregated, never gathered.
 
 from __future__ import annotations
 
+from math import erf, exp, gamma, sqrt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,11 +30,33 @@ FEATURES = {
 }
 UNIT = 10_000
 #: Rows of the h-subset, concentration steps, rows below which a group is pooled with others.
-SUBSET, STEPS, LEAST_ROWS = 0.75, 3, 60
-#: Bins to an octave of squared distance; the squared distance beyond which a document is rejected,
-#: after scaling so that the median is that of a chi-square of as many degrees as features.
-BINS, CUTOFF = 32, 2200.0
-_MEDIAN_CHI2 = len(FEATURES) * (1 - 2 / (9 * len(FEATURES))) ** 3
+SUBSET, STEPS, LEAST_ROWS = 0.75, 4, 60
+#: Bins to an octave of squared distance.
+BINS = 32
+
+
+def chi_square(x: float, degrees: int) -> float:
+    """The distribution function of a chi-square."""
+    k, p = (1, erf(sqrt(x / 2))) if degrees % 2 else (2, 1 - exp(-x / 2))
+    while k < degrees:
+        p -= (x / 2) ** (k / 2) * exp(-x / 2) / gamma(k / 2 + 1)
+        k += 2
+    return p
+
+
+def chi_square_quantile(p: float, degrees: int) -> float:
+    low, high = 0.0, 1000.0
+    for _ in range(80):
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi_square(mid, degrees) < p else (low, mid)
+    return low
+
+
+#: The share of normal rows beyond the cut-off on the squared distance.
+REJECTED = 1e-9
+CUTOFF = chi_square_quantile(1 - REJECTED, len(FEATURES))
+#: The covariance of the nearest SUBSET of normal rows is too small by this factor.
+CONSISTENCY = SUBSET / chi_square(chi_square_quantile(SUBSET, len(FEATURES)), len(FEATURES) + 2)
 #: Groups up to which their estimates are sent to every executor (about 300 bytes each).
 BROADCAST_GROUPS = 100_000
 
@@ -77,12 +101,14 @@ ROWS = f"select pl, ps, {_XS} from (" + " union all ".join(f"select {keys}, {_XS
 MIDDLE = "select pl, ps, count(*) as n, " + ", ".join(f"percentile_disc(0.5) within group (order by x{i} - x{i} % 100) as m{i}" for i in _P) + " from {rows} group by pl, ps"
 SPREAD = "select pl, ps, " + ", ".join(f"percentile_disc(0.5) within group (order by abs(x{i} - m{i}) - abs(x{i} - m{i}) % 100) as s{i}" for i in _P) + " from {rows} join {middle} using (pl, ps) group by pl, ps"
 _FLOOR = [UNIT * least for _, least in FEATURES.values()]
-#: The first estimate has a diagonal covariance: l<i><j> is the Cholesky factor's entry.
-FIRST = (
-    "select pl, ps, n, " + ", ".join(f"cast(m{i} as double) as c{i}" for i in _P) + ", "
-    + ", ".join(f"sqrt(1.4826 * s{i} * 1.4826 * s{i} + {_FLOOR[i] ** 2!r})" + f" as l{i}{i}" for i in _P)
+#: Two starts, both at the medians with a diagonal covariance: of the absolute deviations, and of the least
+#: variances alone. l<i><j> is the Cholesky factor's entry.
+FIRST = " union all ".join(
+    f"select pl, ps, {start} as st, " + ", ".join(f"cast(m{i} as double) as c{i}" for i in _P) + ", "
+    + ", ".join((f"sqrt(1.4826 * s{i} * 1.4826 * s{i} + {_FLOOR[i] ** 2!r})" if start == 0 else f"cast({_FLOOR[i]!r} as double)") + f" as l{i}{i}" for i in _P)
     + "".join(f", cast(0 as double) as l{i}{j}" for i in _P for j in range(i))
     + " from {middle} join {spread} using (pl, ps)"
+    for start in range(2)
 )
 
 
@@ -95,19 +121,19 @@ def _distance(source: str, keep: str) -> str:
 
 
 _BIN = f"cast(floor({BINS} * ln(1 + d2) / ln(cast(2 as double))) as bigint)"
-DISTANCES = f"select pl, ps, {_XS}, {_BIN} as bin from (" + _distance("{rows} join {estimate} using (pl, ps)", f"pl, ps, {_XS}") + ") z"
-RANKS = f"select pl, ps, percentile_disc({SUBSET}) within group (order by bin) as h, percentile_disc(0.5) within group (order by bin) as mid from {{distances}} group by pl, ps"
+DISTANCES = f"select pl, ps, st, {_XS}, {_BIN} as bin from (" + _distance("{rows} join {estimate} using (pl, ps)", f"pl, ps, st, {_XS}") + ") z"
+RANKS = f"select pl, ps, st, percentile_disc({SUBSET}) within group (order by bin) as h from {{distances}} group by pl, ps, st"
 _SUM = "cast(sum(cast({} as decimal(20,0))) as double)"
 MOMENTS = (
-    "select pl, ps, cast(count(*) as double) as k, " + ", ".join(_SUM.format(f"x{i}") + f" as t{i}" for i in _P) + ", "
-    + ", ".join(_SUM.format(f"x{i} * x{j}") + f" as t{i}{j}" for i in _P for j in range(i + 1)) + " from {distances} join {ranks} using (pl, ps) where bin <= h group by pl, ps"
+    "select pl, ps, st, cast(count(*) as double) as k, " + ", ".join(_SUM.format(f"x{i}") + f" as t{i}" for i in _P) + ", "
+    + ", ".join(_SUM.format(f"x{i} * x{j}") + f" as t{i}{j}" for i in _P for j in range(i + 1)) + " from {distances} join {ranks} using (pl, ps, st) where bin <= h group by pl, ps, st"
 )
 
 
 def _estimate() -> str:
-    """SQL for the next estimate: mean, and the Cholesky factor of the covariance with the least variances added."""
-    sql = "select pl, ps, " + ", ".join(f"t{i} / k as c{i}" for i in _P) + ", "
-    sql += ", ".join(f"t{i}{j} / k - (t{i} / k) * (t{j} / k)" + (f" + {_FLOOR[i] ** 2!r}" if i == j else "") + f" as v{i}{j}" for i in _P for j in range(i + 1)) + " from {moments}"
+    """SQL for the next estimate: mean, and the Cholesky factor of the consistent covariance with the least variances added."""
+    sql = "select pl, ps, st, " + ", ".join(f"t{i} / k as c{i}" for i in _P) + ", "
+    sql += ", ".join(f"{CONSISTENCY!r} * (t{i}{j} / k - (t{i} / k) * (t{j} / k))" + (f" + {_FLOOR[i] ** 2!r}" if i == j else "") + f" as v{i}{j}" for i in _P for j in range(i + 1)) + " from {moments}"
     for i in _P:
         for j in range(i + 1):
             rest = f"v{i}{j}" + "".join(f" - l{i}{m} * l{j}{m}" for m in range(j))
@@ -117,31 +143,30 @@ def _estimate() -> str:
 
 
 ESTIMATE = _estimate()
+#: Of a group's estimates the one with the least determinant; none for groups that are too small even pooled.
+LAST = (
+    "select * from (select e.*, row_number() over (partition by pl, ps order by " + " * ".join(f"l{i}{i}" for i in _P)
+    + f", st) as choice from {{estimate}} e join {{middle}} m using (pl, ps) where m.n >= {LEAST_ROWS}) c where choice = 1"
+)
+PLACED = f"select *, ({BASE_FAILED}) as base_failed, " + ", ".join(f"case when n_words > 0 then cast(floor({UNIT} * {sql} + 0.5) as bigint) end as x{i}" for i, (sql, _) in enumerate(FEATURES.values())) + " from {stats}"
+COUNTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
-LAST = f"select e.*, r.mid from {{estimate}} e join {{ranks}} r using (pl, ps) join {{middle}} m using (pl, ps) where m.n >= {LEAST_ROWS}"
-PLACED = f"select *, ({BASE_FAILED}) as base_failed, " + ", ".join(f"case when n_words > 0 then cast(floor({UNIT} * {sql} + 0.5) as bigint) end as x{i}" for i, (sql, _) in enumerate(FEATURES.values())) + " from {stats}"
-RESULT = ("doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance")
-#: The squared distance, scaled so that its group's median bin ends at the chi-square's median.
-VERDICTS = f"select *, d2 * {_MEDIAN_CHI2!r} / (exp((mid + 1) * ln(cast(2 as double)) / {BINS}) - 1) as distance from (" + _distance("{placed}", ", ".join((*RESULT[:-1], "mid"))) + ") z"
+def verdicts(*columns: str, cutoff: float = CUTOFF) -> str:
+    """SQL for the given columns of {placed} with the squared distance (null where there is no estimate) and kept."""
+    return f"select {', '.join((*columns, *COUNTED))}, d2 as distance, not base_failed and coalesce(d2 <= {cutoff!r}, true) as kept from (" + _distance("{placed}", ", ".join((*columns, *COUNTED))) + ") z"
 
 
 def _run(sql: str, **tables: DataFrame) -> DataFrame:
     return next(iter(tables.values())).sparkSession.sql(sql, **tables)
 
 
-def quality(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """doc_id, lang, source, the statistics, base_failed, distance (squared, scaled), kept of every document.
-
-    Null texts are empty. Null languages or sources form a group of their own. Groups of fewer than
-    ``LEAST_ROWS`` rows that pass the base rules use the estimate of all rows of their language, else of
-    all rows; where even those are too few, only the base rules decide. Equal rows count each. An empty table gives an empty
-    result; other columns are ignored.
-    """
+def _judged(docs: DataFrame, columns: tuple[str, ...], cutoff: float) -> DataFrame:
+    """The given columns of ``docs``, which has text, lang and source, with the statistics, distance and kept."""
     scratch = Scratch(docs.sparkSession)
-    stats = statistics(docs.select("doc_id", "text", "lang", "source"))
+    stats = statistics(docs)
     stats = scratch.save(stats.withColumn("gl", F.coalesce(F.concat(F.lit("="), "lang"), F.lit("?"))).withColumn("gs", F.coalesce(F.concat(F.lit("="), "source"), F.lit("?"))))
-    vectors = _run(VECTORS, stats=stats)
+    vectors = _run(VECTORS, stats=stats.drop("row"))
     groups = scratch.save(_run(GROUPS, vectors=vectors))
     small = groups.count() <= BROADCAST_GROUPS
     hint = F.broadcast if small else lambda x: x
@@ -153,6 +178,24 @@ def quality(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
         moments = _run(MOMENTS, distances=distances, ranks=hint(_run(RANKS, distances=distances)))
         estimate = scratch.save(_run(ESTIMATE, moments=moments))
         scratch.drop(distances)
-    last = scratch.save(_run(LAST, estimate=estimate, middle=middle, ranks=_run(RANKS, distances=_run(DISTANCES, rows=rows, estimate=hint(estimate)))))
+    last = scratch.save(_run(LAST, estimate=estimate, middle=middle))
     placed = _run(PLACED, stats=stats).join(hint(groups), ["gl", "gs"], "left").join(hint(last), ["pl", "ps"], "left")
-    return _run(VERDICTS, placed=placed).selectExpr(*RESULT, f"not base_failed and coalesce(distance <= {cutoff!r}, true) as kept")
+    return _run(verdicts(*columns, cutoff=cutoff), placed=placed)
+
+
+def quality(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+    """doc_id, lang, source, the statistics, base_failed, distance (squared), kept of every document.
+
+    Null texts are empty. Null languages or sources form a group of their own. Groups of fewer than
+    ``LEAST_ROWS`` rows that pass the base rules use the estimate of all rows of their language, else of
+    all rows; where even those are too few, only the base rules decide. Equal rows count each. An empty table
+    gives an empty result; other columns are ignored. Whole texts are counted: a text and arrays of its
+    words and word windows (about 40 bytes a word) must fit in a task.
+    """
+    return _judged(docs.select("doc_id", "text", "lang", "source"), ("doc_id", "lang", "source"), cutoff)
+
+
+def without_poor(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+    """The rows that ``quality`` keeps, with all their columns; rows go beside their statistics, so none is joined back."""
+    rows = docs.select("text", "lang", "source", F.struct(*docs.columns).alias("row"))
+    return _judged(rows, ("row",), cutoff).where("kept").select("row.*")

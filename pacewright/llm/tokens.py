@@ -1,7 +1,7 @@
 """Words of whole texts as numpy spans and hashes, straight from Arrow's UTF-8 buffers.
 
-Separators are ASCII bytes and every other byte of UTF-8 is 128 or more, so splitting bytes
-splits code points. Nothing here makes a Python string per word.
+Separators are ASCII bytes and every other byte of UTF-8 is 128 or more, so cutting between bytes
+cuts between code points. Nothing here makes a Python string per word.
 """
 
 from __future__ import annotations
@@ -36,20 +36,34 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Bytes that are hashed at once, so that the wide arrays of one byte's powers stay small however long a text is.
+PIECE = 1 << 18
+
+
+def _spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and past-the-last byte of each word; no word crosses a row's edge."""
+    starts, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a in range(0, len(data), PIECE):
+        b = min(a + PIECE, len(data))
+        lo, hi = max(0, a - 1), min(len(data), b + 1)
+        inside = np.zeros(b - a + 2, bool)  # with a byte on either side
+        inside[lo - a + 1 : hi - a + 1] = ~separators[data[lo:hi]]
+        begins, finals = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
+        first = offsets[np.searchsorted(offsets, a) : np.searchsorted(offsets, b)] - a
+        begins[first] = inside[first + 1]
+        past = offsets[np.searchsorted(offsets, a, "right") : np.searchsorted(offsets, b, "right")] - a
+        finals[past - 1] = inside[past]
+        starts.append(np.flatnonzero(begins) + a)
+        ends.append(np.flatnonzero(finals) + a + 1)
+    return np.concatenate(starts), np.concatenate(ends)
+
+
 class Chunk:
     """Consecutive rows of one batch: bytes (lower-cased A-Z), row offsets, word spans by row."""
 
     def __init__(self, first: int, data: np.ndarray, offsets: np.ndarray, separators: np.ndarray):
         self.first, self.data, self.offsets = first, LOWER[data], offsets
-        inside = ~separators[self.data]
-        begins, ends = inside.copy(), inside.copy()
-        begins[1:] &= ~inside[:-1]
-        ends[:-1] &= ~inside[1:]
-        full = offsets[:-1][offsets[:-1] < offsets[1:]]
-        begins[full] = inside[full]
-        last = offsets[1:][offsets[:-1] < offsets[1:]] - 1
-        ends[last] = inside[last]
-        self.starts, self.ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        self.starts, self.ends = _spans(self.data, offsets, separators)
         #: Row r has the words from bounds[r] up to bounds[r + 1].
         self.bounds = np.searchsorted(self.starts, offsets)
 
@@ -62,20 +76,31 @@ class Chunk:
         return np.diff(self.bounds)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word: a polynomial of its bytes, mixed."""
-        up, down = _powers(1 << max(12, (len(self.data) + 1).bit_length()))
-        sums = np.zeros(len(self.data) + 1, U64)
-        np.cumsum(self.data.astype(U64) * up[: len(self.data)], out=sums[1:])
-        h = (sums[self.ends] - sums[self.starts]) * down[self.starts]
-        return mix(h + (self.ends - self.starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+        """A 64-bit hash of each word: a polynomial of its bytes, mixed. A word that lies in several pieces is the sum of its parts."""
+        up, down = _powers()
+        h = np.zeros(len(self.starts), U64)
+        sums = np.zeros(PIECE + 1, U64)
+        for a in range(0, len(self.data), PIECE):
+            b = min(a + PIECE, len(self.data))
+            i, j = np.searchsorted(self.ends, a, "right"), np.searchsorted(self.starts, b)
+            if i == j:
+                continue
+            np.cumsum(self.data[a:b] * up[: b - a], out=sums[1 : b - a + 1])
+            s, e = np.maximum(self.starts[i:j], a) - a, np.minimum(self.ends[i:j], b) - a
+            part = (sums[e] - sums[s]) * down[s]
+            if self.starts[i] < a:
+                part[:1] *= U64(pow(_BASE, a - int(self.starts[i]), 1 << 64))
+            h[i:j] += part
+        h += (self.ends - self.starts).astype(U64) * U64(0xD6E8FEB86659FD93)
+        return mix(h)
 
     def word_rows(self) -> np.ndarray:
         return np.repeat(np.arange(self.rows), self.counts)
 
 
 @cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(n, _BASE, U64), np.full(n, _BASE_INV, U64)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    up, down = np.full(PIECE + 1, _BASE, U64), np.full(PIECE + 1, _BASE_INV, U64)
     up[0] = down[0] = 1
     return np.cumprod(up), np.cumprod(down)
 

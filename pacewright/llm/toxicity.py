@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pacewright.llm.scratch import Scratch
 from pacewright.llm.tokens import NOT_ALNUM, U64, Chunk, chunks
@@ -144,7 +145,7 @@ def _rising(positive: np.ndarray, total: np.ndarray) -> np.ndarray:
         while len(pools) > 1 and pools[-1][0] * pools[-2][1] <= pools[-2][0] * pools[-1][1]:
             p2, n2, k2 = pools.pop()
             pools[-1] = [pools[-1][0] + p2, pools[-1][1] + n2, pools[-1][2] + k2]
-    base = (positive.sum() + 0.5) / (total.sum() + 1)
+    base = positive.sum() / max(1.0, total.sum())
     return np.maximum.accumulate(np.repeat([(p + base) / (n + 1) for p, n, _ in pools], [k for *_, k in pools]))
 
 
@@ -152,7 +153,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Mode
     """Fit on at most ``rows`` labelled documents whose id isn't held out.
 
     Labels other than 0 and 1 and labels of no document are ignored; a document labelled both ways is
-    toxic. Without a toxic or without a clean document every score is the training share of toxic ones.
+    toxic. Without a toxic or without a clean document every score is the training share of toxic ones,
+    so nothing is rejected where nothing is labelled.
     """
     scratch = Scratch(docs.sparkSession)
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -190,26 +192,39 @@ SCHEMA = "score double, predicted int, n_words long, passages array<struct<first
 _PASSAGES = pa.list_(pa.struct([("first_word", pa.int64()), ("last_word", pa.int64()), ("score", pa.float64()), ("evidence", pa.float64())]))
 
 
-def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted, n_words, passages (every significant toxic segment, in words) of each document.
-
-    A null or empty text has the least score and no passage; repeated rows are each scored; a row
-    without doc_id is scored like others; an empty table gives an empty result.
-    """
+def _scored(docs: DataFrame, at: int, model: Model, threshold: float) -> DataFrame:
+    """``docs``, whose text is the column at ``at``, with the columns of ``SCHEMA`` added."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch.column(1), NOT_ALNUM):
+            for chunk in chunks(batch.column(at), NOT_ALNUM):
                 total, passages, n = np.zeros(chunk.rows), [[] for _ in range(chunk.rows)], chunk.counts
                 for row, found in _segments(chunk, model.scores).items():
                     evidence = _evidence(found, int(n[row]), model.decay, model.log_k)
                     total[row] = sum(evidence)
                     passages[row] = [{"first_word": a, "last_word": b - 1, "score": s, "evidence": e} for (a, b, s), e in zip(found, evidence, strict=True) if e > 0]
                 score = np.minimum(1.0, model.probability[np.minimum(total / BIN, BINS - 1).astype(int)] + 1e-6 * np.tanh(total / 100))
+                own = batch.slice(chunk.first, chunk.rows)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(chunk.first, chunk.rows), pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(n), pa.array(passages, _PASSAGES)],
-                    ["doc_id", "score", "predicted", "n_words", "passages"],
+                    [*own.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(n), pa.array(passages, _PASSAGES)],
+                    [*own.schema.names, "score", "predicted", "n_words", "passages"],
                 )
 
-    out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, {SCHEMA}")
-    return out.withColumn("held_out", held_out(F.col("doc_id")))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *T.StructType.fromDDL(SCHEMA).fields]))
+
+
+def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, held_out, score, predicted, n_words, passages (every significant toxic segment, in words) of each document.
+
+    A null or empty text has the least score and no passage; repeated rows are each scored; a row
+    without doc_id is scored like others; an empty table gives an empty result. A text of any length is
+    scored whole; a task holds its words' hashes and scores (about 50 bytes a word).
+    """
+    out = _scored(docs.select("doc_id", "text"), 1, model, threshold)
+    return out.select("doc_id", "score", "predicted", "n_words", "passages").withColumn("held_out", held_out(F.col("doc_id")))
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that the score doesn't reject, each judged by its own text where it stands: nothing is joined or shuffled."""
+    names = [f"_{i}" for i in range(len(docs.columns))]  # none clashes with what is added
+    return _scored(docs.toDF(*names), docs.columns.index("text"), model, threshold).where("predicted = 0").select(*names).toDF(*docs.columns)

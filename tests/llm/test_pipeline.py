@@ -15,7 +15,9 @@ def test_stages_filter_in_turn(spark, tables_dir):
 
 def test_an_empty_table_and_null_ids_pass(spark, tables_dir):
     docs = spark.read.parquet(f"{tables_dir}/documents.parquet")
-    odd = spark.createDataFrame([(None, "a text without an id", None, None, 3)], docs.schema)
+    odd = spark.createDataFrame([(None, " ".join(f"word{i}" for i in range(60)), None, None, 3)], docs.schema)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), tables_dir).count() == 0
         assert stage(spark, odd, tables_dir).count() == 1
+    poor = spark.createDataFrame([(None, "a text that is too short", None, None, 3)], docs.schema)
+    assert corpus_pipeline.quality_rules(spark, poor, tables_dir).count() == 0
