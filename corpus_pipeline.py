@@ -1,41 +1,36 @@
 """The corpus pipeline: toxic documents go, then poor ones, then near-duplicates, then benchmark leaks; what stays is encoded.
 
-Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. Decisions are joined
-back by doc_id, so rows keep their columns; a row without doc_id can't be decided on and stays.
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. Rows keep their
+columns. Toxicity and quality judge a row by itself; copies and leaks are found by doc_id, so for
+those a row without one can't be decided on and stays, and rows that share one share the decision.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pacewright.llm.decontamination import without_leaks
-from pacewright.llm.near_duplicates import near_duplicates
+from pacewright.llm.near_duplicates import without_copies
 from pacewright.llm.pieces import encode
-from pacewright.llm.quality import quality
+from pacewright.llm.quality import without_poor
 from pacewright.llm.queries import TOKENIZER
 from pacewright.llm.scratch import Scratch
-from pacewright.llm.toxicity import score_texts, train
-
-
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    return docs.join(rejected.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+from pacewright.llm.toxicity import train, without_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without those that the toxicity score rejects."""
-    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, score_texts(docs, model).where("predicted = 1"))
+    """The documents without those that the toxicity score rejects, each by its own text."""
+    return without_toxic(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the base rules and their group's robust distance keep."""
-    return _without(docs, quality(docs).where("not kept"))
+    """The documents that the base rules and their group's robust distance keep, each by its own text."""
+    return without_poor(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the least doc_id."""
-    return _without(docs, near_duplicates(docs).where("not kept"))
+    return without_copies(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
