@@ -1,15 +1,17 @@
 """Main text of web pages by consensus host paths.
 
 Every page scores its containers by the running text they hold; its best ones vote for their
-generalised tag and class paths within the page's host. The path with the most votes is then used to
-extract all pages of that host again. A page without a container there uses its own best one.
+generalised tag and class paths within the page's host. The path with the most votes, and paths beside it
+with half as many or more (an article in several parts), are then used to extract all pages of that host
+again. A page without a container there uses its own best one.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
-from html import unescape
+from html import escape, unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,15 +20,13 @@ from pyspark.sql import functions as F
 from pacewright.llm.scratch import Scratch
 from pacewright.llm.url_filter import parts
 
-#: Containers of a page that vote, and hosts up to which the paths are broadcast (about 100 bytes each).
-VOTES, BROADCAST_HOSTS = 3, 200_000
+#: Containers of a page that vote; the share of the winner's votes with which a path beside it wins too.
+VOTES, BESIDE = 3, 0.5
+#: Bytes of hosts and paths up to which they are broadcast; elements within elements up to which a tree grows deeper.
+BROADCAST_BYTES, DEEPEST = 32 << 20, 2_000
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)([^>]*)>",
-    re.S,
-)
+_MARKUP = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|(/?)([a-zA-Z][a-zA-Z0-9:_-]*))")
+_EDGE = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _RAW = {"script", "style", "textarea", "title", "iframe", "noscript", "template", "xmp", "noembed", "noframes"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr", "param"}
@@ -48,11 +48,14 @@ _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dia
 
 
 class Node:
-    __slots__ = ("tag", "step", "parent", "children", "dropped")
+    __slots__ = ("tag", "step", "parent", "children", "dropped", "container", "article")
 
     def __init__(self, tag: str, step: str, parent: Node | None, dropped: bool):
         self.tag, self.step, self.parent, self.dropped = tag, step, parent, dropped
         self.children: list[Node | str] = []
+        #: The nearest container and the nearest article, itself included.
+        self.container: Node | None = self if tag in _CONTAINERS else parent and parent.container
+        self.article: Node | None = self if tag == "article" else parent and parent.article
 
     @property
     def path(self) -> str:
@@ -63,10 +66,11 @@ class Node:
         return "/".join(reversed(steps))
 
 
-def _node(tag: str, attributes: str, parent: Node, in_article: bool) -> Node:
+def _node(tag: str, attributes: str, parent: Node) -> Node:
+    in_article = parent.article is not None
     own = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
     names = own.get("class", "")
-    step = ".".join([tag, *sorted({re.sub(r"\d+", "#", x.lower()) for x in names.split()})])
+    step = ".".join([tag, *sorted({re.sub(r"\d+", "#", x.lower()) for x in names.split()})]).replace("/", "|")
     dropped = tag in _DROPPED or tag == "header" and not in_article or "hidden" in own or own.get("aria-hidden", "") == "true" or own.get("role", "").lower() in _ROLES
     if tag not in _NAMED_FREELY:
         marks = _CAMEL.sub("-", f"{names} {own.get('id', '')}")
@@ -74,47 +78,93 @@ def _node(tag: str, attributes: str, parent: Node, in_article: bool) -> Node:
     return Node(tag, step, parent, dropped or bool(re.search(r"display\s*:\s*none", own.get("style", ""))))
 
 
+class _Markup:
+    """Tokens of a page: (text before, tag, whether it closes, attributes). Each byte is read a fixed number of times, however the markup is broken."""
+
+    def __init__(self, page: str):
+        self.page, self.lost = page, set()  # what isn't in the rest of the page
+
+    def _find(self, what: str, at: int) -> int:
+        if what in self.lost:
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.lost.add(what)
+        return found
+
+    def _past(self, what: str, at: int) -> int:
+        found = self._find(what, at)
+        return len(self.page) if found < 0 else found + len(what)
+
+    def _tag_end(self, at: int) -> int:
+        """The ``>`` of a tag, or -1; values in quotes, which follow an equals sign, may hold others."""
+        while m := _EDGE.search(self.page, at):
+            at = m.end()
+            if m[0] == ">":
+                return m.start()
+            back = m.start() - 1
+            while self.page[back].isspace():
+                back -= 1
+            if self.page[back] == "=" and (end := self._find(m[0], at)) >= 0:
+                at = end + 1
+        return -1
+
+    def tokens(self) -> Iterator[tuple[str, str, bool, str]]:
+        page, at = self.page, 0
+        while m := _MARKUP.search(page, at):
+            text, tag = page[at : m.start()], (m[2] or "").lower()
+            if tag:
+                end = -1 if ">" in self.lost else self._tag_end(m.end())
+                if end < 0:  # a tag without an end takes the rest of the page with it
+                    self.lost.add(">")
+                    yield text, "", False, ""
+                    return
+                yield text, tag, bool(m[1]), page[m.end() : end]
+                at = end + 1
+                if tag in _RAW and not m[1]:
+                    close = re.compile(rf"</{tag}\b", re.I).search(page, at)
+                    at = self._past(">", close.end()) if close else len(page)
+            elif m[0] == "<![CDATA[":
+                at = self._past("]]>", m.end())
+                yield text, "", False, ""
+                yield escape(page[m.end() : at].removesuffix("]]>"), quote=False), "", False, ""
+            else:
+                at = self._past("-->" if m[0] == "<!--" else ">", m.end())
+                yield text, "", False, ""
+        yield page[at:], "", False, ""
+
+
 def parse(page: str) -> Node:
-    """The element tree; unclosed and stray tags are tolerated, texts are decoded."""
+    """The element tree; unclosed and stray tags are tolerated, texts are decoded. Time grows with the page's length and not faster."""
     root = Node("", "", None, False)
-    stack, at, articles = [root], 0, 0
+    stack, open_ = [root], Counter()
 
     def close(depth: int) -> None:
-        nonlocal articles
-        articles -= sum(x.tag == "article" for x in stack[depth:])
+        open_.subtract(x.tag for x in stack[depth:])
         del stack[depth:]
 
-    while m := _TAG.search(page, at):
-        if m.start() > at:
-            stack[-1].children.append(unescape(page[at : m.start()]))
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
-        if m[0].startswith("<![CDATA["):
-            stack[-1].children.append(m[0][9:].removesuffix("]]>"))
-        if not tag:
-            continue
-        if m[1] or m[4]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if depth:
-                close(depth)
-            continue
-        if tag not in _INLINE and tag not in _VOID:
-            # a block ends an open paragraph, and some elements their own kind
-            kinds, bounds = _IMPLIED.get(tag, (set(), set()))
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p" or stack[i].tag in kinds:
-                    close(i)
-                elif stack[i].tag in bounds or stack[i].tag not in _INLINE and not kinds:
-                    break
-        node = _node(tag, m[3] or m[6] or "", stack[-1], articles > 0)
-        stack[-1].children.append(node)
-        if tag in _RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-        elif tag not in _VOID and not (m[3] or m[6] or "").endswith("/"):
-            stack.append(node)
-            articles += tag == "article"
-    stack[-1].children.append(unescape(page[at:]))
+    for text, tag, closes, attributes in _Markup(page).tokens():
+        if text:
+            stack[-1].children.append(unescape(text))
+        if closes:
+            if open_[tag] > 0:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
+        elif tag:
+            if tag not in _INLINE and tag not in _VOID:
+                # a block ends an open paragraph, and some elements their own kind
+                kinds, bounds = _IMPLIED.get(tag, (set(), set()))
+                i = len(stack) - 1 if open_["p"] > 0 or any(open_[x] > 0 for x in kinds) else 0
+                while i > 0:
+                    if stack[i].tag == "p" or stack[i].tag in kinds:
+                        close(i)
+                    elif stack[i].tag in bounds or stack[i].tag not in _INLINE and not kinds:
+                        break
+                    i -= 1
+            node = _node(tag, attributes, stack[-1])
+            stack[-1].children.append(node)
+            if tag not in _RAW and tag not in _VOID and not attributes.endswith("/") and len(stack) <= DEEPEST:
+                stack.append(node)
+                open_[tag] += 1
     return root
 
 
@@ -163,38 +213,53 @@ def candidates(root: Node) -> list[tuple[float, Node]]:
         weight = (len(text) - linked) * (1 - linked / len(text))
         if len(text) < 25:
             weight /= 4
-        node, share = owner, 1.0
+        node, share = owner.container, 1.0
         while node is not None and share >= 0.5:
-            if node.tag in _CONTAINERS:
-                score[id(node)] = score.get(id(node), 0.0) + weight * share
-                nodes[id(node)] = node
-                share /= 2
-            node = node.parent
+            score[id(node)] = score.get(id(node), 0.0) + weight * share
+            nodes[id(node)] = node
+            share /= 2
+            node = node.parent and node.parent.container
     merged: dict[int, float] = {}
     for key, value in score.items():
-        node = nodes[key]
-        article = node
-        while article is not None and article.tag != "article":
-            article = article.parent
-        node = article or node
+        node = nodes[key].article or nodes[key]
         nodes[id(node)] = node
         merged[id(node)] = max(merged.get(id(node), 0.0), value)
     return sorted(((v, nodes[k]) for k, v in merged.items()), key=lambda x: -x[0])
 
 
-def text_at(root: Node, path: str | None) -> str:
-    """The text of the outermost containers at a path; of the page's best one if there is none."""
-    found, work = [], [root] if path else []
+def _headline(root: Node, found: list[Node]) -> list[Node]:
+    """The page's first h1 where none stands in the containers: one before them, whose parent holds them all."""
+    if any(isinstance(x, Node) and x.tag in ("h1", "h2") for node in found for x in node.children):
+        return []
+    around, node = [], found[0].parent
+    while node is not None:
+        around.append(node)
+        node = node.parent
+    below = {id(x) for x in [found[0], *around]}
+    for node in around:
+        for child in node.children:
+            if id(child) in below:
+                break
+            if isinstance(child, Node) and child.tag == "h1" and not child.dropped:
+                return [child]
+    return []
+
+
+def text_at(root: Node, paths: list[str] | None) -> str:
+    """The text of the outermost containers at some paths, in page order; of the page's best one if there is none."""
+    steps = [p.split("/") for p in paths or []]
+    found, work = [], [(root, 0, steps)] if steps else []
     while work:
-        node = work.pop()
-        if node.step == path.rpartition("/")[2] and node.path == path:
+        node, depth, left = work.pop()
+        left = [x for x in left if x[depth] == node.step]
+        if any(len(x) == depth + 1 for x in left):
             found.append(node)
-        else:
-            work += [x for x in reversed(node.children) if isinstance(x, Node) and not x.dropped]
-    text = "\n".join(t for node in found for _, t, _ in blocks(node))
-    if not text and (own := candidates(root)):
-        text = "\n".join(t for _, t, _ in blocks(own[0][1]))
-    return text or "\n".join(t for _, t, _ in blocks(root))
+        elif left:
+            work += [(x, depth + 1, left) for x in reversed(node.children) if isinstance(x, Node) and not x.dropped]
+    texts = lambda nodes: "\n".join(t for node in nodes for _, t, _ in blocks(node))
+    if not found or not texts(found):
+        found = [node for _, node in candidates(root)[:1]]
+    return (texts(_headline(root, found) + found) if found else "") or texts([root])
 
 
 def votes(pages: DataFrame) -> DataFrame:
@@ -216,18 +281,24 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Text blocks are joined by line ends, white space in them is one space. Null html gives the empty
     text; pages without a host (a null url too) have no consensus and use their own best container;
-    repeated rows are each extracted; an empty table gives an empty result; other columns are ignored.
+    repeated rows are each extracted; an empty table gives an empty result; other columns are ignored. Of
+    paths with equal votes the last in order of text wins. Whole pages are read in time that grows with
+    their length; elements nested deeper than ``DEEPEST`` hang side by side from the last level.
     """
     scratch = Scratch(pages.sparkSession)
     pages = pages.select("page_id", "url", "html").withColumn("host", parts(F.col("url"))[0])
-    ballot = votes(pages.where("host <> ''"))
-    winners = scratch.save(ballot.groupBy("host").agg(F.max(F.struct("votes", "path")).alias("best")).select("host", F.col("best.path").alias("path")))
-    small = winners.count() <= BROADCAST_HOSTS
-    placed = pages.join(F.broadcast(winners) if small else winners, "host", "left").select("page_id", "url", "html", "path")
+    ballot = scratch.save(votes(pages.where("host <> ''")))
+    best = ballot.groupBy("host").agg(F.max(F.struct("votes", "path")).alias("best"))
+    nested = F.startswith(F.concat("path", F.lit("/")), F.concat("best.path", F.lit("/"))) | F.startswith(F.concat("best.path", F.lit("/")), F.concat("path", F.lit("/")))
+    beside = ballot.join(best, "host").where(~nested & (F.col("votes") >= BESIDE * F.col("best.votes"))).groupBy("host").agg(F.collect_set("path").alias("more"))
+    winners = best.join(beside, "host", "left").select("host", F.col("best.path").alias("path"), F.concat(F.array("best.path"), F.array_sort(F.coalesce("more", F.array().cast("array<string>")))).alias("paths"))
+    winners = scratch.save(winners)
+    size = winners.agg(F.sum(F.octet_length("host") + F.octet_length(F.array_join("paths", "")) + F.octet_length("path") + 64).alias("n")).first().n or 0
+    placed = pages.join(F.broadcast(winners) if size <= BROADCAST_BYTES else winners, "host", "left").select("page_id", "url", "html", "path", "paths")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [text_at(parse(page or ""), path) for page, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            texts = [text_at(parse(page or ""), paths) for page, paths in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), batch.column(3)], ["page_id", "url", "text", "n_chars", "path"])
 
     return placed.mapInArrow(run, "page_id long, url string, text string, n_chars long, path string")
