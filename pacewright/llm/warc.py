@@ -31,14 +31,14 @@ def _digest(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def record(kind: str, page_id: int, uri: str | None, payload: bytes, refers_to: int | None = None) -> bytes:
+def record(kind: str, page_id: int | None, uri: str | None, payload: bytes, refers_to: int | None = None) -> bytes:
     """One record as a gzip member: an HTTP response, or a revisit with the HTTP header alone."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http + payload if kind == "response" else http
     head = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:page:{page_id}>",
+        f"WARC-Record-ID: <urn:page:{'none' if page_id is None else page_id}>",
         f"WARC-Date: {_DATE}",
         f"WARC-Payload-Digest: sha1:{_digest(payload)}",
         f"WARC-Block-Digest: sha1:{_digest(block)}",
@@ -101,16 +101,19 @@ def archives(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """content: archives of all pages, one record each, of about ``ARCHIVE_BYTES`` of payload.
 
     Of equal payloads of at least ``least_bytes`` the one with the largest page_id is the response; the
-    others revisit it. A null html is an empty payload; rows without a page_id are left out; of rows
-    with one page_id and equal payloads each is a record. An empty table gives no archive.
+    others revisit it. Rows that repeat a page_id each have a record, and revisit by their own payload; those
+    that repeat the response whole are responses too. A null html is an empty payload. A row without a
+    page_id has a record without one, which is never what others revisit. An empty table gives no archive.
+    A payload of any size is one record, which a task holds a few times.
     """
     payload = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
-    pages = pages.where("page_id is not null").select("page_id", "url", payload.alias("payload"))
-    keyed = pages.select("page_id", "url", "payload", F.sha1("payload").alias("sha1"), F.octet_length("payload").alias("n"))
-    # only payloads that occur twice or more are joined back; AQE splits a hot one's partition
-    twice = keyed.where(F.col("n") >= least_bytes).groupBy("sha1").agg(F.max("page_id").alias("to"), F.count("*").alias("times")).where("times > 1").drop("times")
-    own = keyed.select("page_id", "sha1", "n").join(twice, "sha1").where(F.col("to") != F.col("page_id")).where(F.col("n") >= least_bytes).select("page_id", "to").distinct()
-    placed = pages.join(own, "page_id", "left")
+    pages = pages.select("page_id", "url", payload.alias("payload")).withColumn("sha1", F.sha1("payload"))
+    keyed = pages.select("page_id", "sha1", F.octet_length("payload").alias("n")).where(F.col("n") >= least_bytes)
+    # only payloads that occur twice or more are joined back; AQE cuts a hot one's partition
+    twice = keyed.groupBy("sha1").agg(F.max("page_id").alias("to"), F.count("*").alias("times")).where("times > 1").drop("times")
+    own = keyed.join(twice, "sha1").where(~F.col("to").eqNullSafe(F.col("page_id")))
+    own = own.select(F.col("page_id").alias("of"), F.col("sha1").alias("with"), "to").distinct()
+    placed = pages.join(own, F.col("page_id").eqNullSafe(F.col("of")) & (F.col("sha1") == F.col("with")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
