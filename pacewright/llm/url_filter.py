@@ -65,12 +65,24 @@ def _features(url: Column, host: Column, path: Column) -> dict[str, Column]:
     }
 
 
+def _with_suffixes(d: DataFrame, suffixes: DataFrame, n_suffixes: int, n_rows: int) -> DataFrame:
+    """``d`` with the counts of its suffix: frequent suffixes (a bounded number, by arithmetic) are broadcast, only rows of rare ones are shuffled."""
+    if n_suffixes <= BROADCAST_SUFFIXES:
+        return d.join(F.broadcast(suffixes), "suffix")
+    frequent = F.col("n") * BROADCAST_SUFFIXES >= n_rows
+    d = d.join(F.broadcast(suffixes.where(frequent)), "suffix", "left")
+    rare = d.where("n is null").drop("n", "m", "b").join(suffixes.where(~frequent), "suffix")
+    return d.where("n is not null").unionByName(rare)
+
+
 def judge(pages: DataFrame, rules: list[tuple[str, str]], rows: int = TRAINING_ROWS) -> DataFrame:
     """page_id, host, path, rule, verdict, probability (of a block, by the trees) of every row.
 
     Where no rule fits, the trees decide. If the labelled URLs are of one kind, all others get that
     verdict, and ``allow`` if there are none. A null url has an empty host and path; repeated rows are
-    each judged; an empty table gives an empty result; other columns are ignored.
+    each judged; an empty table gives an empty result; other columns are ignored. Whole URLs are measured,
+    however long. Where more are labelled than trees are grown on, those first in order of their hash (equal
+    ones by page_id) are taken.
     """
     scratch = Scratch(pages.sparkSession)
     host, path = parts(F.col("url"))
@@ -81,13 +93,16 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], rows: int = TRAINING_R
     block = (F.col("said") == BLOCK).cast("double")
     suffixes = d.groupBy("suffix").agg(F.count("*").alias("n"), F.count("said").alias("m"), F.coalesce(F.sum(block), F.lit(0.0)).alias("b"))
     suffixes = scratch.save(suffixes)
-    total = suffixes.agg(F.sum("m").alias("m"), F.sum("b").alias("b"), F.count("*").alias("k")).first()
+    total = suffixes.agg(F.sum("m").alias("m"), F.sum("b").alias("b"), F.sum("n").alias("n"), F.count("*").alias("k")).first()
     labelled, blocked = total.m or 0, total.b or 0.0
     if blocked in (0.0, float(labelled)):
         rest = BLOCK if blocked else ALLOW
         return d.select("page_id", "host", "path", "rule", F.coalesce("said", F.lit(rest)).alias("verdict"), F.lit(float(rest == BLOCK)).alias("probability"))
-    statistic = suffixes.select("suffix", ((F.col("b") + PRIOR_ROWS * blocked / labelled) / (F.col("m") + PRIOR_ROWS)).alias("suffix_share"), F.log10(F.col("n") + 1.0).alias("suffix_log_count"))
-    d = d.join(F.broadcast(statistic) if total.k <= BROADCAST_SUFFIXES else statistic, "suffix")
+    d = _with_suffixes(d, suffixes, total.k, total.n)
+    # a labelled URL's own label isn't part of its feature
+    rest_blocked, rest_labelled = F.col("b") - F.coalesce(block, F.lit(0.0)), F.col("m") - F.col("said").isNotNull().cast("int")
+    share = (rest_blocked + PRIOR_ROWS * blocked / labelled) / (rest_labelled + PRIOR_ROWS)
+    d = d.withColumns({"suffix_share": share, "suffix_log_count": F.log10(F.col("n") + 1.0)})
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     sample = d.where("said is not null").orderBy(F.xxhash64("url"), "page_id").limit(rows)
     sample = scratch.save(sample.select(block.alias("label"), *FEATURES))
