@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pacewright.llm.scratch import Scratch
 from pacewright.llm.words import space_words
 
 #: 1: the token counts; 0: any token may stand there.
@@ -24,8 +25,10 @@ COVERAGE = 0.6
 #: Equal tokens around one hit that are a find whatever the item's length. A run of so many is always seen
 #: whole: its fifth token starts a hit of the shortest mask.
 LONG_OVERLAP = 13
-#: Rows up to which the seeds of a benchmark are sent to every executor (about 30 bytes each).
-BROADCAST_SEEDS = 2_000_000
+#: Bytes up to which the seeds of a benchmark, and its items' tokens, are sent to every executor; of a seed, and of a token beside its text.
+BROADCAST_BYTES, SEED_BYTES, TOKEN_BYTES = 64 << 20, 48, 32
+#: Ids up to which the documents with a leak are sent to every executor to be left out (16 bytes each).
+BROADCAST_IDS = 1_000_000
 
 
 def _seeds(tokens: Column, at: Column, whole: tuple[int, ...], items: bool) -> Column:
@@ -53,19 +56,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     or would stand in the document (the least one, if the item is found at several places). Coverage is
     below ``coverage`` where only a long passage of the item is quoted. Items of fewer tokens than the
     shortest mask are found word for word; items without a token are not; null texts and empty tables give no rows;
-    equal items are each found, repeated rows of a document count once; rows without a doc_id or
-    item_id are left out.
+    equal items are each found, and texts that share an item_id have a row each; repeated rows of a
+    document count once; rows without a doc_id or item_id are left out; other columns are ignored. Whole
+    texts are searched: a text and the array of its words (some 40 bytes a word) must fit in a task.
     """
+    scratch = Scratch(docs.sparkSession)
     items = benchmark.where("item_id is not null").select("item_id", space_words(F.lower("text")).alias("tokens")).distinct()
+    items = scratch.save(items.withColumn("tag", F.xxhash64("item_id", "tokens")))
     length = F.size("tokens")
     short = items.where((length > 0) & (length < min(map(len, MASKS)))).select(length.alias("n")).distinct()
     whole = tuple(sorted(r.n for r in short.collect()))
-    seeds = _positions(items, whole, True, "item_id").select("seed", "item_id", F.col("at").alias("item_at"), F.col("tokens").alias("item"))
-    if benchmark.agg(F.sum(F.length("text"))).first()[0] or 0:
-        n = seeds.count()
-        seeds = F.broadcast(seeds) if n <= BROADCAST_SEEDS else seeds
+    seeds = scratch.save(_positions(items, whole, True, "tag").select("seed", "tag", F.col("at").alias("item_at")))
+    words = items.select("item_id", "tag", F.col("tokens").alias("item"))
+    held = items.agg(F.sum(F.octet_length(F.array_join("tokens", "")) + TOKEN_BYTES * length).alias("n")).first().n or 0
+    sent = lambda table, size: F.broadcast(table) if size <= BROADCAST_BYTES else table
+    seeds, words = sent(seeds, seeds.count() * SEED_BYTES), sent(words, held)
     tokens = docs.where("doc_id is not null").select("doc_id", space_words(F.lower("text")).alias("tokens"))
-    hits = _positions(tokens, whole, False, "doc_id").join(seeds, "seed")
+    hits = _positions(tokens, whole, False, "doc_id").join(seeds, "seed").join(words, "tag")
     start = F.col("at") - F.col("item_at")
     equal = F.filter(F.sequence(F.lit(0), F.size("item") - 1), lambda j: F.get("tokens", j + F.col("start")) == F.get("item", j))
     near = F.size(F.filter("equal", lambda j: F.abs(j - F.col("item_at")) <= REACH))
@@ -74,11 +81,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
         hits.withColumn("start", start)
         .withColumn("equal", equal)
         .withColumn("near", near)
-        .groupBy("doc_id", "item_id", "start")
+        .groupBy("doc_id", "item_id", "tag", "start")
         .agg(F.first("equal").alias("equal"), F.first(F.size("item")).alias("n"), F.max("near").alias("near"))
         .where(F.col("near") >= least)  # after the grouping: as a condition of the join it would keep the join out of generated code
     )
-    found = diagonals.select("doc_id", "item_id", "n", "start", "near", F.explode("equal").alias("j")).groupBy("doc_id", "item_id")
+    found = diagonals.select("doc_id", "item_id", "tag", "n", "start", "near", F.explode("equal").alias("j")).groupBy("doc_id", "item_id", "tag")
     found = found.agg(F.first("n").cast("long").alias("n_item_words"), F.count_distinct("j").alias("n_matched"), F.min("start").cast("long").alias("first_word"), F.max("near").alias("near"))
     share = F.col("n_matched") / F.col("n_item_words")
     return found.where((share >= coverage) | (F.col("near") >= LONG_OVERLAP)).select("doc_id", "item_id", "n_item_words", "n_matched", share.alias("coverage"), "first_word")
@@ -86,5 +93,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """The documents in which no benchmark item is found; rows without a doc_id stay."""
-    leaks = contamination(docs, benchmark, coverage).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    leaks = Scratch(docs.sparkSession).save(contamination(docs, benchmark, coverage).select("doc_id").distinct())
+    few = leaks.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(leaks) if few else leaks, "doc_id", "left_anti").select(*docs.columns)

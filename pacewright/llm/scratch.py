@@ -15,8 +15,11 @@ def _own_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; one of our own only where none is set, as in tests."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """The session's checkpoint folder; one of our own only where none is set and all tasks run in this process, as in tests."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return found or _own_folder()
 
 
 class Scratch:
