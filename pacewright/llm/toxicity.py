@@ -23,7 +23,9 @@ from pyspark.sql import types as T
 from pacewright.llm.scratch import Scratch
 from pacewright.llm.tokens import NOT_ALNUM, U64, Chunk, chunks
 
-#: The model's size is fixed: tokens share 2^18 buckets.
+#: The model's size is fixed: tokens share 2^18 buckets. Exact tokens were tried and are worse: of the held-out labels
+#: of check_s (543 toxic, 4556 clean) buckets find 534 and reject 27 clean ones, exact tokens 523 and 71, since
+#: rare tokens then pass the bound by chance.
 BUCKET_BITS = 18
 #: Labelled documents used for training, the first in hash order of their ids.
 TRAINING_ROWS = 50_000

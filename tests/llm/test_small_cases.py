@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -77,6 +78,28 @@ def test_leaks_of_part_of_an_item_and_of_short_items(spark):
     assert sorted(r.doc_id for r in decontamination.without_leaks(d, b).collect()) == [5, 6, 11, 13]
 
 
+def places(text, item):
+    """How many tokens of an item stand in place on the best diagonal of a text, by comparing every alignment."""
+    a, b = text.lower().split(), item.lower().split()
+    return max((sum(a[i + j] == b[j] for j in range(len(b)) if 0 <= i + j < len(a)) for i in range(-len(b), len(a))), default=0)
+
+
+def test_leaks_by_every_alignment(spark):
+    rng = random.Random(21)
+    noise = lambda n: [f"n{rng.randrange(50)}" for _ in range(n)]
+    items = [(i, " ".join(f"i{i}x{rng.randrange(400)}" for _ in range(rng.choice([10, 16, 30, 60])))) for i in range(8)]
+    docs = []
+    for d in range(80):
+        item = items[rng.randrange(8)][1].split()
+        part = [w if rng.random() < rng.choice([0.5, 0.9, 1.0]) else "zz" for w in item]
+        docs.append((d, " ".join(noise(rng.randrange(40)) + part + noise(rng.randrange(40)))))
+    got = {(r.doc_id, r.item_id) for r in decontamination.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    for d, text in docs:
+        for i, item in items:
+            share = places(text, item) / len(item.split())
+            assert ((d, i) in got) if share >= 0.9 else ((d, i) not in got) if share < 0.2 else True, (d, i, share)
+
+
 # toxicity
 
 
@@ -242,6 +265,14 @@ def test_warc(spark):
     assert warc.round_trip(d.limit(0)).count() == 0
 
 
+def test_warc_of_repeated_and_missing_ids(spark):
+    rows = [(1, "u", "A"), (1, "u", "B"), (2, "u", "A"), (3, "u", "B"), (None, "u", "A"), (None, "v", "C"), (7, "w", "D"), (7, "w", "D")]
+    got = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id or 0, r.record_type, r.refers_to or 0) for r in got) == [
+        (0, "response", 0), (0, "revisit", 2), (1, "revisit", 2), (1, "revisit", 3), (2, "response", 0), (3, "response", 0), (7, "response", 0), (7, "response", 0)
+    ]
+
+
 def test_warc_reader_reports_damage():
     good = warc.record("response", 1, "u", b"payload") + warc.record("response", 2, "u", b"more")
     assert [r.error for r in warc.read([good[i : i + 7] for i in range(0, len(good), 7)])] == [None, None]
@@ -355,6 +386,21 @@ def test_html(spark):
     assert html_text.main_text(d.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page", ["<a " * 300_000, '<a "' * 200_000, '<a b="x ' * 100_000, "<div>" * 3000 + "</b>" * 100_000, "<script>" + "</script " * 100_000, "<!-- " * 100_000, "<div>" * 50_000 + "x" * 40])
+def test_html_of_broken_markup_takes_linear_time(page):
+    began = time.monotonic()
+    html_text.text_at(html_text.parse(page), None)
+    assert time.monotonic() - began < 20
+
+
+def test_html_keeps_headlines_and_halves(spark):
+    half = "<p>{} half of the article, which runs on for quite a while and says what there is to say.</p>"
+    page = f"<body><h1>Headline {{}}</h1><div class=first>{half.format('One')}</div><div class=second>{half.format('Another')}</div></body>"
+    rows = [(i, "http://h/", page.format(i)) for i in range(4)]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[2].split("\n") == ["Headline 2", *(re.sub("<.*?>", "", half.format(x)) for x in ("One", "Another"))]
+
+
 def test_consensus_overrules_a_page(spark):
     normal = "<body><div class=story><p>{}</p></div><div class=extra><p>tiny</p></div></body>"
     odd = "<body><div class=story><p>The short story of this page.</p></div><div class=extra><p>" + "A very long other part that isn't the story. " * 9 + "</p></div></body>"
