@@ -145,7 +145,7 @@ def _verify(scratch: Scratch, pairs: DataFrame, reps: DataFrame, docs: DataFrame
     """The pairs (rep, hub) whose full sets are linked, after the union sketches' estimate has filtered them.
 
     Only a member's set is sent to its hub's partition, once a pair; the hub's set goes there once. AQE
-    splits the partition of a hub with many members and copies the hub's one row.
+    cuts the partition of a hub with many members and copies the hub's one row.
     """
     sides = reps.select("rep", "sketch")
     both = pairs.join(sides.toDF("rep", "sa"), "rep").join(sides.toDF("hub", "sb"), "hub")
