@@ -10,7 +10,7 @@ from pacewright.sources.tables import Tables
 
 
 def _published(t: Tables) -> dict:
-    return {"results": views.results(t.runs), "splits": t.splits, "flags": flags.run_checks(flags.Inputs(t.splits, views.results(t.runs)))}
+    return {"results": views.results(t.runs), "passings": t.passings, "flags": flags.run_checks(flags.Inputs(t.passings, views.results(t.runs)))}
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -28,14 +28,14 @@ def main(arguments: list[str] | None = None) -> None:
         return
     tables = Tables(spark, given.tables)
     if given.command == "trace":
-        views.trace(tables.splits, tables.runs, given.prefix).orderBy("record").show(1000, truncate=False)
+        views.trace(tables.passings, tables.runs, given.prefix).orderBy("record").show(1000, truncate=False)
     elif given.command == "schema":
         print(publish.schema_markdown(_published(tables)))
     elif given.command == "checks":
         _published(tables)["flags"].write.mode("overwrite").parquet(given.out)
     else:
         publish.write_tables(_published(tables), given.out)
-        publish.write_documents(publish.race_documents(tables.runs, tables.splits), f"{given.out}/races", "event")
+        publish.write_documents(publish.race_documents(tables.runs, tables.passings), f"{given.out}/races", "event")
 
 
 if __name__ == "__main__":

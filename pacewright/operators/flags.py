@@ -12,17 +12,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from pacewright.operators import ranks
 from pacewright.operators.views import with_segments
 
 #: Fixed values of the checks.
-FASTEST_MPS, OUTLIER_Z, LATE_Z, NORMAL_Z, LEAST_GROUP, MAD_SCALE = 12.6, 5.0, 3.0, 3.0, 20, 1.4826
+FASTEST_MPS, OUTLIER_Z, LATE_Z, NORMAL_Z, LEAST_GROUP, MAD_SCALE, ROUNDING = 12.6, 5.0, 3.0, 3.0, 20, 1.4826, 0.01
 COLUMNS = ("check_id", "severity", "suspect", "performance", "document", "point", "field")
 
 
 @dataclass(frozen=True)
 class Inputs:
-    splits: DataFrame
+    """What checks read. ``passings`` may have a scale (printed decimals); the other tables are for the checks that need them."""
+
+    passings: DataFrame
     runs: DataFrame  # with place
+    stretches: DataFrame | None = None  # performance, document, start_m, end_m, time_s, perhaps scale
+    placed_points: DataFrame | None = None  # race, document, point, distance_m, performance, time_s, rank
+    births: DataFrame | None = None  # performance, athlete, printed
+    conflicts: DataFrame | None = None  # subject, field
+    entries: DataFrame | None = None  # race, document, athlete: whom a document times
+    notes: DataFrame | None = None  # document, text
 
 
 @dataclass(frozen=True)
@@ -31,12 +40,18 @@ class Check:
     severity: str
     suspect: bool
     find: Callable[[Inputs], DataFrame]
+    group: str = "logic"
+    needs: tuple[str, ...] = ()
+
+    @property
+    def title(self) -> str:
+        return (self.find.__doc__ or "").strip().split("\n")[0]
 
     def run(self, inputs: Inputs) -> DataFrame:
         found = self.find(inputs)
-        for name in ("document", "point"):
+        for name, kind in (("performance", "long"), ("document", "string"), ("point", "long"), ("field", "string")):
             if name not in found.columns:
-                found = found.withColumn(name, F.lit(None).cast("string" if name == "document" else "long"))
+                found = found.withColumn(name, F.lit(None).cast(kind))
         found = found.withColumns({"check_id": F.lit(self.check_id), "severity": F.lit(self.severity), "suspect": F.lit(self.suspect)})
         return found.select(*COLUMNS)
 
@@ -44,19 +59,31 @@ class Check:
 CHECKS: dict[str, Check] = {}
 
 
-def check(check_id: str, severity: str, suspect: bool = False):
-    """Register a check under its id."""
+def check(check_id: str, severity: str, suspect: bool = False, group: str = "logic", needs: tuple[str, ...] = ()):
+    """Register a check under its id; ``needs`` are the inputs without which it can't run."""
 
     def register(find):
-        CHECKS[check_id] = Check(check_id, severity, suspect, find)
+        CHECKS[check_id] = Check(check_id, severity, suspect, find, group, needs)
         return find
 
     return register
 
 
 def run_checks(inputs: Inputs, only: list[str] | None = None) -> DataFrame:
-    """The findings of all checks, one union."""
-    return reduce(DataFrame.unionByName, (c.run(inputs) for k, c in CHECKS.items() if only is None or k in only))
+    """The findings of all checks that the inputs allow, or of those named, one union; ``in_order`` sorts it."""
+    able = (c for k, c in CHECKS.items() if (k in only if only is not None else all(getattr(inputs, n) is not None for n in c.needs)))
+    return reduce(DataFrame.unionByName, (c.run(inputs) for c in able))
+
+
+def in_order(findings: DataFrame) -> DataFrame:
+    """By subject (performance, document, point), then check and field."""
+    return findings.orderBy(*(F.asc_nulls_first(c) for c in ("performance", "document", "point", "check_id", "field")))
+
+
+def registry(spark) -> DataFrame:
+    """check_id, check_group, severity, suspect, title of every registered check."""
+    rows = [(c.check_id, c.group, c.severity, c.suspect, c.title) for c in CHECKS.values()]
+    return spark.createDataFrame(rows, "check_id string, check_group string, severity string, suspect boolean, title string")
 
 
 def _split(df: DataFrame) -> DataFrame:
@@ -66,29 +93,70 @@ def _split(df: DataFrame) -> DataFrame:
 @check("split-order", "error", True)
 def split_order(x: Inputs) -> DataFrame:
     """A split no later than the one before."""
-    return _split(x.splits.withColumn("before", F.lag("time_s").over(W.partitionBy("performance", "document").orderBy("distance_m", "point"))).where("time_s <= before"))
+    return _split(x.passings.withColumn("before", F.lag("time_s").over(W.partitionBy("performance", "document").orderBy("distance_m", "point"))).where("time_s <= before"))
 
 
 @check("split-before-finish", "error", True)
 def split_before_finish(x: Inputs) -> DataFrame:
     """A split on the way at or after the official time."""
-    late = x.splits.withColumn("last", F.max("point").over(W.partitionBy("performance", "document"))).where("point < last")
+    late = x.passings.withColumn("last", F.max("point").over(W.partitionBy("performance", "document"))).where("point < last")
     return _split(late.join(x.runs.select("performance", F.col("time_s").alias("finish_s")), "performance").where("time_s >= finish_s"))
 
 
-@check("finish-matches-result", "error", True)
+@check("finish-matches-result", "error", True, "consistency")
 def finish_matches_result(x: Inputs) -> DataFrame:
-    """A document's last point that differs from the official time, or any for a run without one."""
+    """A document's last point that isn't the official time, or any for a run without one.
+
+    A time with few printed decimals may be the official one cut or rounded to them. A disqualified
+    runner usually crossed the line, with no result to compare.
+    """
     series = W.partitionBy("performance", "document")
-    last = x.splits.withColumn("last", F.max("point").over(series)).where("point = last")
-    both = last.join(x.runs.select("performance", F.col("time_s").alias("finish_s")), "performance")
-    return _split(both.where("finish_s is null or time_s <> finish_s"))
+    last = x.passings.withColumn("last", F.max("point").over(series)).where("point = last")
+    both = last.join(x.runs.where("status <> 'dq'").select("performance", F.col("time_s").alias("finish_s")), "performance")
+    same = F.col("time_s") == F.col("finish_s")
+    if "scale" in both.columns:
+        same = same | F.coalesce(equal_printed(F.col("finish_s"), F.col("time_s"), F.col("scale")), F.lit(False))
+    return _split(both.where(F.col("finish_s").isNull() | ~same))
+
+
+@check("segment-matches-passings", "error", True, "consistency", ("stretches",))
+def segment_matches_passings(x: Inputs) -> DataFrame:
+    """A printed stretch time that isn't the difference of the times at its ends, but for rounding.
+
+    The gun is at zero, and the official time stands for a finish that the document doesn't time. The
+    slack is the rounding of all three printed times, a hundredth at least.
+    """
+    scale = F.col("scale") if "scale" in x.passings.columns else F.lit(2)
+    at = x.passings.select("performance", "document", "distance_m", "time_s", scale.alias("scale"))
+    finish = x.runs.where("status = 'finished' and time_s is not null").select("performance", F.col("distance_m").alias("finish_m"), F.col("time_s").alias("finish_s"))
+    rows = x.stretches.withColumn("own", F.col("scale") if "scale" in x.stretches.columns else F.lit(2))
+    rows = rows.join(at.toDF("performance", "document", "start_m", "start_s", "start_scale"), ["performance", "document", "start_m"], "left")
+    rows = rows.join(at.toDF("performance", "document", "end_m", "end_s", "end_scale"), ["performance", "document", "end_m"], "left").join(finish, "performance", "left")
+    start = F.when(F.col("start_m") == 0, 0.0).otherwise(F.col("start_s"))
+    end = F.coalesce("end_s", F.when(F.col("end_m") == F.col("finish_m"), F.col("finish_s")))
+    most = slack(F.col("time_s"), F.col("own")) + slack(start, F.coalesce("start_scale", F.lit(2))) + slack(end, F.coalesce("end_scale", F.lit(2)))
+    off = F.abs(F.col("time_s") - (end - start))
+    wrong = rows.where(F.round(off, 6) > F.round(F.greatest(F.lit(ROUNDING), most), 6))
+    return wrong.select("performance", "document", F.col("end_m").cast("long").alias("point"), F.lit("segment").alias("field"))
 
 
 @check("segment-speed", "error", True)
 def segment_speed(x: Inputs) -> DataFrame:
-    """A stretch covered faster than anyone runs; stretches that take no time are another check's."""
-    return _split(with_segments(x.splits).where((F.col("segment_s") > 0) & (F.col("segment_m") / F.col("segment_s") > FASTEST_MPS)))
+    """A stretch covered faster than anyone runs; stretches that take no time are another check's.
+
+    The official finish is the last point of a finished run, in place of the document's own last one; a
+    stretch to it is held against the point before.
+    """
+    last = F.max("point").over(W.partitionBy("performance", "document"))
+    official = x.runs.where("status = 'finished' and time_s is not null").select("performance", F.col("distance_m").alias("finish_m"), F.col("time_s").alias("finish_s"))
+    rows = x.passings.withColumn("last", last).join(official, "performance", "left")
+    own = rows.where(F.col("finish_s").isNull() | (F.col("point") < F.col("last"))).select("performance", "document", "point", "distance_m", "time_s")
+    ends = rows.where(F.col("finish_s").isNotNull() & (F.col("point") == F.col("last")))
+    ends = ends.select("performance", "document", F.lit(None).cast("long").alias("point"), F.col("finish_m").alias("distance_m"), F.col("finish_s").alias("time_s"))
+    order = W.partitionBy("performance", "document").orderBy("distance_m", F.asc_nulls_last("point"))
+    points = with_segments(own.unionByName(ends)).withColumn("before", F.lag("point").over(order))
+    fast = points.where((F.col("segment_s") > 0) & (F.col("segment_m") / F.col("segment_s") > FASTEST_MPS))
+    return _split(fast.withColumn("point", F.coalesce("point", "before")).where("point is not null"))
 
 
 def outlier_scores(x: Inputs) -> DataFrame:
@@ -99,10 +167,10 @@ def outlier_scores(x: Inputs) -> DataFrame:
     """
     group = ["event", "setting", "distance_m"]
     finished = x.runs.where("status = 'finished' and time_s > 0").select("performance", "event", "setting", F.col("time_s").alias("finish_s"))
-    shares = x.splits.join(finished, "performance").withColumn("share", F.col("time_s") / F.col("finish_s"))
-    centre = shares.groupBy(*group).agg(F.count("*").alias("n"), F.median("share").alias("centre")).where(F.col("n") >= LEAST_GROUP)
+    shares = x.passings.join(finished, "performance").withColumn("share", F.col("time_s") / F.col("finish_s"))
+    centre = ranks.median(shares, group, "share", "centre").where(F.col("n") >= LEAST_GROUP)
     near = shares.join(centre, group)
-    spread = near.groupBy(*group).agg((MAD_SCALE * F.median(F.abs(F.col("share") - F.col("centre")))).alias("spread")).where("spread > 0")
+    spread = ranks.median(near.withColumn("off", F.abs(F.col("share") - F.col("centre"))), group, "off", "mad").select(*group, (MAD_SCALE * F.col("mad")).alias("spread")).where("spread > 0")
     return near.join(spread, group).withColumn("z", (F.col("share") - F.col("centre")) / F.col("spread"))
 
 
@@ -114,14 +182,21 @@ def late_runs(scores: DataFrame) -> DataFrame:
     return run.where((F.col("n") >= 2) & (F.col("most") < 0) & (F.col("least") < -OUTLIER_Z) & (F.col("last_two") < -LATE_Z)).select("performance", "document")
 
 
-@check("split-outlier", "warning", True)
+def others_normal(scores: DataFrame) -> DataFrame:
+    """``scores`` with whether a series has other scored points and all of them are below three: then an outlier is a timing error, likely."""
+    series = W.partitionBy("performance", "document")
+    odd = F.count_if(F.abs("z") >= NORMAL_Z).over(series) - (F.abs("z") >= NORMAL_Z).cast("int")
+    return scores.withColumn("others_normal", (F.count("*").over(series) > 1) & (odd == 0))
+
+
+@check("split-outlier", "warning", True, "anomaly")
 def split_outlier(x: Inputs) -> DataFrame:
     """A score beyond five, unless the run lost time late."""
     scores = outlier_scores(x)
     return _split(scores.where(F.abs("z") > OUTLIER_Z).join(late_runs(scores), ["performance", "document"], "left_anti"))
 
 
-@check("time-lost-late", "info", True)
+@check("time-lost-late", "info", True, "anomaly")
 def time_lost_late(x: Inputs) -> DataFrame:
     """One finding per run that lost time late, on its result."""
     return late_runs(outlier_scores(x)).select("performance").distinct().withColumn("field", F.lit("result"))
@@ -172,6 +247,41 @@ def rank_order(points: DataFrame) -> DataFrame:
     return rows.mapInPandas(outside, points.select("race", "distance_m", "performance", "time_s", "rank").schema)
 
 
+@check("rank-order", "warning", needs=("placed_points",))
+def misplaced(x: Inputs) -> DataFrame:
+    """Printed positions at a point that the times there don't allow, the fewest that explain it."""
+    field = x.placed_points.withColumn("race", F.to_json(F.struct("race", "document")))
+    found = rank_order(field).join(field.select("race", "distance_m", "performance", "document", "point"), ["race", "distance_m", "performance"])
+    return found.select("performance", "document", "point", F.lit("rank").alias("field"))
+
+
+@check("birth-dates-agree", "error", group="consistency", needs=("births",))
+def births_agree(x: Inputs) -> DataFrame:
+    """Birth dates that documents print for one athlete and that differ."""
+    printed = x.births.where("printed is not null")
+    several = printed.groupBy("athlete").agg(F.min("printed").alias("lo"), F.max("printed").alias("hi")).where("lo <> hi").select("athlete")
+    return printed.join(several, "athlete", "left_semi").select("performance", F.lit("birth_date").alias("field"))
+
+
+@check("documents-agree", "warning", group="consistency", needs=("conflicts",))
+def documents_agree(x: Inputs) -> DataFrame:
+    """Facts that a race's documents print differently; the one of most authority is kept."""
+    return x.conflicts.select(F.col("subject").alias("performance"), "field")
+
+
+@check("athlete-in-race", "error", True, "consistency", ("entries",))
+def timed_elsewhere(x: Inputs) -> DataFrame:
+    """Athletes whom a document times in a race whose results don't name them; the subject is the document."""
+    named = x.runs.select("race", "athlete").distinct()
+    return x.entries.join(named, ["race", "athlete"], "left_anti").select(F.concat_ws("/", "race", "document").alias("document")).distinct()
+
+
+@check("reader-notes", "warning", group="reading", needs=("notes",))
+def reader_notes(x: Inputs) -> DataFrame:
+    """What a reader noted about a document, for a person to look at."""
+    return x.notes.select("document")
+
+
 def equal_printed(exact: Column, printed: Column, scale: Column) -> Column:
     """Whether a printed value is the exact one cut or rounded half-up to its decimals."""
     unit = F.pow(F.lit(10), scale)

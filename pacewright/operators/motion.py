@@ -37,14 +37,14 @@ def interpolate(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
     return y[i] * (2 * t**3 - 3 * t**2 + 1) + h * m[i] * (t**3 - 2 * t**2 + t) + y[i + 1] * (3 * t**2 - 2 * t**3) + h * m[i + 1] * (t**3 - t**2)
 
 
-def knots(splits: DataFrame) -> DataFrame:
+def knots(passings: DataFrame) -> DataFrame:
     """Clean points of every performance and document from the gun, only those later than all before."""
-    clean = splits.where("not suspect and time_s > 0").select("performance", "document", "distance_m", "time_s")
+    clean = passings.where("not suspect and time_s > 0").select("performance", "document", "distance_m", "time_s")
     before = W.partitionBy("performance", "document").orderBy("distance_m").rowsBetween(W.unboundedPreceding, -1)
     return clean.where("time_s is not null").withColumn("latest", F.max("time_s").over(before)).where("latest is null or time_s > latest").drop("latest")
 
 
-def positions(splits: DataFrame, step_m: float = 25.0) -> DataFrame:
+def positions(passings: DataFrame, step_m: float = 25.0) -> DataFrame:
     """performance, document, distance_m, time_s at every step of distance.
 
     A run's knots are a short list, so a row is a run and a batch of runs goes to Python at once.
@@ -65,13 +65,13 @@ def positions(splits: DataFrame, step_m: float = 25.0) -> DataFrame:
                 })
 
     own = F.sort_array(F.collect_list(F.struct(F.col("distance_m").cast("double").alias("distance_m"), "time_s")))
-    rows = knots(splits).groupBy("performance", "document").agg(own.alias("k")).select("performance", "document", F.col("k.distance_m").alias("x"), F.col("k.time_s").alias("y"))
+    rows = knots(passings).groupBy("performance", "document").agg(own.alias("k")).select("performance", "document", F.col("k.distance_m").alias("x"), F.col("k.time_s").alias("y"))
     return rows.mapInPandas(run, "performance long, document string, distance_m double, time_s double")
 
 
-def standings(splits: DataFrame, runs: DataFrame, at_s: float) -> DataFrame:
+def standings(passings: DataFrame, runs: DataFrame, at_s: float) -> DataFrame:
     """race, performance, distance_m, place at a time: by distance covered at the last point passed, then by its time."""
-    passed = splits.where(F.col("time_s") <= at_s).groupBy("performance").agg(F.max(F.struct("distance_m", (-F.col("time_s")).alias("neg"))).alias("p"))
+    passed = passings.where(F.col("time_s") <= at_s).groupBy("performance").agg(F.max(F.struct("distance_m", (-F.col("time_s")).alias("neg"))).alias("p"))
     met = runs.select("performance", "race").join(passed, "performance").select("race", "performance", "p.distance_m", (-F.col("p.neg")).alias("passed_s"))
     order = W.partitionBy("race").orderBy(F.desc("distance_m"), "passed_s")
     return met.withColumn("place", F.rank().over(order).cast("long"))

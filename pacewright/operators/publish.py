@@ -11,10 +11,10 @@ def provenance_id(source: Column) -> Column:
     return F.substring(F.sha2(F.to_json(source), 256), 1, 16)
 
 
-def race_documents(runs: DataFrame, splits: DataFrame) -> DataFrame:
-    """race, event, runs: a nested list of runs in finishing order, each with its splits in course order."""
-    own = splits.groupBy("performance").agg(F.sort_array(F.collect_list(F.struct("distance_m", "document", "time_s", "suspect"))).alias("splits"))
-    rows = runs.join(own, "performance").select("race", "event", F.struct(F.col("time_s").isNull().alias("out"), "time_s", "performance", "athlete", "splits").alias("run"))
+def race_documents(runs: DataFrame, passings: DataFrame) -> DataFrame:
+    """race, event, runs: a nested list of runs in finishing order, each with its passings in course order."""
+    own = passings.groupBy("performance").agg(F.sort_array(F.collect_list(F.struct("distance_m", "document", "time_s", "suspect"))).alias("passings"))
+    rows = runs.join(own, "performance").select("race", "event", F.struct(F.col("time_s").isNull().alias("out"), "time_s", "performance", "athlete", "passings").alias("run"))
     return rows.groupBy("race", "event").agg(F.sort_array(F.collect_list("run")).alias("runs"))
 
 

@@ -22,7 +22,7 @@ def with_segments(points: DataFrame) -> DataFrame:
     return points.withColumns({"segment_m": metres, "segment_s": seconds})
 
 
-def split_analysis(splits: DataFrame, runs: DataFrame, flags: DataFrame) -> DataFrame:
+def split_analysis(passings: DataFrame, runs: DataFrame, flags: DataFrame) -> DataFrame:
     """Segments, speeds and shares of the race of every split, and of a derived finish of each finished series.
 
     A series' own last point is its printed finish and gives way to the official one. A point is suspect if
@@ -30,8 +30,8 @@ def split_analysis(splits: DataFrame, runs: DataFrame, flags: DataFrame) -> Data
     """
     last = F.max("point").over(W.partitionBy("performance", "document"))
     official = runs.where((F.col("status") == "finished") & F.col("time_s").isNotNull()).select("performance", F.col("time_s").alias("finish_s"), F.col("distance_m").alias("finish_m"))
-    inner = splits.withColumn("last", last).where(F.col("point") < F.col("last")).select("performance", "document", "point", "distance_m", "time_s")
-    finish = splits.select("performance", "document").distinct().join(official, "performance")
+    inner = passings.withColumn("last", last).where(F.col("point") < F.col("last")).select("performance", "document", "point", "distance_m", "time_s")
+    finish = passings.select("performance", "document").distinct().join(official, "performance")
     finish = finish.select("performance", "document", F.lit(None).cast("long").alias("point"), F.col("finish_m").alias("distance_m"), F.col("finish_s").alias("time_s"))
     points = with_segments(inner.unionByName(finish).join(official.select("performance", "finish_s"), "performance", "left"))
     by_split = flags.where("field = 'split'").select("performance", "document", "point").distinct().withColumn("of_split", F.lit(True))
@@ -45,11 +45,11 @@ def split_analysis(splits: DataFrame, runs: DataFrame, flags: DataFrame) -> Data
     )
 
 
-def trace(splits: DataFrame, runs: DataFrame, prefix: str) -> DataFrame:
-    """Values of all records whose id begins with a prefix: results and splits, one union."""
+def trace(passings: DataFrame, runs: DataFrame, prefix: str) -> DataFrame:
+    """Values of all records whose id begins with a prefix: results and passings, one union."""
     performance = F.concat_ws("/", "race", "event", "performance")
     named = runs.select("performance", performance.alias("id"), "time_s")
     own = named.where(F.col("id").startswith(prefix))
-    points = splits.join(own.select("performance", "id"), "performance")
+    points = passings.join(own.select("performance", "id"), "performance")
     points = points.select(F.concat_ws("/", "id", F.concat("point", F.lit("@"), "document")).alias("record"), F.lit("split").alias("kind"), "time_s")
     return own.select(F.col("id").alias("record"), F.lit("result").alias("kind"), "time_s").unionByName(points)

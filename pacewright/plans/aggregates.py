@@ -1,19 +1,18 @@
 """Roll-ups: event summaries, winners, bests, robust statistics, quantiles, tallies, grouping sets, pivots."""
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from pacewright.operators import analysis
+from pacewright.operators import analysis, ranks
 from pacewright.plans.registry import query
 from pacewright.sources.tables import Tables, oracle
 
 
-@query("event_summary", oracle("select event, count(distinct race) as races, count(*) as performances, count(distinct athlete) as athletes, count(distinct case when distance_m is not null then performance end) as with_splits, array_to_string(list_sort(list(distinct setting)), ',') as settings, min(time_s) as fastest from runs group by event"))
+@query("event_summary", oracle("select event, count(distinct race) as races, count(*) as performances, count(distinct athlete) as athletes, count(distinct case when distance_m is not null then performance end) as timed, array_to_string(list_sort(list(distinct setting)), ',') as settings, min(time_s) as fastest from runs group by event"))
 def event_summary(spark, sf_dir):
     r = Tables(spark, sf_dir).runs
     return r.groupBy("event").agg(
         F.count_distinct("race").alias("races"), F.count("*").alias("performances"), F.count_distinct("athlete").alias("athletes"),
-        F.count_distinct(F.when(F.col("distance_m").isNotNull(), F.col("performance"))).alias("with_splits"), F.array_join(F.sort_array(F.collect_set("setting")), ",").alias("settings"), F.min("time_s").alias("fastest"),
+        F.count_distinct(F.when(F.col("distance_m").isNotNull(), F.col("performance"))).alias("timed"), F.array_join(F.sort_array(F.collect_set("setting")), ",").alias("settings"), F.min("time_s").alias("fastest"),
     )
 
 
@@ -40,44 +39,39 @@ def typical_reactions(spark, sf_dir):
     """Median of a positive value per event, short races only."""
     t = Tables(spark, sf_dir)
     d = t.read("lineitem").where("l_tax > 0 and l_linenumber <= 4").join(t.read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return d.groupBy(F.col("o_orderpriority").alias("event")).agg(F.median("l_tax").alias("reaction"), F.count("*").alias("n"))
+    return ranks.median(d.withColumn("event", F.col("o_orderpriority")), ["event"], "l_tax", "reaction")
 
 
 @query("robust_spread", "with c as (select o_orderpriority as event, median(o_totalprice) as centre from orders group by all) select event, any_value(centre) as centre, 1.4826 * median(abs(o_totalprice - centre)) as spread, count(*) as n from orders join c on event = o_orderpriority group by event")
 def robust_spread(spark, sf_dir):
     o = Tables(spark, sf_dir).read("orders").withColumn("event", F.col("o_orderpriority"))
-    centre = o.groupBy("event").agg(F.median("o_totalprice").alias("centre"))
-    near = o.join(centre, "event")
-    return near.groupBy("event").agg(F.first("centre").alias("centre"), (1.4826 * F.median(F.abs(F.col("o_totalprice") - F.col("centre")))).alias("spread"), F.count("*").alias("n"))
+    centre = ranks.median(o, ["event"], "o_totalprice", "centre").drop("n")
+    near = o.join(centre, "event").withColumn("off", F.abs(F.col("o_totalprice") - F.col("centre")))
+    return ranks.median(near, ["event"], "off", "mad").join(centre, "event").select("event", "centre", (1.4826 * F.col("mad")).alias("spread"), "n")
 
 
 _QUARTILE = "v[1 + cast(floor((len(v) - 1) * {q}) as int)] + (v[1 + cast(ceil((len(v) - 1) * {q}) as int)] - v[1 + cast(floor((len(v) - 1) * {q}) as int)]) * ((len(v) - 1) * {q} - floor((len(v) - 1) * {q}))"
 
 
-@query("pace_profile", oracle(f"with v as (select event, point, list_sort(list(lap_s)) as v from splits join runs using (performance) where status = 'finished' group by all having count(*) >= 5) select event, point, {_QUARTILE.format(q=0.25)} as q1, {_QUARTILE.format(q=0.5)} as median, {_QUARTILE.format(q=0.75)} as q3, len(v) as n from v"))
+@query("pace_profile", oracle(f"with v as (select event, point, list_sort(list(lap_s)) as v from passings join runs using (performance) where status = 'finished' group by all having count(*) >= 5) select event, point, {_QUARTILE.format(q=0.25)} as q1, {_QUARTILE.format(q=0.5)} as median, {_QUARTILE.format(q=0.75)} as q3, len(v) as n from v"))
 def pace_profile(spark, sf_dir):
     """Quartiles of the time of each stretch by event, five runs and more."""
     t = Tables(spark, sf_dir)
-    d = t.splits.join(t.runs.where("status = 'finished'").select("performance", "event"), "performance")
+    d = t.passings.join(t.runs.where("status = 'finished'").select("performance", "event"), "performance")
     return analysis.quartiles(d, ["event", "point"], "lap_s").where("n >= 5")
 
 
 @query("nearest_rank_spread", oracle("with v as (select event, list_sort(list(time_s)) as v from runs where time_s is not null group by event) select event, v[1 + cast(floor((len(v) - 1) * 0.05 + 0.5) as int)] as low, v[1 + cast(floor((len(v) - 1) * 0.95 + 0.5) as int)] as high from v"))
 def nearest_rank_spread(spark, sf_dir):
     """The values at the 5th and 95th hundredth of ranks."""
-    r = Tables(spark, sf_dir).runs.where("time_s is not null")
-    w = W.partitionBy("event")
-    ranked = r.withColumns({"i": F.row_number().over(w.orderBy("time_s", "performance")) - 1, "n": F.count("*").over(w)})
-    at = lambda q: F.max(F.when(F.col("i") == F.floor((F.col("n") - 1) * q + 0.5), F.col("time_s")))
-    return ranked.groupBy("event").agg(at(0.05).alias("low"), at(0.95).alias("high"))
+    return ranks.quantiles(Tables(spark, sf_dir).runs, ["event"], "time_s", {"low": 0.05, "high": 0.95}, nearest=True).drop("n")
 
 
 @query("survey_grains", oracle("select series, event, cast(floor(cast(race[1:4] as int) / 10) * 10 as bigint) as decade, count(*) as races, count(distinct athlete) as athletes, count(*) filter (where race >= '1996') as since from runs group by grouping sets ((series), (event), (series, decade), ())"))
 def survey_grains(spark, sf_dir):
     """One fact at four grains."""
-    t = Tables(spark, sf_dir)
-    t.runs.select("series", "event", (F.floor(F.substring("race", 1, 4).cast("int") / 10) * 10).cast("long").alias("decade"), "athlete", "race").createOrReplaceTempView("survey_runs")
-    return spark.sql("select series, event, decade, count(*) as races, count(distinct athlete) as athletes, count_if(race >= '1996') as since from survey_runs group by grouping sets ((series), (event), (series, decade), ())")
+    runs = Tables(spark, sf_dir).runs.select("series", "event", (F.floor(F.substring("race", 1, 4).cast("int") / 10) * 10).cast("long").alias("decade"), "athlete", "race")
+    return spark.sql("select series, event, decade, count(*) as races, count(distinct athlete) as athletes, count_if(race >= '1996') as since from {runs} group by grouping sets ((series), (event), (series, decade), ())", runs=runs)
 
 
 @query("survey_tally", oracle("select series, count(distinct race) as editions, cast(sum(greatest(held, 3)) as bigint) as races, cast(sum(least(held, 2)) as bigint) as published from (select series, race, count(*) as held from runs group by all) group by series"))

@@ -2,28 +2,41 @@
 
 from pyspark.sql import functions as F
 
+from pacewright.operators import assembly as asm
 from pacewright.operators import flags, views
+from pacewright.plans import assembly
 from pacewright.plans.registry import query
 from pacewright.sources.tables import Tables, oracle
 
 _SCORES = """finished as (select performance, event, setting, time_s as finish_s from runs where status = 'finished' and time_s > 0),
-shares as (select s.*, event, setting, time_s / finish_s as share from splits s join finished using (performance)),
+shares as (select s.*, event, setting, time_s / finish_s as share from passings s join finished using (performance)),
 centre as (select event, setting, distance_m, median(share) as centre from shares group by all having count(*) >= 20),
 near as (select * from shares join centre using (event, setting, distance_m)),
 spread as (select event, setting, distance_m, 1.4826 * median(abs(share - centre)) as spread from near group by all),
 scores as (select *, (share - centre) / spread as z from near join spread using (event, setting, distance_m) where spread > 0),
 back as (select *, row_number() over (partition by performance, document order by distance_m desc, point desc) as back from scores),
 late as (select performance, document from back group by all having count(*) >= 2 and max(z) < 0 and min(z) < -5 and max(case when back <= 2 then z end) < -3)"""
-_LAST = "(select *, max(point) over (partition by performance, document) as last from splits)"
+_LAST = "(select *, max(point) over (partition by performance, document) as last from passings)"
 _PLACED = "(select *, case when time_s is not null and status = 'finished' then rank() over (partition by race, event, status order by time_s) end as place from runs)"
 
 SQL = {
-    "split-order": "select performance, document, point, 'split' as field from (select *, lag(time_s) over (partition by performance, document order by distance_m, point) as b from splits) where time_s <= b",
+    "split-order": "select performance, document, point, 'split' as field from (select *, lag(time_s) over (partition by performance, document order by distance_m, point) as b from passings) where time_s <= b",
     "split-before-finish": f"select performance, document, point, 'split' as field from {_LAST} s join (select performance, time_s as f from runs) using (performance) where point < last and time_s >= f",
     "finish-matches-result": f"select performance, document, point, 'split' as field from {_LAST} s join (select performance, time_s as f from runs) using (performance) where point = last and (f is null or time_s <> f)",
-    "segment-speed": """select performance, document, point, 'split' as field from (
-  select *, distance_m - lag(distance_m, 1, 0) over w as dm, time_s - lag(time_s, 1, 0.0) over w as ds from splits window w as (partition by performance, document order by distance_m, point))
-  where ds > 0 and cast(dm as double) / ds > 12.6""",
+    "segment-speed": f"""select performance, document, point, 'split' as field from (
+  select performance, document, coalesce(point, lag(point) over w) as point, distance_m - lag(distance_m, 1, 0) over w as dm, time_s - lag(time_s, 1, 0.0) over w as ds from (
+    select s.performance, document, case when f is null or point < last then point end as point, case when f is null or point < last then s.distance_m else m end as distance_m, case when f is null or point < last then s.time_s else f end as time_s
+    from {_LAST} s left join (select performance, time_s as f, distance_m as m from runs where status = 'finished') r using (performance))
+  window w as (partition by performance, document order by distance_m, point nulls last))
+  where ds > 0 and cast(dm as double) / ds > 12.6 and point is not null""",
+    "segment-matches-passings": """select performance, document, end_m as point, 'segment' as field from (
+  select s.performance, s.document, s.distance_m as end_m, s.lap_s + case when s.suspect and s.mark = 'A' then 1 else 0 end as printed, s.time_s - coalesce(b.time_s, 0) as expected, coalesce(b.time_s, 0) = 0 as gun
+  from passings s left join passings b on b.performance = s.performance and b.document = s.document and b.distance_m = s.distance_m - 100)
+  where round(abs(printed - expected), 6) > round(greatest(0.01, 0.005 * case when gun then 2 else 3 end), 6)""",
+    "birth-dates-agree": """select o_orderkey as performance, cast(null as varchar) as document, cast(null as bigint) as point, 'birth_date' as field from (select *, count(distinct y) over (partition by o_custkey) as k from (select o_orderkey, o_custkey, o_totalprice > 450000 as y from orders)) where k > 1""",
+    "documents-agree": "select subject as performance, cast(null as varchar) as document, cast(null as bigint) as point, field from (CONFLICTS)",
+    "athlete-in-race": "select distinct cast(null as bigint) as performance, race || '/' || l_linestatus as document, cast(null as bigint) as point, cast(null as varchar) as field from lineitem join runs on l_orderkey = performance where not exists (select 1 from runs r where r.race = runs.race and r.athlete = l_suppkey)",
+    "reader-notes": "select cast(null as bigint) as performance, document, cast(null as bigint) as point, cast(null as varchar) as field from passings where lap_s >= 50 and mark = 'R'",
     "split-outlier": f"with {_SCORES} select performance, document, point, 'split' as field from scores where abs(z) > 5 and (performance, document) not in (select (performance, document) from late)",
     "time-lost-late": f"with {_SCORES} select distinct performance, cast(null as varchar) as document, cast(null as bigint) as point, 'result' as field from late",
     "place-order": f"""select performance, cast(null as varchar) as document, cast(null as bigint) as point, 'place' as field from (
@@ -32,8 +45,15 @@ SQL = {
 }
 
 
+SQL["documents-agree"] = SQL["documents-agree"].replace("CONFLICTS", assembly.CONFLICTS)
+
+
 def _inputs(t: Tables) -> flags.Inputs:
-    return flags.Inputs(t.splits, views.results(t.runs))
+    lines = t.read("lineitem").select(F.col("l_orderkey").alias("performance"), F.col("l_linestatus").alias("document"), F.col("l_suppkey").alias("athlete"))
+    return flags.Inputs(
+        t.passings, views.results(t.runs), t.stretches, t.placed_points, t.births, asm.merge(assembly.readings(t), ["mark", "lane"])[1],
+        lines.join(t.runs.select("performance", "race"), "performance").select("race", "document", "athlete"), t.passings.where("lap_s >= 50 and mark = 'R'").select("document", F.lit("long stretch").alias("text")),
+    )
 
 
 def _register(check_id: str) -> None:
@@ -63,13 +83,21 @@ def flag_counts(spark, sf_dir):
     return found.join(t.runs.select("performance", "race"), "performance").groupBy("check_id", "severity").agg(F.count("*").alias("flags"), F.count_distinct("race").alias("races"))
 
 
-@query("rank_order")
+@query("check_rank_order")
 def rank_order(spark, sf_dir):
-    """Ranks at 100 m that disagree with the order of times; rank is the day's order of the line's discounted weight."""
-    t = Tables(spark, sf_dir)
-    points = t.splits.where("distance_m = 100 and document = 'F'").join(t.runs.select("performance", "race"), "performance")
-    points = points.withColumn("rank", (F.col("performance") * 7 % 13).cast("long"))
-    return flags.rank_order(points)
+    """Printed positions that the times at their point don't allow; a longest agreeing sequence has no SQL."""
+    return flags.CHECKS["rank-order"].run(_inputs(Tables(spark, sf_dir)))
+
+
+@query("outlier_verdicts", oracle(f"with {_SCORES} select performance, document, point, count(*) over w > 1 and count(*) filter (where abs(z) >= 3) over w - case when abs(z) >= 3 then 1 else 0 end = 0 as others_normal from scores window w as (partition by performance, document)"))
+def outlier_verdicts(spark, sf_dir):
+    """Whether the other scored points of a series are normal."""
+    return flags.others_normal(flags.outlier_scores(_inputs(Tables(spark, sf_dir)))).select("performance", "document", "point", "others_normal")
+
+
+@query("check_registry", "select * from (values " + ", ".join(f"('{c.check_id}', '{c.group}', '{c.severity}', {str(c.suspect).lower()})" for c in flags.CHECKS.values()) + ") v(check_id, check_group, severity, suspect)")
+def check_registry(spark, sf_dir):
+    return flags.registry(spark).drop("title")
 
 
 @query(

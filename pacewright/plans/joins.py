@@ -7,14 +7,14 @@ from pacewright.plans.registry import query
 from pacewright.sources.tables import Tables, oracle
 
 
-@query("suspect_exists", oracle("""select performance, document, point, exists (select 1 from splits f where f.suspect and f.performance = s.performance and f.document = s.document and f.point = s.point)
-  or exists (select 1 from runs r where r.performance = s.performance and r.status = 'dnf') as suspect from splits s"""))
+@query("suspect_exists", oracle("""select performance, document, point, exists (select 1 from passings f where f.suspect and f.performance = s.performance and f.document = s.document and f.point = s.point)
+  or exists (select 1 from runs r where r.performance = s.performance and r.status = 'dnf') as suspect from passings s"""))
 def suspect_exists(spark, sf_dir):
     """An existence test on either of two keys, as two equality joins."""
     t = Tables(spark, sf_dir)
-    by_split = t.splits.where("suspect").select("performance", "document", "point").distinct().withColumn("a", F.lit(True))
+    by_split = t.passings.where("suspect").select("performance", "document", "point").distinct().withColumn("a", F.lit(True))
     by_run = t.runs.where("status = 'dnf'").select("performance").distinct().withColumn("b", F.lit(True))
-    out = t.splits.select("performance", "document", "point").join(by_split, ["performance", "document", "point"], "left").join(by_run, "performance", "left")
+    out = t.passings.select("performance", "document", "point").join(by_split, ["performance", "document", "point"], "left").join(by_run, "performance", "left")
     return out.select("performance", "document", "point", F.coalesce("a", "b", F.lit(False)).alias("suspect"))
 
 
@@ -35,14 +35,20 @@ def as_of_standings(spark, sf_dir):
 @query("interval_overlap", """with i as (select l_orderkey as id, l_suppkey % 50 as country, cast(min(l_shipdate) as date) as first, cast(min(l_shipdate) as date) + cast(min(l_linenumber) as int) as last from lineitem group by l_orderkey, l_suppkey % 50)
 select a.id, count(*) as overlaps from i a join i b on a.country = b.country and a.id <> b.id and a.first - 1 <= b.last and b.first <= a.last + 1 group by a.id""")
 def interval_overlap(spark, sf_dir):
-    """Entries of one country whose days overlap within a day, met through shared days instead of a range join."""
+    """How many entries of its country each one overlaps within a day: those begun by its end less those ended before, from totals by day, no pairs."""
     d = Tables(spark, sf_dir).read("lineitem")
     first = F.min(F.to_date("l_shipdate"))
     i = d.groupBy(F.col("l_orderkey").alias("id"), (F.col("l_suppkey") % 50).alias("country")).agg(first.alias("first"), F.date_add(first, F.min("l_linenumber")).alias("last"))
-    wide = i.withColumn("day", F.explode(F.sequence(F.date_sub("first", 1), F.date_add("last", 1))))
-    days = i.withColumn("day", F.explode(F.sequence("first", "last"))).select(F.col("id").alias("other"), "country", "day", F.col("first").alias("other_first"))
-    pairs = wide.join(days, ["country", "day"]).where("id <> other").select("id", "country", "other", "other_first", "first").distinct()
-    return pairs.groupBy("id").agg(F.count("*").alias("overlaps"))
+    steps = i.select("country", F.col("first").alias("day"), F.lit(1).alias("began"), F.lit(0).alias("ended")).unionByName(i.select("country", F.col("last").alias("day"), F.lit(0).alias("began"), F.lit(1).alias("ended")))
+    days = steps.groupBy("country", "day").agg(F.sum("began").alias("b"), F.sum("ended").alias("e"))
+    # the days asked about take their place among the days on which something began or ended
+    asked = i.select("country", F.explode(F.array(F.date_add("last", 1), F.date_sub("first", 2))).alias("day")).distinct().select("country", "day", F.lit(0).alias("b"), F.lit(0).alias("e"))
+    upto = W.partitionBy("country").orderBy("day").rowsBetween(W.unboundedPreceding, W.currentRow)
+    totals = days.unionByName(asked).groupBy("country", "day").agg(F.sum("b").alias("b"), F.sum("e").alias("e")).select("country", "day", F.sum("b").over(upto).alias("begun"), F.sum("e").over(upto).alias("over"))
+    begun = totals.select("country", F.date_sub("day", 1).alias("last"), "begun")
+    over = totals.select("country", F.date_add("day", 2).alias("first"), "over")
+    met = i.join(begun, ["country", "last"]).join(over, ["country", "first"]).select("id", (F.col("begun") - F.col("over") - 1).alias("overlaps"))
+    return met.groupBy("id").agg(F.sum("overlaps").alias("overlaps")).where("overlaps > 0")
 
 
 @query("era_lookup", """select o_orderkey, era from (select o_orderkey, e.era, row_number() over (partition by o_orderkey order by e.era) as k
@@ -56,12 +62,12 @@ def era_lookup(spark, sf_dir):
     return o.join(F.broadcast(eras), fits).groupBy("o_orderkey").agg(F.min("era").alias("era"))
 
 
-@query("common_points", oracle("select race, event, s.distance_m from splits s join (select performance, race, event, count(*) over (partition by race, event) as field from runs) r using (performance) group by all having count(distinct performance) = max(field)"))
+@query("common_points", oracle("select race, event, s.distance_m from passings s join (select performance, race, event, count(*) over (partition by race, event) as field from runs) r using (performance) group by all having count(distinct performance) = max(field)"))
 def common_points(spark, sf_dir):
     """Points at which every run of a race was timed: relational division by counting."""
     t = Tables(spark, sf_dir)
     field = t.runs.select("performance", "race", "event", F.count("*").over(W.partitionBy("race", "event")).alias("field"))
-    timed = t.splits.select("performance", "distance_m").distinct().join(field, "performance")
+    timed = t.passings.select("performance", "distance_m").distinct().join(field, "performance")
     return timed.groupBy("race", "event", "distance_m").agg(F.count("*").alias("n"), F.max("field").alias("field")).where("n = field").select("race", "event", "distance_m")
 
 

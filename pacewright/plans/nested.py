@@ -14,17 +14,17 @@ def json_fields(spark, sf_dir):
     return e.select("event_id", F.get_json_object("props", "$.k").alias("k"), F.length("props").cast("long").alias("size"))
 
 
-@query("split_vectors", oracle("select performance, document, array_to_string(list_transform([100, 200, 300, 400], lambda p: coalesce(cast(cast(list_extract(map_extract(m, p), 1) as bigint) as varchar), '-')), ',') as vector from (select performance, document, map_from_entries(list(row(distance_m, time_s))) as m from splits group by all)"))
+@query("split_vectors", oracle("select performance, document, array_to_string(list_transform([100, 200, 300, 400], lambda p: coalesce(cast(cast(list_extract(map_extract(m, p), 1) as bigint) as varchar), '-')), ',') as vector from (select performance, document, map_from_entries(list(row(distance_m, time_s))) as m from passings group by all)"))
 def split_vectors(spark, sf_dir):
     """Times at an event's fixed points, empty where not timed."""
-    s = Tables(spark, sf_dir).splits.groupBy("performance", "document").agg(F.map_from_entries(F.collect_list(F.struct("distance_m", "time_s"))).alias("m"))
+    s = Tables(spark, sf_dir).passings.groupBy("performance", "document").agg(F.map_from_entries(F.collect_list(F.struct("distance_m", "time_s"))).alias("m"))
     points = F.array(*(F.lit(p).cast("long") for p in (100, 200, 300, 400)))
     return s.select("performance", "document", F.array_join(F.transform(points, lambda p: F.coalesce(F.try_element_at("m", p).cast("long").cast("string"), F.lit("-"))), ",").alias("vector"))
 
 
-@query("suspect_indexes", oracle("select performance, document, array_to_string(list_sort(list(point) filter (where suspect)), ',') as suspects from splits group by all having count(*) filter (where suspect) > 0"))
+@query("suspect_indexes", oracle("select performance, document, array_to_string(list_sort(list(point) filter (where suspect)), ',') as suspects from passings group by all having count(*) filter (where suspect) > 0"))
 def suspect_indexes(spark, sf_dir):
-    s = Tables(spark, sf_dir).splits.where("suspect").groupBy("performance", "document")
+    s = Tables(spark, sf_dir).passings.where("suspect").groupBy("performance", "document")
     return s.agg(F.array_join(F.sort_array(F.collect_list("point")).cast("array<string>"), ",").alias("suspects"))
 
 
@@ -37,11 +37,11 @@ def conversation_documents(spark, sf_dir):
     return d.select("conv_id", F.size("turns").cast("long").alias("turns"), F.array_join("turns.role", ",").alias("roles"), F.aggregate("turns.text", F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("chars"))
 
 
-@query("source_dictionary", oracle("select race, performance, document, cast(dense_rank() over (partition by race order by first) as bigint) - 1 as source from (select race, performance, document, min(performance) over (partition by race, document, mark) * 10 + case mark when 'A' then 1 when 'N' then 2 else 3 end as first from splits join runs using (performance)) group by race, performance, document, first"))
+@query("source_dictionary", oracle("select race, performance, document, cast(dense_rank() over (partition by race order by first) as bigint) - 1 as source from (select race, performance, document, min(performance) over (partition by race, document, mark) * 10 + case mark when 'A' then 1 when 'N' then 2 else 3 end as first from passings join runs using (performance)) group by race, performance, document, first"))
 def source_dictionary(spark, sf_dir):
     """Sources of a race numbered by first appearance."""
     t = Tables(spark, sf_dir)
-    d = t.splits.join(t.runs.select("performance", "race"), "performance")
+    d = t.passings.join(t.runs.select("performance", "race"), "performance")
     first = F.min("performance").over(W.partitionBy("race", "document", "mark")) * 10 + F.when(F.col("mark") == "A", 1).when(F.col("mark") == "N", 2).otherwise(3)
     d = d.withColumn("first", first)
     return d.select("race", "performance", "document", (F.dense_rank().over(W.partitionBy("race").orderBy("first")).cast("long") - 1).alias("source")).distinct()
@@ -54,12 +54,12 @@ def provenance_ids(spark, sf_dir):
     return d.select("l_suppkey", "l_returnflag", publish.provenance_id(F.struct(F.col("l_suppkey").alias("source"), F.col("l_returnflag").alias("method"))).alias("id")).distinct()
 
 
-@query("race_documents", oracle("select race, event, count(*) as runs, sum(n) as splits from runs join (select performance, count(*) as n from splits group by all) using (performance) group by all".replace("sum(n)", "cast(sum(n) as bigint)")))
+@query("race_documents", oracle("select race, event, count(*) as runs, sum(n) as passings from runs join (select performance, count(*) as n from passings group by all) using (performance) group by all".replace("sum(n)", "cast(sum(n) as bigint)")))
 def race_documents(spark, sf_dir):
-    """One nested document per race and event: its runs with their splits."""
+    """One nested document per race and event: its runs with their passings."""
     t = Tables(spark, sf_dir)
-    d = publish.race_documents(t.runs, t.splits)
-    return d.select("race", "event", F.size("runs").cast("long").alias("runs"), F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + F.size(r["splits"])).alias("splits"))
+    d = publish.race_documents(t.runs, t.passings)
+    return d.select("race", "event", F.size("runs").cast("long").alias("runs"), F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + F.size(r["passings"])).alias("passings"))
 
 
 @query("published_columns", "select 'nation' as tbl, unnest(['n_nationkey', 'n_name', 'n_regionkey']) as name")

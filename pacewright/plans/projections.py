@@ -18,9 +18,9 @@ def record_ids(spark, sf_dir):
     return r.select("performance", F.concat_ws("/", "race", "event").alias("race_id"), own.alias("id"), split.alias("split_id"), F.substring_index(own, "/", 1).alias("parent"))
 
 
-@query("point_labels", oracle("select performance, document, point, case when distance_m % 400 = 0 then (distance_m // 400) || ' laps' when suspect then 'h' || point else distance_m || 'm' end as label, case when suspect then 1 else 0 end + 10 * distance_m as ordinal from splits"))
+@query("point_labels", oracle("select performance, document, point, case when distance_m % 400 = 0 then (distance_m // 400) || ' laps' when suspect then 'h' || point else distance_m || 'm' end as label, case when suspect then 1 else 0 end + 10 * distance_m as ordinal from passings"))
 def point_labels(spark, sf_dir):
-    s = Tables(spark, sf_dir).splits
+    s = Tables(spark, sf_dir).passings
     m = F.col("distance_m")
     label = F.when(m % 400 == 0, F.concat(F.floor(m / 400), F.lit(" laps"))).when(F.col("suspect"), F.concat(F.lit("h"), "point")).otherwise(F.concat(m, F.lit("m")))
     return s.select("performance", "document", "point", label.alias("label"), (F.col("suspect").cast("int") + 10 * m).alias("ordinal"))
@@ -48,27 +48,27 @@ def filtered_runs(spark, sf_dir):
     return Tables(spark, sf_dir).runs.where(reduce(lambda a, b: a & b, chosen)).select("performance")
 
 
-@query("masked_values", oracle("select s.performance, document, point, case when not suspect then s.time_s end as time_s from splits s where performance not in (select performance from runs where status = 'dnf')"))
+@query("masked_values", oracle("select s.performance, document, point, case when not suspect then s.time_s end as time_s from passings s where performance not in (select performance from runs where status = 'dnf')"))
 def masked_values(spark, sf_dir):
     """Flagged values dropped, and whole runs whose result is."""
     t = Tables(spark, sf_dir)
-    out = t.splits.join(t.runs.where("status = 'dnf'").select("performance"), "performance", "left_anti")
+    out = t.passings.join(t.runs.where("status = 'dnf'").select("performance"), "performance", "left_anti")
     return out.select("performance", "document", "point", F.when(~F.col("suspect"), F.col("time_s")).alias("time_s"))
 
 
-@query("strips", oracle("select race, event, point, count(*) as entries, min(lap_s) as fastest, arg_min(performance, struct_pack(a := lap_s, b := performance)) as leader from splits join (select performance, race, event from runs) r using (performance) where not suspect group by all having count(*) >= 2"))
+@query("strips", oracle("select race, event, point, count(*) as entries, min(lap_s) as fastest, arg_min(performance, struct_pack(a := lap_s, b := performance)) as leader from passings join (select performance, race, event from runs) r using (performance) where not suspect group by all having count(*) >= 2"))
 def strips(spark, sf_dir):
     """Stretches with two entries or more, and the fastest over each."""
     t = Tables(spark, sf_dir)
-    d = t.splits.where("not suspect").join(t.runs.select("performance", "race", "event"), "performance")
+    d = t.passings.where("not suspect").join(t.runs.select("performance", "race", "event"), "performance")
     out = d.groupBy("race", "event", "point").agg(F.count("*").alias("entries"), F.min("lap_s").alias("fastest"), F.min_by("performance", F.struct("lap_s", "performance")).alias("leader"))
     return out.where("entries >= 2")
 
 
-@query("grid_descriptions", oracle("select performance, document, case when count(*) = max(point) and max(point) > 1 then 'every 100 m' else 'uneven' end as grid from splits where not suspect group by all"))
+@query("grid_descriptions", oracle("select performance, document, case when count(*) = max(point) and max(point) > 1 then 'every 100 m' else 'uneven' end as grid from passings where not suspect group by all"))
 def grid_descriptions(spark, sf_dir):
     """Whether the clean points of a series are evenly spaced from the gun."""
-    s = Tables(spark, sf_dir).splits.where("not suspect").groupBy("performance", "document").agg(F.sort_array(F.collect_list("point")).alias("p"))
+    s = Tables(spark, sf_dir).passings.where("not suspect").groupBy("performance", "document").agg(F.sort_array(F.collect_list("point")).alias("p"))
     even = F.forall(F.transform("p", lambda x, i: x == i + 1), lambda b: b) & (F.size("p") > 1)
     return s.select("performance", "document", F.when(even, "every 100 m").otherwise("uneven").alias("grid"))
 
@@ -81,11 +81,11 @@ def former_numbers(spark, sf_dir):
     return c.select(F.col("c_custkey").alias("athlete"), numbers.alias("number")).where("number % 3 = 0")
 
 
-@query("from_the_gun", oracle("select s.performance, document, point, (0.15 + s.time_s / r.time_s * (r.time_s - 0.15)) / r.time_s as share from splits s join runs r using (performance) where r.time_s > 0"))
+@query("from_the_gun", oracle("select s.performance, document, point, (0.15 + s.time_s / r.time_s * (r.time_s - 0.15)) / r.time_s as share from passings s join runs r using (performance) where r.time_s > 0"))
 def from_the_gun(spark, sf_dir):
     """A share of the race from the blocks as a share of the time from the gun."""
     t = Tables(spark, sf_dir)
-    d = t.splits.join(t.runs.where("time_s > 0").select("performance", F.col("time_s").alias("f")), "performance")
+    d = t.passings.join(t.runs.where("time_s > 0").select("performance", F.col("time_s").alias("f")), "performance")
     return d.select("performance", "document", "point", ((0.15 + F.col("time_s") / F.col("f") * (F.col("f") - 0.15)) / F.col("f")).alias("share"))
 
 
@@ -95,18 +95,18 @@ def laps_left(spark, sf_dir):
     return r.agg(F.ceil((1500 - F.max("distance_m")) / 400).cast("long").alias("laps"))
 
 
-@query("last_two_normal", oracle("with n as (select performance, document, point, lap_s > 10 as normal, row_number() over (partition by performance, document order by point desc) as back from splits) select performance, document, bool_and(normal) filter (where back <= 2) as last_two, count(*) filter (where not normal) as odd from n group by all"))
+@query("last_two_normal", oracle("with n as (select performance, document, point, lap_s > 10 as normal, row_number() over (partition by performance, document order by point desc) as back from passings) select performance, document, bool_and(normal) filter (where back <= 2) as last_two, count(*) filter (where not normal) as odd from n group by all"))
 def last_two_normal(spark, sf_dir):
     w = W.partitionBy("performance", "document").orderBy(F.desc("point"))
-    d = Tables(spark, sf_dir).splits.withColumns({"normal": F.col("lap_s") > 10, "back": F.row_number().over(w)})
+    d = Tables(spark, sf_dir).passings.withColumns({"normal": F.col("lap_s") > 10, "back": F.row_number().over(w)})
     return d.groupBy("performance", "document").agg(F.bool_and(F.when(F.col("back") <= 2, F.col("normal"))).alias("last_two"), F.count_if(~F.col("normal")).alias("odd"))
 
 
-@query("first_pages", oracle("select race, document, min(point) as page, count(*) as n from splits join (select performance, race from runs) r using (performance) group by all"))
+@query("first_pages", oracle("select race, document, min(point) as page, count(*) as n from passings join (select performance, race from runs) r using (performance) group by all"))
 def first_pages(spark, sf_dir):
     """The first page of a document that a race was read from."""
     t = Tables(spark, sf_dir)
-    return t.splits.join(t.runs.select("performance", "race"), "performance").groupBy("race", "document").agg(F.min("point").alias("page"), F.count("*").alias("n"))
+    return t.passings.join(t.runs.select("performance", "race"), "performance").groupBy("race", "document").agg(F.min("point").alias("page"), F.count("*").alias("n"))
 
 
 @query("mark_meanings", "select mark, n, case mark when 'A' then 'area record' when 'R' then 'retired' end as meaning from (select l_returnflag as mark, count(*) as n from lineitem group by all)")

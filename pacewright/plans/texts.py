@@ -86,15 +86,10 @@ def weekday_in_range(spark, sf_dir):
     return o.select("o_orderkey", F.date_format(tm.weekday_in(first, F.date_add(first, 6), F.lit(1)), "yyyy-MM-dd").alias("sunday"))
 
 
-_WORDS = "'lemon', 'lime'"
-
-
-@query("similar_brands")
-def similar_brands(spark, sf_dir):
-    """Pairs of part types whose names are alike, met within their first word so that the comparison stays small."""
-    p = Tables(spark, sf_dir).read("part").select("p_type").distinct().withColumn("block", F.substring_index("p_type", " ", 1))
-    pairs = p.join(p.toDF("other", "block"), "block").where("p_type < other")
-    return pairs.where(tx.alike(F.col("p_type"), F.col("other"))).select("p_type", "other")
+@query("similar_names")
+def similar_names(spark, sf_dir):
+    """Pairs of different part names that are alike: of so many shared characters that they share a rare one of theirs."""
+    return tx.alike_pairs(Tables(spark, sf_dir).read("part").select(F.col("p_name").alias("name")))
 
 
 @query("first_match_class", "select p_partkey, case when regexp_matches(p_type, 'STEEL|BRASS') then 'metal' when p_size > 40 then 'large' when regexp_matches(p_brand, '[13]$') then 'odd' end as series from part")

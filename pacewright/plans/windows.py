@@ -14,17 +14,17 @@ def _series():
     return W.partitionBy("performance", "document").orderBy("distance_m", "point")
 
 
-@query("segments", oracle(f"select * from (select performance, document, point, distance_m - lag(distance_m, 1, 0) over ({_SERIES}) as segment_m, time_s - lag(time_s, 1, 0.0) over ({_SERIES}) as segment_s from splits) where segment_s > 0"))
+@query("segments", oracle(f"select * from (select performance, document, point, distance_m - lag(distance_m, 1, 0) over ({_SERIES}) as segment_m, time_s - lag(time_s, 1, 0.0) over ({_SERIES}) as segment_s from passings) where segment_s > 0"))
 def segments(spark, sf_dir):
-    d = views.with_segments(Tables(spark, sf_dir).splits)
+    d = views.with_segments(Tables(spark, sf_dir).passings)
     return d.where("segment_s > 0").select("performance", "document", "point", "segment_m", "segment_s")
 
 
-@query("previous_clean", oracle(f"select performance, document, point, last_value(case when not suspect then point end ignore nulls) over ({_SERIES} rows between unbounded preceding and 1 preceding) as clean_before from splits"))
+@query("previous_clean", oracle(f"select performance, document, point, last_value(case when not suspect then point end ignore nulls) over ({_SERIES} rows between unbounded preceding and 1 preceding) as clean_before from passings"))
 def previous_clean(spark, sf_dir):
     """The last clean point before each; null for the gun."""
     clean = F.last(F.when(~F.col("suspect"), F.col("point")), ignorenulls=True).over(_series().rowsBetween(W.unboundedPreceding, -1))
-    return Tables(spark, sf_dir).splits.select("performance", "document", "point", clean.alias("clean_before"))
+    return Tables(spark, sf_dir).passings.select("performance", "document", "point", clean.alias("clean_before"))
 
 
 @query("rank_by_time", oracle("select performance, race, event, cast(rank() over (partition by race, event order by time_s) as bigint) as place, count(*) over (partition by race, event order by time_s range between unbounded preceding and current row) as level from runs where time_s is not null"))
@@ -34,12 +34,12 @@ def rank_by_time(spark, sf_dir):
     return r.select("performance", "race", "event", F.rank().over(w).cast("long").alias("place"), F.count("*").over(w.rangeBetween(W.unboundedPreceding, W.currentRow)).alias("level"))
 
 
-@query("gap_to_fastest", oracle("select performance, race, s.distance_m, s.time_s - min(case when not suspect then s.time_s end) over (partition by race, s.distance_m) as gap from splits s join runs using (performance)"))
+@query("gap_to_fastest", oracle("select performance, race, s.distance_m, s.time_s - min(case when not suspect then s.time_s end) over (partition by race, s.distance_m) as gap from passings s join runs using (performance)"))
 def gap_to_fastest(spark, sf_dir):
     """Seconds behind the fastest clean time at each point of a race."""
     t = Tables(spark, sf_dir)
     fastest = F.min(F.when(~F.col("suspect"), F.col("time_s"))).over(W.partitionBy("race", "distance_m"))
-    d = t.splits.join(t.runs.select("performance", "race"), "performance")
+    d = t.passings.join(t.runs.select("performance", "race"), "performance")
     return d.select("performance", "race", "distance_m", (F.col("time_s") - fastest).alias("gap"))
 
 
@@ -57,33 +57,33 @@ def athlete_numbers(spark, sf_dir):
     return within.join(F.broadcast(before), "year").select("athlete", (500 + F.col("before") + F.col("i")).alias("number")).unionByName(old)
 
 
-@query("primary_series", oracle("select performance, document, n from (select performance, document, count(*) as n, row_number() over (partition by performance order by count(*) desc, document) as k from splits group by performance, document) where k = 1"))
+@query("primary_series", oracle("select performance, document, n from (select performance, document, count(*) as n, row_number() over (partition by performance order by count(*) desc, document) as k from passings group by performance, document) where k = 1"))
 def primary_series(spark, sf_dir):
-    """The document with most splits of each performance."""
-    n = Tables(spark, sf_dir).splits.groupBy("performance", "document").agg(F.count("*").alias("n"))
+    """The document with most passings of each performance."""
+    n = Tables(spark, sf_dir).passings.groupBy("performance", "document").agg(F.count("*").alias("n"))
     best = n.groupBy("performance").agg(F.max_by(F.struct("document", "n"), F.struct("n", F.negative(F.ascii("document")))).alias("b"))
     return best.select("performance", "b.document", "b.n")
 
 
-@query("time_lost", oracle(f"select performance, document, max(abs(run)) as peak, arg_max(point, struct_pack(a := abs(run), b := -point)) as point from (select performance, document, point, sum(lap_s - 25) over ({_SERIES} rows unbounded preceding) as run from splits) group by all"))
+@query("time_lost", oracle(f"select performance, document, max(abs(run)) as peak, arg_max(point, struct_pack(a := abs(run), b := -point)) as point from (select performance, document, point, sum(lap_s - 25) over ({_SERIES} rows unbounded preceding) as run from passings) group by all"))
 def time_lost(spark, sf_dir):
     """Running sum of differences from an even pace, and where it is largest."""
     run = F.sum(F.col("lap_s") - 25).over(_series().rowsBetween(W.unboundedPreceding, W.currentRow))
-    d = Tables(spark, sf_dir).splits.withColumn("run", run)
+    d = Tables(spark, sf_dir).passings.withColumn("run", run)
     return d.groupBy("performance", "document").agg(F.max(F.abs("run")).alias("peak"), F.max_by("point", F.struct(F.abs("run"), -F.col("point"))).alias("point"))
 
 
-@query("every_second_point", oracle("select performance, document, point from (select performance, document, point, count(*) over (partition by performance, document) as n from splits) where (n - point) % 2 = 0"))
+@query("every_second_point", oracle("select performance, document, point from (select performance, document, point, count(*) over (partition by performance, document) as n from passings) where (n - point) % 2 = 0"))
 def every_second_point(spark, sf_dir):
     """Every second point, always the last."""
     n = F.count("*").over(W.partitionBy("performance", "document"))
-    return Tables(spark, sf_dir).splits.withColumn("n", n).where("(n - point) % 2 = 0").select("performance", "document", "point")
+    return Tables(spark, sf_dir).passings.withColumn("n", n).where("(n - point) % 2 = 0").select("performance", "document", "point")
 
 
-@query("stretch_times", oracle("select a.performance, a.document, b.time_s - a.time_s as stretch_s from splits a join splits b using (performance, document) where a.distance_m = 100 and b.distance_m = 300"))
+@query("stretch_times", oracle("select a.performance, a.document, b.time_s - a.time_s as stretch_s from passings a join passings b using (performance, document) where a.distance_m = 100 and b.distance_m = 300"))
 def stretch_times(spark, sf_dir):
     """Time between two points of a run, in one pass instead of a self join."""
-    s = Tables(spark, sf_dir).splits.where("distance_m in (100, 300)").groupBy("performance", "document")
+    s = Tables(spark, sf_dir).passings.where("distance_m in (100, 300)").groupBy("performance", "document")
     s = s.agg(F.max(F.when(F.col("distance_m") == 100, F.col("time_s"))).alias("a"), F.max(F.when(F.col("distance_m") == 300, F.col("time_s"))).alias("b"))
     return s.where("a is not null and b is not null").select("performance", "document", (F.col("b") - F.col("a")).alias("stretch_s"))
 

@@ -21,11 +21,11 @@ lines as (
   select l_orderkey as performance, l_linestatus as document, l_quantity as lap_s, l_discount > 0.09 as suspect, l_returnflag as mark,
     cast(row_number() over (partition by l_orderkey, l_linestatus order by {", ".join(_LINE_ORDER)}) as bigint) as point
   from lineitem),
-splits as (
+passings as (
   select performance, document, point, 100 * point as distance_m, suspect, mark, lap_s,
     sum(lap_s) over (partition by performance, document order by point rows between unbounded preceding and current row) as time_s
   from lines),
-finishes as (select performance, max(time_s) as time_s, max(distance_m) as distance_m from splits group by performance),
+finishes as (select performance, max(time_s) as time_s, max(distance_m) as distance_m from passings group by performance),
 runs as (
   select o_orderkey as performance, strftime(o_orderdate, '%Y-%m-%d') as race, o_orderpriority as event, c_mktsegment as setting, o_custkey as athlete,
     n_name as country, r_name as series, case when o_orderstatus = 'P' then 'dnf' else 'finished' end as status,
@@ -49,7 +49,7 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
-    def splits(self) -> DataFrame:
+    def passings(self) -> DataFrame:
         series = W.partitionBy("performance", "document")
         lines = self.read("lineitem").withColumns({"performance": F.col("l_orderkey"), "document": F.col("l_linestatus")})
         lines = lines.withColumn("point", F.row_number().over(series.orderBy(*_LINE_ORDER)).cast("long"))
@@ -59,9 +59,32 @@ class Tables:
             F.col("l_returnflag").alias("mark"), F.col("l_quantity").alias("lap_s"), running.alias("time_s"),
         )
 
+    @cached_property
+    def stretches(self) -> DataFrame:
+        """Printed times of the stretches between neighbouring points, some of them misprinted."""
+        printed = F.col("lap_s") + F.when(F.col("suspect") & (F.col("mark") == "A"), 1.0).otherwise(0.0)
+        return self.passings.select("performance", "document", (F.col("distance_m") - 100).alias("start_m"), F.col("distance_m").alias("end_m"), printed.alias("time_s"))
+
+    @cached_property
+    def placed_points(self) -> DataFrame:
+        """Printed positions at each point of a race's document, some of them two too low."""
+        point = W.partitionBy("race", "document", "distance_m").orderBy("time_s", "performance")
+        d = self.passings.join(self.runs.select("performance", F.concat_ws("/", "race", "event").alias("race")), "performance")
+        rank = F.row_number().over(point) + F.when(F.col("suspect") & (F.col("mark") == "R"), 2).otherwise(0)
+        return d.select("race", "document", "point", "distance_m", "performance", "time_s", rank.cast("long").alias("rank"))
+
+    @cached_property
+    def births(self) -> DataFrame:
+        """The birth year that each performance's document prints."""
+        o = self.read("orders")
+        year = F.lit(1960) + (F.col("o_custkey") % 40).cast("int") + F.when(F.col("o_totalprice") > 450000, 1).otherwise(0)
+        return o.select(F.col("o_orderkey").alias("performance"), F.col("o_custkey").alias("athlete"), year.cast("string").alias("printed"))
+
     @cached_property
     def runs(self) -> DataFrame:
-        finishes = self.splits.groupBy("performance").agg(F.max("time_s").alias("t"), F.max("distance_m").alias("distance_m"))
+        # a series ends at the sum of its laps, so its finish needs no window
+        series = self.read("lineitem").groupBy(F.col("l_orderkey").alias("performance"), "l_linestatus").agg(F.sum("l_quantity").alias("t"), (100 * F.count("*")).alias("distance_m"))
+        finishes = series.groupBy("performance").agg(F.max("t").alias("t"), F.max("distance_m").alias("distance_m"))
         orders = self.read("orders")
         people = self.read("customer").join(F.broadcast(self.read("nation")), F.col("c_nationkey") == F.col("n_nationkey")).join(F.broadcast(self.read("region")), F.col("n_regionkey") == F.col("r_regionkey"))
         runs = orders.join(people, F.col("o_custkey") == F.col("c_custkey")).join(finishes, F.col("o_orderkey") == F.col("performance"), "left").drop("performance")

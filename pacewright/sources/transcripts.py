@@ -1,7 +1,7 @@
 """Transcribed readings: one value a line, with the place it was read from.
 
-``<path> = <value> [← p<page> (<x0>,<top>,<x1>,<bottom>) '<text>' [<method>]]``; entries, splits and
-segments are indexed paths. Lines become rows with columns only; no Python touches them.
+``<path> = <value> [← p<page> (<x0>,<top>,<x1>,<bottom>) '<text>' [<method>]]``; entries, their
+points and segments are indexed paths (their names are the input's format). Lines become rows with columns only; no Python touches them.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def entries(values: DataFrame) -> DataFrame:
     )
 
 
-def splits(values: DataFrame) -> DataFrame:
+def passings(values: DataFrame) -> DataFrame:
     """document, entry, point, kind, distance_m, time_s: one row per split."""
     own = values.select("document", F.regexp_extract("path", r"^entries\[(\d+):[^\]]*\]\.splits\[([^\]]*)\]\.(\w+)$", 1).alias("entry"), F.regexp_extract("path", r"\.splits\[([^\]]*)\]", 1).alias("point"), F.regexp_extract("path", r"\.(\w+)$", 1).alias("field"), "value", "path").where("entry <> '' and point <> ''")
     get = lambda f: F.max(F.when(F.col("field") == f, F.col("value")))

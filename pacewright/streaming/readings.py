@@ -25,11 +25,11 @@ def hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(F.floor(F.unix_timestamp("w.start") / 3600).cast("long").alias("hour"), "event_type", "n")
 
 
-def check_readings(splits: DataFrame, runs: DataFrame, folder: str, checkpoint: str):
-    """Run the checks on every batch of new splits and append their findings; ``splits`` is a stream."""
+def check_readings(passings: DataFrame, runs: DataFrame, folder: str, checkpoint: str):
+    """Run the checks on every batch of new passings and append their findings; ``passings`` is a stream."""
 
     def found(batch: DataFrame, epoch: int) -> None:
         inputs = flags.Inputs(batch, views.results(runs))
         flags.run_checks(inputs, ["split-order", "segment-speed"]).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(folder)
 
-    return splits.writeStream.foreachBatch(found).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return passings.writeStream.foreachBatch(found).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
