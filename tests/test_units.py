@@ -7,9 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pacewright.functions import printed
 from pacewright.functions import text as tx
 from pacewright.functions import times as tm
-from pacewright.operators import assembly, flags, motion, publish
+from pacewright.operators import assembly, flags, identity, motion, publish, ranks
 from pacewright.sources import catalog, layout, transcripts
 
 
@@ -136,3 +137,89 @@ def test_publishing(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/parquet/t").count() == 1
     assert "\\N" in "".join(r.value for r in spark.read.text(f"{tmp_path}/csv/t").collect())
     assert "| id | bigint | key |" in publish.schema_markdown({"t": df})
+
+
+def test_alike_pairs_are_all_pairs(spark):
+    rng = np.random.default_rng(3)
+    names = ["".join(rng.choice(list("abcd"), rng.integers(2, 9))) for _ in range(120)] + ["hudson smith", "hudsen smith", "hudson-smith", "hudsonsmith", "smithson hud", "anna", "annas", "anne"]
+    got = {(r.name, r.other) for r in tx.alike_pairs(spark.createDataFrame([(n,) for n in names], "name string")).collect()}
+    from difflib import SequenceMatcher
+
+    kept = sorted({n for n in names if len(n) >= 4})
+    want = {(a, b) for a in kept for b in kept if a < b and SequenceMatcher(None, a, b, autojunk=False).ratio() >= 0.85}
+    assert got == want and want
+
+
+def test_quantiles_of_large_groups(spark):
+    rng = np.random.default_rng(5)
+    values = np.round(rng.normal(size=60_000), 3)
+    frame = spark.createDataFrame([("a", float(v)) for v in values] + [("b", 1.0), ("b", 4.0), ("b", None), ("c", None)], "g string, v double")
+    wanted = {"low": 0.0, "q1": 0.25, "mid": 0.5, "q9": 0.9, "high": 1.0}
+    got = {r.g: r for r in ranks.quantiles(frame, ["g"], "v", wanted).collect()}
+    assert set(got) == {"a", "b"} and got["a"].n == 60_000 and got["b"].n == 2
+    for name, q in wanted.items():
+        assert np.isclose(got["a"][name], np.quantile(values, q)) and np.isclose(got["b"][name], np.quantile([1.0, 4.0], q))
+
+
+PERFORMANCES = "performance long, race string, event string, athlete long, status string, time_s double, distance_m long"
+
+
+def test_finish_may_be_cut_or_rounded(spark):
+    runs = spark.createDataFrame([(1, "r", "e", 1, "finished", 247.64, 200), (2, "r", "e", 2, "dq", None, 200), (3, "r", "e", 3, "dns", None, 200), (4, "r", "e", 4, "finished", 50.0, 200)], PERFORMANCES)
+    points = spark.createDataFrame([(1, "a", 1, 100, 100.0, 1), (1, "a", 2, 200, 247.6, 1), (2, "a", 1, 200, 60.0, 2), (3, "a", 1, 200, 60.0, 2), (4, "a", 1, 200, 50.1, 1)], "performance long, document string, point long, distance_m long, time_s double, scale int")
+    found = flags.run_checks(flags.Inputs(points, runs), ["finish-matches-result"]).collect()
+    assert sorted(r.performance for r in found) == [3, 4]
+
+
+def test_a_changed_passing_is_found_by_each_check(spark):
+    runs = spark.createDataFrame([(1, "r", "e", 1, "finished", 45.0, 400)], PERFORMANCES)
+    for changed, check in ((20.5, "segment-matches-passings"), (32.5, "split-order"), (45.0, "split-before-finish")):
+        times = [11.0, changed, 32.0, 45.0]
+        points = spark.createDataFrame([(1, "a", i + 1, 100 * (i + 1), t) for i, t in enumerate(times)], "performance long, document string, point long, distance_m long, time_s double")
+        if check == "split-before-finish":
+            points = points.where("point <> 3")
+        printed = spark.createDataFrame([(1, "a", 100, 200, 10.5)], "performance long, document string, start_m long, end_m long, time_s double")
+        assert flags.run_checks(flags.Inputs(points, runs, printed), [check]).count() > 0, check
+
+
+def test_rank_order_keeps_the_most(spark):
+    import itertools
+
+    rng = np.random.default_rng(9)
+    fields = [list(rng.integers(1, 6, size=rng.integers(1, 7))) for _ in range(30)]
+    rows = [(f"r{f}", "a", 1, 100, 10 * f + i, float(i), int(k)) for f, field in enumerate(fields) for i, k in enumerate(field)]
+    points = spark.createDataFrame(rows, "race string, document string, point long, distance_m long, performance long, time_s double, rank long")
+    found = flags.CHECKS["rank-order"].run(flags.Inputs(None, None, placed_points=points)).collect()
+    for f, field in enumerate(fields):
+        most = max(len(c) for n in range(1, len(field) + 1) for c in itertools.combinations(field, n) if list(c) == sorted(c))
+        assert sum(10 * f <= r.performance < 10 * f + 10 for r in found) == len(field) - most
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [("1:01.80 (2) 12.5", [("1:01.80", 2), ("12.5", None)]), ("12.5 NO VALUE (3) 13.0 (=1)", [("12.5", None), ("13.0", 1)]), ("9.9 DNF (12)", [("9.9", None)]), ("Heat 1 7 0.0", []), ("1:01.80 (2) PB", []), ("", []), (None, [])],
+)
+def test_lines_of_times(spark, text, want):
+    assert [tuple(x) for x in one(spark, printed.timed_words(F.lit(text).cast("string")))] == want
+
+
+def test_printed_values(spark):
+    assert str(one(spark, printed.with_thousandths(F.lit("21.00 (.995)")))) == "20.995" and one(spark, printed.with_thousandths(F.lit("21.00 (.895)"))) is None
+    assert one(spark, printed.position(F.lit("(=12)"))) == 12 and one(spark, printed.position(F.lit("0"))) is None
+    assert one(spark, printed.born(F.lit(1), F.lit(2023))) == 2001 and one(spark, printed.born(F.lit(15), F.lit(2023))) == 1915
+    assert str(one(spark, printed.dated(F.lit("FRI 9 AUG 2024")))) == "2024-08-09" and str(one(spark, printed.dated(F.lit("2nd March, 2019 - Doha")))) == "2019-03-02"
+    assert one(spark, printed.dated(F.lit("31 Febber 2020"))) is None and one(spark, printed.minutes_of_day(F.lit("24:00"))) is None
+    assert one(spark, printed.shown_family(F.lit("McDONALD-O'BRIEN de VRIES"))) is not None
+
+
+def test_registry_links_in_two_stages(spark):
+    rows = spark.createDataFrame(
+        [(1, "w", "GBR", ["hodgkinson", "keely"], "finished", 116.9, 1, 2002), (2, "w", "GBR", ["bell"], "dnf", None, 2, None), (3, "w", "GBR", ["reekie", "jemma"], "finished", 120.0, 2, 1998), (4, "w", None, ["reekie"], "dnf", None, 2, None)],
+        "row long, sex string, country string, words array<string>, status string, time_s double, scale int, birth_year int",
+    )
+    listed = spark.createDataFrame(
+        [(11, "w", "GBR", ["hodgkinsen", "k"], "finished", 116.96, 2002), (12, "w", "GBR", ["bell", "georgia"], "dnf", None, None), (13, "w", "GBR", ["reekie", "jemma"], "finished", 118.0, 1998), (14, "w", "GBR", ["reekie", "jemma"], "finished", 119.0, 1990)],
+        "athlete long, sex string, country string, words array<string>, status string, time_s double, birth_year int",
+    )
+    got = {(r["row"], r.athlete, r.method) for r in identity.registry_links(rows, listed).collect()}
+    assert got == {(1, 11, "time"), (2, 12, "status"), (3, 13, "name")}
