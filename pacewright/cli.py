@@ -30,7 +30,7 @@ def main(arguments: list[str] | None = None) -> None:
     if given.command == "trace":
         views.trace(tables.passings, tables.runs, given.prefix).orderBy("record").show(1000, truncate=False)
     elif given.command == "schema":
-        print(publish.schema_markdown(_published(tables)))
+        print(publish.columns_document(_published(tables)))
     elif given.command == "checks":
         _published(tables)["flags"].write.mode("overwrite").parquet(given.out)
     else:

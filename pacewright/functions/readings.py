@@ -1,35 +1,16 @@
 """Common parts of document readers: tokens of a split line, tails of a row, laps, wind, grids of labels."""
 
-import re
 from statistics import median
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TOKENS = T.ArrayType(T.StructType([T.StructField("time", T.StringType()), T.StructField("rank", T.IntegerType())]))
-_TIME = re.compile(r"^(?:(?:\d+:)?\d{1,2}:)?\d{1,3}\.\d{1,3}$")
-#: What stands where a value is missing, and the signs of records and qualification.
-NOTHING = ("NO", "VALUE", "DNF", "DNS", "DQ")
+#: The signs of records and qualification.
 RECORDS = ("WR", "OR", "CR", "NR", "AR", "PB", "SB", "WL", "MR", "DLR")
 QUALIFIED = ("Q", "q", "qR", "qJ")
 
 
-@F.udf(_TOKENS)
-def time_tokens(line):
-    """Times of a split line, each with the bracketed or bare rank after it; other words and lone ranks are passed over."""
-    found: list[list] = []
-    for word in (line or "").split():
-        bare = word.strip("()[]")
-        if _TIME.match(bare):
-            found.append([bare, None])
-        elif found and found[-1][1] is None and bare.isdigit() and len(bare) <= 2:
-            found[-1][1] = int(bare)
-        elif word in NOTHING:
-            continue
-    return [tuple(x) for x in found]
-
-
 def tail(words: Column) -> tuple[Column, Column, Column]:
     """Records, the qualification and remarks among the words after a result; an equalled record keeps its sign."""
     is_record = lambda w: F.regexp_replace(w, "^=|=$", "").isin(*RECORDS)

@@ -9,7 +9,7 @@ _CLOCK = r"^(?:(?:(\d+):)?([0-5]?\d):([0-5]?\d(?:\.\d{1,3})?)|(\d+(?:\.\d{1,3})?
 DECIMAL = "decimal(9,3)"
 
 
-def seconds(text: Column) -> Column:
+def elapsed(text: Column) -> Column:
     """h:m:s, m:s or s as decimal seconds; null for anything else."""
     part = lambda i: F.coalesce(F.nullif(F.regexp_extract(text, _CLOCK, i), F.lit("")), F.lit("0"))
     value = part(1).cast("int") * 3600 + part(2).cast("int") * 60 + part(3).cast(DECIMAL) + part(4).cast(DECIMAL)
@@ -23,28 +23,15 @@ def precision(text: Column) -> Column:
 
 def target(text: Column) -> Column:
     """A typed target time; null if it isn't one or isn't positive."""
-    value = seconds(F.trim(text))
+    value = elapsed(F.trim(text))
     return F.when(value > 0, value)
 
 
-def result(text: Column) -> tuple[Column, Column]:
+def outcome(text: Column) -> tuple[Column, Column]:
     """Status and time of a printed result."""
     up = F.upper(F.trim(text))
-    status = F.when(up.isin("DNF", "DNS"), F.lower(up)).when(up.isin("DQ", "DSQ"), "dq").when(seconds(text).isNotNull(), "finished")
-    return status, F.when(status == "finished", seconds(text))
-
-
-def day_month_year(text: Column) -> Column:
-    """A date with its month in words, whole or cut to three letters."""
-    parts = F.regexp_replace(F.trim(text), r"^(\d{1,2})\s+([A-Za-z]{3})[A-Za-z]*\.?\s+(\d{4})$", "$1 $2 $3")
-    return F.to_date(F.try_to_timestamp(F.initcap(parts), F.lit("d MMM yyyy")))
-
-
-def birth_year(two_digits: Column, year: Column) -> Column:
-    """The century of a two-digit birth year at which the athlete is 10 to 110 years old; null if none or both."""
-    early, late = two_digits + 1900, two_digits + 2000
-    fits = lambda y: (year - y).between(10, 110)
-    return F.when(fits(early) & ~fits(late), early).when(fits(late) & ~fits(early), late)
+    status = F.when(up.isin("DNF", "DNS"), F.lower(up)).when(up.isin("DQ", "DSQ"), "dq").when(elapsed(text).isNotNull(), "finished")
+    return status, F.when(status == "finished", elapsed(text))
 
 
 def refines(finer: Column, coarser: Column) -> Column:

@@ -41,10 +41,10 @@ def create_database(spark: SparkSession, name: str, tables: dict[str, DataFrame]
         spark.sql(f"create or replace view {name}.{view} as {sql}")
 
 
-def schema_markdown(tables: dict[str, DataFrame]) -> str:
-    """The columns of every table with types and comments."""
-    lines = ["# Tables"]
+def columns_document(tables: dict[str, DataFrame]) -> str:
+    """What each table holds: its columns, their types and what they mean."""
+    lines = ["# What is published"]
     for name, df in tables.items():
-        lines += ["", f"## {name}", "", "| column | type | comment |", "| --- | --- | --- |"]
-        lines += [f"| {f.name} | {f.dataType.simpleString()} | {f.metadata.get('comment', '')} |" for f in df.schema.fields]
+        lines += ["", f"## {name}", "", "| name | meaning | stored as |", "| --- | --- | --- |"]
+        lines += [f"| {f.name} | {f.metadata.get('comment', '')} | {f.dataType.simpleString()} |" for f in df.schema.fields]
     return "\n".join(lines) + "\n"

@@ -56,14 +56,29 @@ def _inputs(t: Tables) -> flags.Inputs:
     )
 
 
+def _misprinted(t: Tables) -> flags.Inputs:
+    """The tables with misprints that the checks of order are there to find: times too late or too early, places two too low."""
+    off = F.when(F.col("suspect") & (F.col("mark") == "A"), 60.0).when(F.col("suspect") & (F.col("mark") == "N"), -40.0).otherwise(0.0)
+    place = F.col("place") + F.when(F.col("athlete") % 10 == 0, 2).otherwise(0)
+    return flags.Inputs(t.passings.withColumn("time_s", F.col("time_s") + off), views.results(t.runs).withColumn("place", place))
+
+
+_MISPRINTS = {
+    "split-order": ("from passings", "from (select * replace (time_s + case when suspect and mark = 'A' then 60 when suspect and mark = 'N' then -40 else 0 end as time_s) from passings) p"),
+    "split-before-finish": ("from passings", "from (select * replace (time_s + case when suspect and mark = 'A' then 60 when suspect and mark = 'N' then -40 else 0 end as time_s) from passings) p"),
+    "place-order": ("end as place from runs", "+ case when athlete % 10 = 0 then 2 else 0 end end as place from runs"),
+}
+
+
 def _register(check_id: str) -> None:
     own = flags.CHECKS[check_id]
-    body = oracle(SQL[check_id])
+    body = oracle(SQL[check_id].replace(*_MISPRINTS[check_id]) if check_id in _MISPRINTS else SQL[check_id])
     sql = f"select '{check_id}' as check_id, '{own.severity}' as severity, {str(own.suspect).lower()} as suspect, * from ({body})"
 
     @query(f"check_{check_id.replace('-', '_')}", sql)
     def run(spark, sf_dir):
-        return own.run(_inputs(Tables(spark, sf_dir)))
+        t = Tables(spark, sf_dir)
+        return own.run(_misprinted(t) if check_id in _MISPRINTS else _inputs(t))
 
 
 for _id in SQL:

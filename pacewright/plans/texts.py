@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from pacewright.functions import printed as pr
 from pacewright.functions import text as tx
 from pacewright.functions import times as tm
 from pacewright.plans.registry import query
@@ -57,7 +58,7 @@ def clock_times(spark, sf_dir):
     e = Tables(spark, sf_dir).read("events")
     n, k = F.col("event_id"), F.col("event_id") % 5
     printed = F.when(k == 0, F.concat(n, F.lit(".5"))).when(k == 1, F.concat(F.lit("1:0"), n % 10, F.lit(".25"))).when(k == 2, "DNF").when(k == 3, F.concat(F.lit("2:15:"), 10 + n % 50)).otherwise(F.concat(F.lit("x"), n))
-    status, time_s = tm.result(printed)
+    status, time_s = tm.outcome(printed)
     return e.select("event_id", status.alias("status"), time_s.cast("double").alias("time_s"))
 
 
@@ -72,10 +73,10 @@ def race_keys(spark, sf_dir):
     return o.select("o_orderkey", part(1).alias("discipline"), part(2).alias("sex"), part(3).alias("round"), F.nullif(part(4), F.lit("")).alias("heat"))
 
 
-@query("birth_years", "select c_custkey, case when (y - (c_custkey % 100 + 1900)) between 10 and 110 and not (y - (c_custkey % 100 + 2000)) between 10 and 110 then c_custkey % 100 + 1900 when (y - (c_custkey % 100 + 2000)) between 10 and 110 and not (y - (c_custkey % 100 + 1900)) between 10 and 110 then c_custkey % 100 + 2000 end as born from (select c_custkey, 1990 + c_nationkey as y from customer)")
+@query("birth_years", "select c_custkey, case when y - here between 10 and 110 then here when y - here + 100 between 10 and 110 then here - 100 end as born from (select c_custkey, 1990 + c_nationkey as y, (1990 + c_nationkey) // 100 * 100 + c_custkey % 100 as here from customer)")
 def birth_years(spark, sf_dir):
     c = Tables(spark, sf_dir).read("customer")
-    return c.select("c_custkey", tm.birth_year(F.col("c_custkey") % 100, 1990 + F.col("c_nationkey")).alias("born"))
+    return c.select("c_custkey", pr.born(F.col("c_custkey") % 100, 1990 + F.col("c_nationkey")).alias("born"))
 
 
 @query("weekday_in_range", "select o_orderkey, strftime(cast(o_orderdate as date) + cast((7 - isodow(o_orderdate)) as int), '%Y-%m-%d') as sunday from orders")

@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from pacewright.functions import readings as rd
@@ -8,11 +7,6 @@ def one(spark, column):
     return spark.range(1).select(column.alias("x")).first().x
 
 
-@pytest.mark.parametrize(("line", "want"), [("11.52 (3) 22.91 2 NO VALUE 33.0", [("11.52", 3), ("22.91", 2), ("33.0", None)]), ("4 1:02.3", [("1:02.3", None)]), ("", []), (None, [])])
-def test_time_tokens(spark, line, want):
-    assert [tuple(x) for x in one(spark, rd.time_tokens(F.lit(line).cast("string")))] == want
-
-
 def test_tail(spark):
     records, qualified, remarks = rd.tail(F.array(*map(F.lit, ("=NR", "Q", "PB", "disqualified"))))
     assert (one(spark, records), one(spark, qualified), one(spark, remarks)) == (["=NR", "PB"], "Q", ["disqualified"])

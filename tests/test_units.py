@@ -23,7 +23,7 @@ def one(spark, column):
     [("44.2", "44.200", 1), ("44.20", "44.200", 2), ("1:47.50", "107.500", 2), ("2:15:03", "8103.000", None), ("9", "9.000", None), ("1:75", None, None), ("x", None, None)],
 )
 def test_seconds_keep_their_precision(spark, printed, value, scale):
-    got = one(spark, tm.seconds(F.lit(printed)))
+    got = one(spark, tm.elapsed(F.lit(printed)))
     assert (None if got is None else str(got)) == value
     if value and "." in printed:
         assert one(spark, tm.precision(F.lit(printed))) == scale
@@ -31,16 +31,14 @@ def test_seconds_keep_their_precision(spark, printed, value, scale):
 
 @pytest.mark.parametrize(("printed", "status"), [("DNF", "dnf"), ("dsq", "dq"), ("12.5", "finished"), ("?", None)])
 def test_results(spark, printed, status):
-    assert one(spark, tm.result(F.lit(printed))[0]) == status
+    assert one(spark, tm.outcome(F.lit(printed))[0]) == status
 
 
 def test_dates(spark):
-    assert one(spark, tm.day_month_year(F.lit("6 JUN 2022"))) == datetime.date(2022, 6, 6)
-    assert one(spark, tm.day_month_year(F.lit("06 September 2009"))) == datetime.date(2009, 9, 6)
-    assert one(spark, tm.day_month_year(F.lit("soon"))) is None
-    assert one(spark, tm.birth_year(F.lit(94), F.lit(2022))) == 1994
-    sunday = tm.weekday_in(F.lit("2024-05-01").cast("date"), F.lit("2024-05-07").cast("date"), F.lit(1))
-    assert one(spark, sunday) == datetime.date(2024, 5, 5)
+    assert one(spark, printed.dated(F.lit("6 JUN 2022"))) == datetime.date(2022, 6, 6)
+    assert one(spark, printed.dated(F.lit("06 September 2009"))) == datetime.date(2009, 9, 6)
+    assert one(spark, printed.dated(F.lit("soon"))) is None
+    assert one(spark, printed.born(F.lit(94), F.lit(2022))) == 1994
 
 
 def test_partial_dates_refine(spark):
@@ -136,7 +134,7 @@ def test_publishing(spark, tmp_path):
     publish.write_tables({"t": df}, str(tmp_path))
     assert spark.read.parquet(f"{tmp_path}/parquet/t").count() == 1
     assert "\\N" in "".join(r.value for r in spark.read.text(f"{tmp_path}/csv/t").collect())
-    assert "| id | bigint | key |" in publish.schema_markdown({"t": df})
+    assert "| id | key | bigint |" in publish.columns_document({"t": df})
 
 
 def test_alike_pairs_are_all_pairs(spark):
