@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pacewright.llm import decontamination, html_text, language_model, licenses, pieces, quality, toxicity, url_filter, warc
+from pacewright.llm import decontamination, html_text, language_model, licenses, pieces, quality, tokens, toxicity, url_filter, warc
 from pacewright.llm.queries import TOKENIZER, URL_RULES, oracle_sql, queries
 from tests.parity import engine, same
 
@@ -45,6 +45,46 @@ def test_quality_rejects_what_its_group_isn_t(spark):
     assert all(kept[i] for i in range(200)) and not any(kept[1000 + i] for i in range(10))
 
 
+def test_quality_agrees_with_many_random_starts(spark):
+    """The verdicts are those of the best of 40 randomly started minimum-covariance estimates in numpy."""
+    rng = random.Random(15)
+    word = lambda: "".join(rng.choice("abcdefghKLM") for _ in range(rng.randint(2, 9)))
+    texts = [" ".join(word() for _ in range(rng.randint(60, 120))) for _ in range(300)]
+    texts += [" ".join(word() + "&%$#" for _ in range(80)) for _ in range(25)] + [" ".join(word().upper() for _ in range(80)) for _ in range(25)]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: r for r in quality.quality(docs).collect()}
+    assert not any(r.base_failed for r in got.values())
+    x = np.array([[float(v) for v in r] for r in quality.statistics(docs).orderBy("doc_id").selectExpr(*(f"floor({quality.UNIT} * {f} + 0.5)" for f, _ in quality.FEATURES.values())).collect()])
+    assert x.shape == (350, len(quality.FEATURES))
+    floors = np.diag([(quality.UNIT * least) ** 2 for _, least in quality.FEATURES.values()])
+    h, draw, best = int(np.ceil(quality.SUBSET * len(x))), np.random.default_rng(1), None
+    for _ in range(40):
+        own = draw.choice(len(x), 8, replace=False)
+        for _ in range(15):
+            mean, cov = x[own].mean(0), quality.CONSISTENCY * np.cov(x[own].T, bias=True) + floors
+            d2 = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+            own = np.argsort(d2, kind="stable")[:h]
+        if best is None or np.linalg.det(cov) < best[0]:
+            best = (np.linalg.det(cov), d2)
+    assert {i for i, r in got.items() if not r.kept} == set(np.flatnonzero(best[1] > quality.CUTOFF))
+    assert not any(got[i].kept for i in range(300, 325)) and all(got[i].kept for i in range(300))
+
+
+def test_words_are_hashed_alike_in_pieces(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(["a", "Bc", " ", "\n", "é", "x" * 40]) for _ in range(200)) for _ in range(5)] + ["", None, "y" * 300]
+    whole = [c.hashes().tolist() for c in tokens.chunks(pa.array(texts), tokens.SPACE)]
+    monkeypatch.setattr(tokens, "PIECE", 7)
+    tokens._powers.cache_clear()
+    assert [c.hashes().tolist() for c in tokens.chunks(pa.array(texts), tokens.SPACE)] == whole
+    monkeypatch.undo()
+    tokens._powers.cache_clear()
+    words = [w for t in texts for w in re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))]
+    assert whole[0] == [tokens.word_hash(w) for w in words]
+
+
 # decontamination
 
 
