@@ -38,18 +38,23 @@ def _contamination() -> str:
         f"select {key}, pos, {m} as m, concat_ws(chr(1), " + ", ".join(f"w[pos + {j + 1}]" for j, bit in enumerate(mask) if bit == "1") + f") as s from {source}, lateral (select unnest(range(0, len(w) - {len(mask)} + 1)) as pos) z"
         for m, mask in enumerate(leaks.MASKS)
     )
-    reach, least, coverage = leaks.REACH, leaks.LEAST_EQUAL, leaks.COVERAGE
+    reach, least, coverage, long = leaks.REACH, leaks.LEAST_EQUAL, leaks.COVERAGE, leaks.LONG_OVERLAP
     words = _WORDS.format("lower(text)")
+    shortest = min(map(len, leaks.MASKS))
     return f"""
 with d as (select distinct doc_id, {words} as w from documents), b as (select distinct item_id, {words} as w from benchmark),
-hit as (select distinct doc_id, item_id, x.pos - y.pos as start, y.pos as item_at from ({seeds("d", "doc_id")}) x join ({seeds("b", "item_id")}) y using (m, s)),
+short as (select item_id, len(w) as n, array_to_string(w, chr(1)) as s from b where len(w) between 1 and {shortest - 1}),
+whole as (select doc_id, pos, n, array_to_string(w[pos + 1:pos + n], chr(1)) as s from d, (select distinct n from short) l, lateral (select unnest(range(0, len(w) - n + 1)) as pos) z),
+hit as (select distinct doc_id, item_id, x.pos - y.pos as start, y.pos as item_at from ({seeds("d", "doc_id")}) x join ({seeds("b", "item_id")}) y using (m, s)
+  union select doc_id, item_id, pos, 0 from whole join short using (n, s)),
 place as (select distinct doc_id, item_id, start, unnest(range(0, len(b.w))) as j from hit join b using (item_id)),
 same as (select doc_id, item_id, start, j from place join d using (doc_id) join b using (item_id) where start + j >= 0 and d.w[start + j + 1] = b.w[j + 1]),
 near as (select hit.doc_id, hit.item_id, hit.start, item_at, count(*) as c from hit join same using (doc_id, item_id, start) where abs(j - item_at) <= {reach} group by all),
 good as (select distinct doc_id, item_id, start from near join b using (item_id) where c >= least({least}, len(w) - len(w) // 4)),
-found as (select doc_id, item_id, count(distinct j) as n_matched, min(start) as first_word from same semi join good using (doc_id, item_id, start) group by all)
+found as (select doc_id, item_id, count(distinct j) as n_matched, min(start) as first_word from same semi join good using (doc_id, item_id, start) group by all),
+longest as (select doc_id, item_id, max(c) as c from near semi join good using (doc_id, item_id, start) group by all)
 select doc_id, item_id, cast(len(w) as bigint) as n_item_words, n_matched, n_matched / cast(len(w) as double) as coverage, first_word
-from found join b using (item_id) where n_matched / cast(len(w) as double) >= {coverage}"""
+from found join longest using (doc_id, item_id) join b using (item_id) where n_matched / cast(len(w) as double) >= {coverage} or c >= {long}"""
 
 
 def _quality() -> str:
