@@ -92,10 +92,32 @@ def _quality() -> str:
     return f"with {chain}\nselect * exclude (distance) from far"
 
 
+MIDDLE_FILL = r"""
+with t as (
+  select doc_id, coalesce(text, '') as text, sha256('42:' || coalesce(cast(doc_id as varchar), '')) as h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u
+  from documents),
+d as (
+  select *, len(u) as n, cast('0x' || h[1:8] as bigint) as h1, cast('0x' || h[9:16] as bigint) as h2, cast('0x' || h[17:24] as bigint) as h3, cast('0x' || h[25:32] as bigint) as h4,
+    text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') as held
+  from t),
+c as (
+  select doc_id, text, n, case when held or h3 % 100 >= 50 then 'plain' when h4 % 100 < 80 then 'spm' else 'psm' end as form,
+    array_to_string(u[1:least(h1 % (n + 1), h2 % (n + 1))], '') as p,
+    array_to_string(u[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '') as m,
+    array_to_string(u[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') as s
+  from d)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then cast(length(p) as bigint) end as prefix_chars, case when form <> 'plain' then cast(length(m) as bigint) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(text) as restored_sha256
+from c"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quality_rules": _quality(),
         "op3_near_duplicates": NEAR_DUPLICATES,
         "op6_warc": WARC,
         "op8_decontamination": _contamination(),
+        "op13_middle_fill": MIDDLE_FILL,
     }
