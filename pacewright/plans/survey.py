@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from pacewright.operators import calendar
 from pacewright.plans.registry import query
 from pacewright.sources.tables import Tables, oracle
 from pacewright.streaming import readings
@@ -60,3 +61,45 @@ def windowed_events(spark, sf_dir):
 @query("round_labels", oracle("select performance, count(*) over (partition by race, event) > 1 as labelled from runs"))
 def round_labels(spark, sf_dir):
     return Tables(spark, sf_dir).runs.select("performance", (F.count("*").over(W.partitionBy("race", "event")) > 1).alias("labelled"))
+
+
+_CALENDAR = """with part_city as (select p_partkey, min(p_type) as city from part group by p_partkey),
+held as (select o_orderkey as id, o_custkey as country, cast(o_orderdate as date) as first, cast(o_orderdate as date) + cast(o_orderkey % 4 as int) as last, lower(substr(city, 1, 5)) as city from orders left join part_city on p_partkey = o_custkey),
+entries as (select l_orderkey * 100000 + l_partkey as entry, l_suppkey as country, cast(min(l_shipdate) as date) as first, cast(min(l_shipdate) as date) + cast(min(l_linenumber) as int) as last, cast(min(l_quantity) as int) % 9 as rank, lower(min(city)) as city
+  from lineitem left join part_city on p_partkey = l_partkey group by l_orderkey, l_partkey, l_suppkey),
+met as (select id, entry, rank, abs(e.first - h.first) as gap, h.city as a, e.city as b from held h join entries e on h.country = e.country and e.first - 1 <= h.last and h.first <= e.last + 1)"""
+
+
+def _calendar(spark, sf_dir):
+    """Orders as editions and line items as entries of a calendar; the customer's number is the country, a part's type the city."""
+    t = Tables(spark, sf_dir)
+    cities = t.read("part").groupBy("p_partkey").agg(F.min("p_type").alias("city"))
+    held = t.read("orders").join(cities, F.col("p_partkey") == F.col("o_custkey"), "left")
+    first = F.to_date("o_orderdate")
+    held = held.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("country"), first.alias("first"), F.date_add(first, (F.col("o_orderkey") % 4).cast("int")).alias("last"), F.lower(F.substr("city", F.lit(1), F.lit(5))).alias("city"))
+    items = t.read("lineitem").join(cities, F.col("p_partkey") == F.col("l_partkey"), "left").groupBy("l_orderkey", "l_partkey", F.col("l_suppkey").alias("country"))
+    shipped = F.to_date(F.min("l_shipdate"))
+    entries = items.agg(shipped.alias("first"), F.date_add(shipped, F.min("l_linenumber").cast("int")).alias("last"), (F.min("l_quantity").cast("int") % 9).alias("rank"), F.lower(F.min("city")).alias("city"))
+    return held, entries.withColumn("entry", F.col("l_orderkey") * 100000 + F.col("l_partkey")).drop("l_orderkey", "l_partkey")
+
+
+@query(
+    "calendar_best",
+    _CALENDAR
+    + """, ranked as (select id, entry, row_number() over (partition by id order by rank, gap, entry) as k, count(*) over (partition by id, rank, gap) as ties from met)
+select held.id, entry, coalesce(ties, 0)::bigint as ties from held left join (select * from ranked where k = 1) using (id)""",
+)
+def calendar_best(spark, sf_dir):
+    """The calendar's entry of each edition: overlapping days, the best class, the nearest beginning."""
+    return calendar.best_entry(*_calendar(spark, sf_dir))
+
+
+@query(
+    "calendar_only",
+    _CALENDAR
+    + """, near as (select id, min(entry) as entry, count(*) as n from met where coalesce(a, '') = '' or (b <> '' and (starts_with(a, b) or starts_with(b, a))) group by id)
+select held.id, case when n = 1 then entry end as entry, coalesce(n, 0)::bigint as candidates from held left join near using (id)""",
+)
+def calendar_only(spark, sf_dir):
+    """The one entry of an edition's city on its days, if there is just one. The cities here are equal or differ by far, so likeness decides none."""
+    return calendar.only_entry(*_calendar(spark, sf_dir))

@@ -38,8 +38,9 @@ def entries(values: DataFrame) -> DataFrame:
 
 
 def passings(values: DataFrame) -> DataFrame:
-    """document, entry, point, kind, distance_m, time_s: one row per split."""
-    own = values.select("document", F.regexp_extract("path", r"^entries\[(\d+):[^\]]*\]\.splits\[([^\]]*)\]\.(\w+)$", 1).alias("entry"), F.regexp_extract("path", r"\.splits\[([^\]]*)\]", 1).alias("point"), F.regexp_extract("path", r"\.(\w+)$", 1).alias("field"), "value", "path").where("entry <> '' and point <> ''")
+    """document, entry, point, kind, distance_m, time_s: one row per indexed value of an entry that is timed at a point."""
+    part = lambda i: F.regexp_extract("path", r"^entries\[(\d+):[^\]]*\]\.\w+\[([^\]]*)\]\.(\w+)$", i)
+    own = values.select("document", part(1).alias("entry"), part(2).alias("point"), part(3).alias("field"), "value").where("entry <> ''")
     get = lambda f: F.max(F.when(F.col("field") == f, F.col("value")))
-    rows = own.groupBy("document", F.col("entry").cast("int").alias("entry"), "point").agg(get("point").alias("label"), get("time").alias("time"))
+    rows = own.groupBy("document", F.col("entry").cast("int").alias("entry"), "point").agg(get("point").alias("label"), get("time").alias("time")).where("label is not null")
     return rows.select("document", "entry", "point", F.regexp_extract("label", r"\((\w+) at", 1).alias("kind"), F.nullif(F.regexp_extract("label", r"at ([\d.]+) m", 1), F.lit("")).cast("decimal(9,3)").alias("distance_m"), F.expr("try_cast(regexp_extract(time, '([0-9.]+)', 1) as decimal(9,3))").alias("time_s"))
