@@ -12,6 +12,7 @@ such spaces, and units are aligned once for all their occurrences that a task re
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,11 +23,12 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pacewright.llm.prefix_counts import WHITE, _bytes_of_letters
+from pacewright.llm.prefix_counts import STABLE, WHITE, Merges, _bytes_of_letters
 from pacewright.llm.scratch import Scratch
 from pacewright.llm.tokens import mix
 
@@ -41,6 +43,8 @@ ROOM = 2
 #: A space and all up to the next space that stands behind something else than white space.
 _UNIT = re.compile(f" (?:[^ ]+|(?<=[{WHITE}]) )*")
 _META = "▁"
+#: How byte-level vocabularies cut a text into words before they merge.
+_CUT = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -86,10 +90,26 @@ class PerfectHash:
         return found
 
 
+def in_merge_order(spec: str) -> bool:
+    """Whether ids stand for the order of merges, and each token's bytes merge into it.
+
+    Then merging the two neighbours that make the least id is the same as following the list of merges: before the
+    merge that makes a token the listed two stand for its bytes wherever any two tokens do.
+    """
+    parsed = json.loads(spec)
+    model = parsed["model"]
+    merges = Merges(model)
+    made = [i for _, i in sorted((rank, i) for i, (rank, _, _) in merges.parts.items())]
+    special = {t["content"] for t in parsed["added_tokens"]}
+    plain = parsed["pre_tokenizer"].get("type") == "ByteLevel" and not parsed["pre_tokenizer"]["add_prefix_space"] and not parsed["normalizer"]
+    return plain and made == sorted(made) and len(model["merges"]) == len(made) and len(merges.ids) == len(model["vocab"].keys() - special)
+
+
 class Vocabularies:
-    """Both encoders, and the bytes of their tokens."""
+    """Both encoders, and the bytes of their tokens. ``ranked``: the first one's ids are in the order of merges, so that a
+    quicker library may merge; characters on which versions of Unicode differ stay with its own."""
 
-    def __init__(self, spec: str, model: bytes):
+    def __init__(self, spec: str, model: bytes, ranked: bool = False):
         self.a = Tokenizer.from_str(spec)
         self.a.encode_special_tokens = True
         self.a.no_truncation()
@@ -99,6 +119,9 @@ class Vocabularies:
         bytes_a: list[bytes] = [b""] * (1 + max(self.a.get_vocab().values()))
         for piece, i in vocabulary.items():
             bytes_a[i] = bytes(letters[c] for c in piece) if all(c in letters for c in piece) else b""
+        self.quick = None
+        if ranked:
+            self.quick = tiktoken.Encoding("ranked", pat_str=_CUT, mergeable_ranks={b: i for i, b in enumerate(bytes_a) if b}, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
         size = self.b.vocab_size()
         pieces = [self.b.id_to_piece(i) for i in range(size)]
@@ -110,8 +133,12 @@ class Vocabularies:
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Both vocabularies' ids of a string that begins with a space; None if either's bytes aren't the string's."""
-        a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        b = self.b.encode(text[1:], num_threads=1)
+        if self.quick and max(text) < STABLE:
+            a = self.quick.encode_ordinary(text)
+        else:
+            a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        # The empty text has no space put before it, so a lone space is read behind a letter.
+        b = self.b.encode(text[1:], num_threads=1) if len(text) > 1 else self.b.encode("a ", num_threads=1)[len(self.b.encode("a")) :]
         data = text.encode()
         same = b"".join(map(self.bytes_a.__getitem__, a)) == data == b"".join(map(self.bytes_b.__getitem__, b))
         return (np.array(a, np.int64), np.array(b, np.int64)) if same else None
@@ -124,9 +151,9 @@ class Vocabularies:
 
 
 @lru_cache(2)
-def _vocabularies(spec: str, model: bytes) -> Vocabularies:
+def _vocabularies(spec: str, model: bytes, ranked: bool = False) -> Vocabularies:
     """Made once in each worker, which keeps it between tasks."""
-    return Vocabularies(spec, model)
+    return Vocabularies(spec, model, ranked)
 
 
 class Units:
@@ -149,9 +176,9 @@ class Units:
         return len(self.number) > REMEMBERED or self.chars > REMEMBERED_CHARS
 
     def learn(self, units: list[str]) -> None:
-        """Align units that aren't known yet. Those that end without white space are encoded many at once."""
+        """Align units that aren't known yet. Those that end without white space are encoded many at once, those with other characters by themselves."""
         strings, held, size = [], [], 0
-        for unit in units:
+        for unit in sorted(units, key=lambda u: max(u) >= STABLE):
             self.number[unit] = len(self.number)
             self.chars += len(unit)
             held.append(unit)
@@ -236,11 +263,11 @@ class Alignment:
     best: np.ndarray
 
 
-def _seen(texts: DataFrame, spec: str, model: bytes) -> DataFrame:
+def _seen(texts: DataFrame, spec: str, model: bytes, ranked: bool) -> DataFrame:
     """node, pairs, counts: one row per task that saw a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(_vocabularies(spec, model), False)
+        units = Units(_vocabularies(spec, model, ranked), False)
         pairs = counts = np.zeros(0, np.int64)
         times, node = np.zeros(0, np.int64), None
 
@@ -300,8 +327,8 @@ def _tree_sum(seen: DataFrame, pairs: PerfectHash) -> np.ndarray:
             return np.frombuffer(row.vector, np.int64) if row else np.zeros(0, np.int64)
 
 
-def _learned(docs: DataFrame, spec: str, model: bytes) -> Alignment:
-    seen = Scratch(docs.sparkSession).save(_seen(docs, spec, model))
+def _learned(docs: DataFrame, spec: str, model: bytes, ranked: bool) -> Alignment:
+    seen = Scratch(docs.sparkSession).save(_seen(docs, spec, model, ranked))
     most = _vocabularies(spec, model).most_pairs()
     # Bounded by the vocabularies, not by the corpus.
     found = seen.select(F.explode("pairs").alias("pair")).distinct().limit(most + 1).toPandas().pair.to_numpy(np.int64)
@@ -317,7 +344,8 @@ def _learned(docs: DataFrame, spec: str, model: bytes) -> Alignment:
 
 def pair_counts(docs: DataFrame, tokenizer: str, model: str) -> DataFrame:
     """a, b, n, best: the links of every pair of ids over all texts, and whether they are the most that b has with any a."""
-    learned = _learned(docs, Path(tokenizer).read_text(encoding="utf-8"), Path(model).read_bytes())
+    spec = Path(tokenizer).read_text(encoding="utf-8")
+    learned = _learned(docs, spec, Path(model).read_bytes(), in_merge_order(spec))
     keys = learned.pairs.keys
     table = pa.table({"a": keys >> 32, "b": keys & 0xFFFFFFFF, "n": learned.counts, "best": learned.best})
     return docs.sparkSession.createDataFrame(table)
@@ -335,11 +363,12 @@ def align(docs: DataFrame, tokenizer: str, model: str) -> DataFrame:
     pairs with their counts, whose number the vocabularies bound (some hundred thousand).
     """
     spec, data = Path(tokenizer).read_text(encoding="utf-8"), Path(model).read_bytes()
-    sent = docs.sparkSession.sparkContext.broadcast(_learned(docs, spec, data))
+    ranked = in_merge_order(spec)
+    sent = docs.sparkSession.sparkContext.broadcast(_learned(docs, spec, data, ranked))
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, learned = Units(_vocabularies(spec, data), True), sent.value
+        units, learned = Units(_vocabularies(spec, data, ranked), True), sent.value
         counts, best = np.append(learned.counts, 0), np.append(learned.best, False).astype(np.int64)  # the last entry is that of no pair
         sums = np.zeros((0, 7), np.int64)
         for part, own in _slices(batches, 1):

@@ -136,6 +136,11 @@ def test_alignment_is_the_definition_s(spark):
     assert all(r.best == (r.n == most[r.b]) for r in found)
 
 
+def by_one(text):
+    ((row, _),) = by_definition([(0, text)])[0].items()
+    return row[7]
+
+
 def test_alignment_forgets_units_and_starts_anew(spark):
     """Small memories and slices change nothing; there is no link outside the vocabularies' bound."""
     model, spec = open(MODEL, "rb").read(), open(JSON, encoding="utf-8").read()
@@ -148,9 +153,29 @@ def test_alignment_forgets_units_and_starts_anew(spark):
         again.append(";".join(units.groups[i] for i in own))
         units.clear()
     assert first == again
+    rng = random.Random(1)
+    for _ in range(20):
+        some = [*rng.sample(rows, 10), "x▁y", "ends in a space ", "z "]
+        rng.shuffle(some)
+        units.clear()
+        assert [";".join(units.groups[i] for i in own) for own in units.of_texts(some)] == [by_one(t) for t in some]
     assert len(by_definition(list(enumerate(rows)))[1]) <= units.vocabularies.most_pairs() < 10**6
 
 
+def test_the_quicker_library_gives_the_same_ids(library):
+    spec, model = open(JSON, encoding="utf-8").read(), open(MODEL, "rb").read()
+    assert alignment.in_merge_order(spec)
+    quick, own = alignment.Vocabularies(spec, model, True), alignment.Vocabularies(spec, model, False)
+    chars = [chr(c) for c in range(ord(alignment.STABLE))]
+    for c in chars:
+        s = f" a{c}1{c}{c}a!{c}!  {c}'s {c} {c}{c}a"
+        assert list(quick.quick.encode_ordinary(s)) == own.a.encode(s, add_special_tokens=False).ids, repr(s)
+    rng = random.Random(6)
+    for text in [*texts(200, 3), *("".join(rng.choice("abcde'stre \n") for _ in range(300)) for _ in range(200))]:
+        found, want = quick.encode(f" {text}"), own.encode(f" {text}")
+        assert (found is None) == (want is None) and (found is None or all((x == y).all() for x, y in zip(found, want, strict=True)))
+
+
 def test_alignment_of_nothing(spark):
     assert alignment.align(spark.createDataFrame([], DOCS), JSON, MODEL).count() == 0
     assert [tuple(r) for r in alignment.align(spark.createDataFrame([(1, None)], DOCS), JSON, MODEL).collect()] == [(1, 0, 0, 0, 0, 0, 0, "")]
