@@ -19,7 +19,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import accumulate, chain, islice
 from math import inf
 from operator import sub
 from pathlib import Path
@@ -37,6 +37,10 @@ from pacewright.llm.pieces import _Memory
 BLOCK = 1 << 16
 #: Remembered units and words of a worker, in two generations of so many each; longer ones than KEPT_CHARS aren't remembered.
 REMEMBERED, KEPT_CHARS = 200_000, 40
+#: Remembered prefixes of words (about 120 bytes each), and a number above all ids, to number pairs.
+NODES, _IDS = 800_000, 1 << 20
+#: First bytes of a word whose way through the tree is remembered.
+HEADS, _ROOT = (9, 5), [0]
 #: Characters up to which a text's units are listed at once; of a longer one so many units are summed up at once.
 LISTED_CHARS, UNITS_AT_ONCE = 1 << 20, 100_000
 #: Unicode's white space, as the pattern of the vocabulary's word cutter has it.
@@ -74,7 +78,10 @@ class Merges:
         self.parts = parts
         self._right, self._left = {}, {}
         self.neighbours = _Memory(self._fit, 400_000)
+        self._forget()
         self._drop_unreachable()
+        if any(bytes([b]) not in self.ids for b in range(256)):
+            raise ValueError("a byte without a token")
         #: Ends of tokens: a run of bytes that is none of them ends no token.
         self.tails = {t[i:] for t in self.ids for i in range(len(t))}
 
@@ -106,8 +113,8 @@ class Merges:
             else:
                 j += 1
 
-    def _fit(self, pair: tuple[int, int]) -> bool:
-        return self._crossing(*pair) is None
+    def _fit(self, pair: int) -> bool:
+        return self._crossing(*divmod(pair, _IDS)) is None
 
     def _drop_unreachable(self) -> None:
         """Leave out tokens whose own bytes the merges make into something else."""
@@ -118,8 +125,8 @@ class Merges:
 
     def counts(self, data: bytes) -> array:
         """Tokens of data[:n] for n from 0 to the whole."""
-        id_of, tails, fits = self.ids.get, self.tails, self.neighbours
         counts, last = array("i", [0]), array("i", [-1])
+        id_of, tails, fits = self.ids.get, self.tails, self.neighbours
         for end in range(1, len(data) + 1):
             start = end
             while True:
@@ -127,14 +134,46 @@ class Merges:
                 token = data[start:end]
                 found = id_of(token)
                 if found is not None:
-                    if not start or fits[last[start], found]:
+                    if not start or fits[last[start] * _IDS + found]:
                         break
                 elif token not in tails:
-                    raise ValueError(f"no token of the vocabulary ends at byte {end}")
+                    raise ValueError("no token fits behind the one before it")
             counts.append(counts[start] + 1)
             last.append(found)
         return counts
 
+    def counts_of_word(self, data: bytes) -> list[int]:
+        """The same for a word, whose prefixes other words may share: each is worked out once, until NODES are known."""
+        if len(self.count_at) > NODES:
+            self._forget()
+        after, counts, last, id_of, fits = self.after, self.count_at, self.last_at, self.ids.get, self.neighbours
+        path = self.heads.get(data[:HEADS[0]]) or self.heads.get(data[:HEADS[1]], _ROOT)
+        known, path, end = len(path), path[:], len(path)
+        node = path[-1]
+        for byte in data[known - 1 :]:
+            step = node << 8 | byte
+            node = after.get(step)
+            if node is None:
+                start = end - 1
+                found = id_of(data[start:end])
+                while found is None or start and not fits[last[path[start]] * _IDS + found]:
+                    start -= 1
+                    found = id_of(data[start:end])
+                node = after[step] = len(counts)
+                counts.append(counts[path[start]] + 1)
+                last.append(found)
+            path.append(node)
+            end += 1
+        for n in HEADS:
+            if known <= n < end:
+                self.heads[data[:n]] = path[: n + 1]
+        return [counts[n] for n in path]
+
+    def _forget(self) -> None:
+        """Prefixes of words as a tree: what follows a node by a byte, each node's count and last token, and the nodes along a word's first bytes."""
+        self.heads: dict[bytes, list[int]] = {}
+        self.after, self.count_at, self.last_at = {}, array("i", [0]), array("i", [-1])
+
 
 class PrefixCounter:
     """Counts at the prefixes of whole texts, as the library counts them by default: special strings are one token each."""
@@ -151,25 +190,32 @@ class PrefixCounter:
         self.cut = Tokenizer.from_str(spec).pre_tokenizer.pre_tokenize_str
         special = sorted((t["content"] for t in parsed["added_tokens"]), key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self.words = _Memory(self._word, REMEMBERED)
+        self.words = _Memory(self._steps, REMEMBERED)
         self.units = _Memory(self._differences, REMEMBERED)
 
-    def _word(self, word: str) -> array:
+    def _word(self, word: str) -> list[int] | array:
         """Counts at the prefixes of one word, from one character to all."""
         data = word.encode()
-        at_byte = self.merges.counts(data)
-        counts = at_byte[1:] if len(data) == len(word) else array("i", (at_byte[n] for n in range(1, len(data) + 1) if n == len(data) or data[n] & 0xC0 != 0x80))
+        counts = self.merges.counts_of_word(data) if len(word) <= KEPT_CHARS else self.merges.counts(data)
+        if len(data) != len(word):
+            counts = [counts[n] for n in range(len(data) + 1) if n in (0, len(data)) or data[n] & 0xC0 != 0x80]
+        counts = counts[1:]
         if word in _CONTRACTIONS:
             counts[1] = counts[0] + self._word(word[1])[0]
         return counts
 
+    def _steps(self, word: str) -> bytes:
+        """What each character of a word adds to the count."""
+        counts = self._word(word)
+        return array("i", map(sub, counts, chain((0,), counts))).tobytes()
+
     def _counts_of(self, word: str) -> array:
-        return self.words[word] if len(word) <= KEPT_CHARS else self._word(word)
+        return array("i", accumulate(array("i", self.words[word]))) if len(word) <= KEPT_CHARS else array("i", self._word(word))
 
     def unit(self, unit: str) -> array:
         """Counts at the prefixes of white space and what follows it, from one character to all."""
         white = _LEADING.match(unit).end()
-        counts = array("i", self._counts_of(unit[:white])) if white else array("i")
+        counts = self._counts_of(unit[:white]) if white else array("i")
         if white == len(unit):
             return counts
         base = counts[white - 2] if white > 1 else 0
@@ -187,6 +233,11 @@ class PrefixCounter:
         return counts
 
     def _differences(self, unit: str) -> bytes:
+        if len(unit) <= KEPT_CHARS and max(unit) < STABLE:
+            white = _LEADING.match(unit).end()
+            if white < 2:  # nothing before the last white space that a word could take away
+                alone = white and unit[0] != " "
+                return b"".join(map(self.words.__getitem__, [unit[0], *_WORD.findall(unit[1:])] if alone else _WORD.findall(unit) or [unit]))
         counts = self.unit(unit)
         return array("i", map(sub, counts, chain((0,), counts))).tobytes()
 
