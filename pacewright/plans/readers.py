@@ -56,12 +56,12 @@ def _numbers(*names):
 
 @query(
     "tiered_passings",
-    f"""select doc, k * 100.0::double as metres, {_TIME} as time, nullif(l_quantity::int % 8, 0)::int as rank from {_ITEMS} where o_orderstatus <> 'P'
+    f"""select doc, k * 100.0::double as metres, {_TIME} as time, (l_quantity::int % 8)::int as rank from {_ITEMS} where o_orderstatus <> 'P'
   union all select distinct doc, (case when n = 1 then 1 else n + 1 end) * 100.0::double, ((n + 1) * 5 + 0.5)::double, 1 from {_ITEMS} where o_orderstatus = 'P'""",
 )
 def tiered_passings(spark, sf_dir):
-    """Cumulative times at the labels they are below, a finish printed alone among them."""
-    return _reading(spark, sf_dir).passings.select("doc", *_numbers("metres", "time"), "rank")
+    """Cumulative times at the labels they are below, a finish printed alone among them; an unknown rank is 0."""
+    return _reading(spark, sf_dir).passings.select("doc", *_numbers("metres", "time"), F.coalesce("rank", F.lit(0)).alias("rank"))
 
 
 @query("tiered_stretches", f"select doc, (k - 1) * 100.0::double as start_metres, k * 100.0::double as metres, {_TIME} as time from {_ITEMS} where o_orderstatus <> 'P'")

@@ -65,7 +65,7 @@ def round_labels(spark, sf_dir):
 
 _CALENDAR = """with part_city as (select p_partkey, min(p_type) as city from part group by p_partkey),
 held as (select o_orderkey as id, o_custkey as country, cast(o_orderdate as date) as first, cast(o_orderdate as date) + cast(o_orderkey % 4 as int) as last, lower(substr(city, 1, 5)) as city from orders left join part_city on p_partkey = o_custkey),
-entries as (select l_orderkey * 100000 + l_partkey as entry, l_suppkey as country, cast(min(l_shipdate) as date) as first, cast(min(l_shipdate) as date) + cast(min(l_linenumber) as int) as last, cast(min(l_quantity) as int) % 9 as rank, lower(min(city)) as city
+entries as (select l_orderkey || '-' || l_partkey as entry, l_suppkey as country, cast(min(l_shipdate) as date) as first, cast(min(l_shipdate) as date) + cast(min(l_linenumber) as int) as last, cast(min(l_quantity) as int) % 9 as rank, lower(min(city)) as city
   from lineitem left join part_city on p_partkey = l_partkey group by l_orderkey, l_partkey, l_suppkey),
 met as (select id, entry, rank, abs(e.first - h.first) as gap, h.city as a, e.city as b from held h join entries e on h.country = e.country and e.first - 1 <= h.last and h.first <= e.last + 1)"""
 
@@ -80,7 +80,7 @@ def _calendar(spark, sf_dir):
     items = t.read("lineitem").join(cities, F.col("p_partkey") == F.col("l_partkey"), "left").groupBy("l_orderkey", "l_partkey", F.col("l_suppkey").alias("country"))
     shipped = F.to_date(F.min("l_shipdate"))
     entries = items.agg(shipped.alias("first"), F.date_add(shipped, F.min("l_linenumber").cast("int")).alias("last"), (F.min("l_quantity").cast("int") % 9).alias("rank"), F.lower(F.min("city")).alias("city"))
-    return held, entries.withColumn("entry", F.col("l_orderkey") * 100000 + F.col("l_partkey")).drop("l_orderkey", "l_partkey")
+    return held, entries.withColumn("entry", F.concat_ws("-", "l_orderkey", "l_partkey")).drop("l_orderkey", "l_partkey")
 
 
 @query(
