@@ -4,7 +4,7 @@ A mask fixes some token positions and ignores others, so its hash survives a sub
 ignored position. Every position of every document is hashed under each mask and joined with the
 hashed benchmark items; each hit aligns document and item on a diagonal. Hits are gathered to diagonals,
 as bits of 64-bit words, before any token is looked at; then the tokens of documents with a hit are joined with
-the items', position by position. No row holds a text's tokens but where it is cut. An item is found in a document when the matched positions, over all verified
+the items', position by position. A text's tokens move together at most once, if it has a hit. An item is found in a document when the matched positions, over all verified
 diagonals, cover enough of it, or when the document quotes a long passage of it, however long the item
 is. Items shorter than a mask are met as whole sequences.
 """

@@ -43,7 +43,7 @@ def test_the_same_finds_when_nothing_is_sent_to_every_executor(spark, monkeypatc
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_no_exchange_carries_a_text_s_tokens(spark):
+def test_no_join_of_seeds_or_items_carries_a_text_s_tokens(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g h i j")], DOCS)
     items = spark.createDataFrame([(5, "a b c d e f g h i j")], ITEMS)
     table = decontamination._positions(docs.selectExpr("doc_id", "split(text, ' ') as tokens"), (), False, "doc_id")
