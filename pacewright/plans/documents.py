@@ -50,4 +50,4 @@ def fetch_outcomes(spark, sf_dir):
 @query("html_cells")
 def html_cells(spark, sf_dir):
     """Cells of all tables of the pages (these pages have none; tests have)."""
-    return layout.html_cells(Tables(spark, sf_dir).read("pages"))
+    return layout.html_cells(Tables(spark, sf_dir).read("pages")).drop("head")

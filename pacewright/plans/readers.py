@@ -1,10 +1,11 @@
-"""Readers of tiered grids over documents whose words are composed from the tables: an order is a race, a line item a timed point."""
+"""Readers over documents that are composed from the tables: an order is a race, a line item a timed point of a grid or an athlete of a page."""
 
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pacewright.functions import printed
 from pacewright.plans.registry import query
-from pacewright.sources import grids
+from pacewright.sources import grids, web_results
 from pacewright.sources.tables import Tables
 
 _ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
@@ -68,3 +69,61 @@ def tiered_passings(spark, sf_dir):
 def tiered_stretches(spark, sf_dir):
     """Times of the stretches that end at a label."""
     return _reading(spark, sf_dir).stretches.select("doc", *_numbers("start_metres", "metres", "time"))
+
+
+_COUNTRIES = sorted(printed.COUNTRIES)
+_CODES = ", ".join(f"({i}, '{printed.COUNTRIES[name]}')" for i, name in enumerate(_COUNTRIES))
+_PAGES = f"""(select l_orderkey::varchar as doc, (3 + row_number() over (partition by l_orderkey order by {", ".join(_ORDER)}))::int as "row", l_quantity::int as q, o_orderdate, case when n_regionkey > 0 then code end as code, n_name, l_returnflag = 'R' as stopped
+    from lineitem join orders on o_orderkey = l_orderkey join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey join (values {_CODES}) k(i, code) on i = n_nationkey)"""
+
+
+def _web_reading(spark, sf_dir) -> web_results.WebReading:
+    """An order is a page about 800 m: its customer's nation is the athletes' (one of the first region isn't printed as a country), a line item an athlete, one returned is one who stopped after 400 m."""
+    tables = Tables(spark, sf_dir)
+    number = F.row_number().over(W.partitionBy("l_orderkey").orderBy(*_ORDER))
+    items = tables.read("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), number.alias("k"), F.col("l_quantity").cast("int").alias("q"), (F.col("l_returnflag") == "R").alias("stopped"))
+    nations = tables.read("nation").select(F.col("n_nationkey").alias("c_nationkey"), F.when(F.col("n_regionkey") > 0, F.element_at(F.array(*map(F.lit, _COUNTRIES)), (F.col("n_nationkey") + 1).cast("int"))).otherwise(F.col("n_name")).alias("nation"))
+    orders = tables.read("orders").join(tables.read("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey").join(nations, "c_nationkey").select("o_orderkey", "nation", F.col("o_orderdate").cast("date").alias("day"))
+    doc = F.col("o_orderkey").cast("string").alias("doc")
+    cell = lambda row, at, text, head=False: F.struct(F.lit(row).cast("int").alias("row"), F.lit(at).alias("cell"), F.lit(head).alias("head"), text.alias("text"))
+    month = F.date_format("day", "MMMM d, yyyy")
+    heading = [cell(0, 0, F.concat(F.lit("Field | "), month)), cell(1, 0, F.concat(F.date_format("day", "EEEE"), F.lit(" 7:35 PM"))), cell(2, 0, F.lit("Results: Women 800 M Cup (Finals)"))]
+    heading += [cell(3, i, F.lit(name), True) for i, name in enumerate(("Pl", "Ln", "Athlete", "", "Affiliation", "Time", "400m", "800m"))]
+    lap, last = F.format_string("1:%05.2f", (F.col("q") * 7 / 100).cast("double")), F.format_string("2:%05.2f", (F.col("q") * 11 / 100).cast("double"))
+    second = F.format_string("1:%05.2f", (F.col("q") * 4 / 100).cast("double"))
+    texts = [F.when(F.col("stopped"), "DNF").otherwise(F.col("k").cast("string")), (F.col("q") % 9).cast("string"), F.format_string("Ann NAME%s", F.translate(F.col("k").cast("string"), "1234567890", "ABCDEFGHIK")), F.lit(""), F.col("nation"), F.when(F.col("stopped"), "-").otherwise(last)]
+    texts += [F.concat(lap, F.lit(" ["), lap, F.lit("]")), F.when(F.col("stopped"), "").otherwise(F.concat(last, F.lit(" ["), second, F.lit("]")))]
+    rows = items.join(orders, "o_orderkey").select(doc, F.explode(F.array(*(cell(F.col("k") + 3, i, t) for i, t in enumerate(texts)))).alias("c"))
+    cells = orders.join(items.select("o_orderkey").distinct(), "o_orderkey").select(doc, F.explode(F.array(*heading)).alias("c")).unionByName(rows).select("doc", "c.*")
+    races = orders.select(doc, F.lit(800).cast("decimal(12,3)").alias("metres"), F.lit(400).cast("decimal(12,3)").alias("lap"))
+    return web_results.read_results(cells, races)
+
+
+@query(
+    "web_entries",
+    f"""select doc, "row", case when not stopped then "row" - 3 end as place, q % 9 as lane, 'NAME' || translate(("row" - 3)::varchar, '1234567890', 'ABCDEFGHIK') as family, code as country,
+    case when stopped then 'dnf' else 'finished' end as status, case when not stopped then round(120 + q * 11 / 100.0, 2)::double end as time, strftime(o_orderdate, '%Y-%m-%d') as day from {_PAGES} where code is not null""",
+)
+def web_entries(spark, sf_dir):
+    """Athletes of the pages that can be read, with the day of their page."""
+    found = _web_reading(spark, sf_dir)
+    days = found.headings.select("doc", F.date_format("day", "yyyy-MM-dd").alias("day"))
+    return found.entries.select("doc", "row", "place", "lane", "family", "country", "status", F.col("time").cast("double").alias("time")).join(days, "doc")
+
+
+@query(
+    "web_splits",
+    f"""select doc, "row", 0.0::double as start_metres, 400.0::double as metres, round(60 + q * 7 / 100.0, 2)::double as time, round(60 + q * 7 / 100.0, 2)::double as lap_time from {_PAGES} where code is not null
+  union all select doc, "row", 400.0::double, 800.0::double, round(120 + q * 11 / 100.0, 2)::double, round(60 + q * 4 / 100.0, 2)::double from {_PAGES} where code is not null and not stopped""",
+)
+def web_splits(spark, sf_dir):
+    """Splits of the pages that can be read, with the times of the laps that end there."""
+    found = _web_reading(spark, sf_dir)
+    laps = found.stretches.withColumnRenamed("time", "lap_time")
+    return found.passings.drop("finish").join(laps, ["doc", "row", "metres"]).select("doc", "row", *_numbers("start_metres", "metres", "time", "lap_time"))
+
+
+@query("web_errors", f"""select doc, "row", 'no such country: ' || n_name as error from {_PAGES} where code is null""")
+def web_errors(spark, sf_dir):
+    """What of the pages can't be read: countries that aren't known."""
+    return _web_reading(spark, sf_dir).errors

@@ -69,6 +69,7 @@ class _Cells(HTMLParser):
     def __init__(self):
         super().__init__()
         self.rows: list[list[str]] = []
+        self.heads: list[list[bool]] = []
         self.open = False
         self.hidden: list[str] = []
 
@@ -78,11 +79,14 @@ class _Cells(HTMLParser):
             self.hidden.append(tag)
         elif tag == "tr":
             self.rows.append([])
+            self.heads.append([])
             self.open = False
         elif tag in ("td", "th"):
             if not self.rows:
                 self.rows.append([])
+                self.heads.append([])
             self.rows[-1].append("")
+            self.heads[-1].append(tag == "th")
             self.open = True
 
     def handle_endtag(self, tag):
@@ -98,7 +102,7 @@ class _Cells(HTMLParser):
 
 
 def html_cells(pages: DataFrame) -> DataFrame:
-    """page_id, row, cell, text of every table cell of ``pages(page_id, html)``."""
+    """page_id, row, cell, text, head (a heading's cell) of every table cell of ``pages(page_id, html)``."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -106,7 +110,7 @@ def html_cells(pages: DataFrame) -> DataFrame:
             for page, html in zip(frame["page_id"], frame["html"], strict=True):
                 parser = _Cells()
                 parser.feed(html or "")
-                rows += [(page, i, j, " ".join(text.split())) for i, cells in enumerate(parser.rows) for j, text in enumerate(cells)]
-            yield pd.DataFrame(rows, columns=["page_id", "row", "cell", "text"])
+                rows += [(page, i, j, " ".join(text.split()), head) for i, (cells, heads) in enumerate(zip(parser.rows, parser.heads, strict=True)) for j, (text, head) in enumerate(zip(cells, heads, strict=True))]
+            yield pd.DataFrame(rows, columns=["page_id", "row", "cell", "text", "head"])
 
-    return pages.select("page_id", "html").mapInPandas(run, "page_id long, row int, cell int, text string")
+    return pages.select("page_id", "html").mapInPandas(run, "page_id long, row int, cell int, text string, head boolean")
