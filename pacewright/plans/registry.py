@@ -28,7 +28,7 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 #: Modules of this package that register queries.
-MODULES = ("views", "checks", "joins", "aggregates", "windows", "sets", "texts", "nested", "analysis", "assembly", "survey", "documents", "projections", "printed", "identity", "orders", "listings", "readers")
+MODULES = ("views", "checks", "joins", "aggregates", "windows", "sets", "texts", "nested", "analysis", "assembly", "survey", "documents", "projections", "printed", "identity", "orders", "listings", "readers", "notes")
 
 
 def _load() -> None:
