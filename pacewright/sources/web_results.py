@@ -2,8 +2,8 @@
 
 A page is the grid of its tables' cells. A row of headings that begins with ``Pl`` is that of a page with splits
 (cumulative times, the lap's time in brackets), one that begins with ``Place`` that of plain results; each value is
-told by the heading of its column. Everything is windows and joins by document; what can't be read is a row of
-``errors``, and a document with an error gives nothing else.
+told by the heading of its column. Cells are gathered to lines and lines meet their document's headings in windows,
+in one shuffle by document; what can't be read is a row of ``errors``, and a document with an error gives nothing else.
 """
 
 from __future__ import annotations
@@ -77,117 +77,129 @@ def _meeting_day(dates: Column, weekday: Column) -> Column:
     return times.weekday_in(first, F.date_add(first, more), F.array_position(F.array(*map(F.lit, _WEEKDAYS)), weekday))
 
 
-def _headings(marked: DataFrame) -> DataFrame:
-    """One row a document: what is above and below its table, and whether it has one."""
-    lines = marked.groupBy("doc", "row", "table_row").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("cell", "text"))), lambda c: c["text"]), " ").alias("line"), F.min_by(F.struct("text", "head"), "cell").alias("left"))
-    lines = lines.withColumn("n", F.row_number().over(W.partitionBy("doc").orderBy("row")))
-    first = lambda value, when: F.min_by(F.when(when, value), F.when(when, F.col("row")))
-    got = lines.groupBy("doc").agg(
-        F.first("table_row").alias("table_row"),
-        first(F.col("line"), F.col("line").rlike(_RACE)).alias("heading"),
-        first(F.col("line"), F.col("line").rlike(_DATES) & (F.col("n") <= TOP_LINES)).alias("dates"),
-        first(F.regexp_extract("left.text", _SCHEDULED, 1), ~F.col("left.head") & F.col("left.text").rlike(_SCHEDULED)).alias("weekday"),
-        first(F.regexp_extract("line", _STARTED, 1), F.col("line").rlike(_STARTED)).alias("started"),
-    )
-    race = F.regexp_extract("heading", _RACE, 1)
-    event = F.regexp_extract(race, _EVENT, 2)
-    return got.select(
-        "doc",
-        "table_row",
-        race.alias("race"),
-        F.when(F.regexp_extract(race, _EVENT, 1) == "Men", "men").when(F.regexp_extract(race, _EVENT, 1) == "Women", "women").alias("sex"),
-        F.when(event != "", printed.event_id(F.regexp_replace(event, r" M(eter)?(?= |$)", " m"))).alias("event"),
-        F.lit("final").alias("round"),
-        _meeting_day(F.col("dates"), F.col("weekday")).alias("day"),
-        "started",
+def _lines(cells: DataFrame) -> DataFrame:
+    """doc, row, cells(cell, text, head) of every line, with what its document prints above and below the table and the table's headings."""
+    by_doc = W.partitionBy("doc")
+    text = F.trim(F.regexp_replace("text", r"\s+", " "))
+    filled = cells.select("doc", "row", "cell", "head", text.alias("text")).where("text <> ''")
+    lines = filled.repartition("doc").groupBy("doc", "row").agg(F.sort_array(F.collect_list(F.struct("cell", "text", "head"))).alias("cells"))
+    line, left, any_head = F.array_join(F.transform("cells", lambda c: c["text"]), " "), F.get("cells", F.lit(0)), F.exists("cells", lambda c: c["head"])
+    lines = lines.withColumns({"line": line, "left": left, "any_head": any_head, "n": F.row_number().over(by_doc.orderBy("row"))})
+    lines = lines.withColumn("table_row", F.min(F.when(F.col("left.head") & F.col("left.text").isin("Pl", "Place"), F.col("row"))).over(by_doc))
+    first = lambda value, when: F.min_by(F.when(when, value), F.when(when, F.col("row"))).over(by_doc)
+    return lines.withColumns(
+        {
+            "stop": F.min(F.when(F.col("any_head") & (F.col("row") > F.col("table_row")), F.col("row"))).over(by_doc),
+            "header": first(F.col("cells"), F.col("row") == F.col("table_row")),
+            "race": F.regexp_extract(first(F.col("line"), F.col("line").rlike(_RACE)), _RACE, 1),
+            "dates": first(F.col("line"), F.col("line").rlike(_DATES) & (F.col("n") <= TOP_LINES)),
+            "weekday": first(F.regexp_extract("left.text", _SCHEDULED, 1), ~F.col("left.head") & F.col("left.text").rlike(_SCHEDULED)),
+            "started": first(F.regexp_extract("line", _STARTED, 1), F.col("line").rlike(_STARTED)),
+        }
     )
 
 
+def _texts(*errors: Column) -> Column:
+    return F.filter(F.array(*errors), lambda e: e.isNotNull())
+
+
 def read_results(cells: DataFrame, races: DataFrame) -> WebReading:
     """The readings of pages whose table cells are ``cells(doc, row, cell, head, text)``: rows and cells in the order of the page, ``head``
     for a heading's cell. ``races(doc, metres, lap)`` says what each document is about; a document without one is an error.
 
-    Empty cells are none. The rows of athletes end at the next row with a heading's cell. A birth date stands in the column after the
+    Empty cells are none, and a document without others isn't seen. The rows of athletes end at the next row with a heading's cell. A birth date stands in the column after the
     name, without a heading. An athlete who didn't finish has the status for a place. Countries are printed in full, and one that
     isn't known is an error, as is a split after a point that wasn't timed.
     """
-    by_doc, by_column = W.partitionBy("doc"), W.partitionBy("doc", "cell")
-    text = F.trim(F.regexp_replace("text", r"\s+", " "))
-    cells = cells.select("doc", "row", "cell", "head", text.alias("text")).where("text <> ''")
-    of_row = W.partitionBy("doc", "row")
-    marked = cells.withColumns({"left": F.min_by("text", "cell").over(of_row), "left_head": F.min_by("head", "cell").over(of_row), "any_head": F.bool_or("head").over(of_row)})
-    marked = marked.withColumn("table_row", F.min(F.when(F.col("left_head") & F.col("left").isin("Pl", "Place"), F.col("row"))).over(by_doc))
-    marked = marked.withColumn("stop", F.min(F.when(F.col("any_head") & (F.col("row") > F.col("table_row")), F.col("row"))).over(by_doc))
-    headings = _headings(marked).join(races, "doc", "left")
-
-    is_heading, body = F.col("row") == F.col("table_row"), (F.col("row") > F.col("table_row")) & (F.col("stop").isNull() | (F.col("row") < F.col("stop")))
-    place_of = lambda *names: F.max(F.when(is_heading & F.col("text").isin(*names), F.col("cell"))).over(by_doc)
-    table = marked.withColumns({"athlete": place_of("Athlete"), "affiliation": place_of("Affiliation"), "time_at": place_of("Time"), "ln": place_of("Ln"), "pl": place_of("Pl", "Place"), "with_splits": F.max(is_heading & (F.col("text") == "Pl")).over(by_doc)})
-    table = table.withColumn("label", F.max(F.when(is_heading, F.col("text"))).over(by_column)).where(is_heading | body)
-    columns = table.where(is_heading).groupBy("doc").agg(*(F.max(c).alias(c) for c in ("athlete", "affiliation", "time_at", "ln", "with_splits")))
-
-    # The points of the columns behind the times.
-    labels = table.where(is_heading & F.col("with_splits") & (F.col("cell") > F.col("time_at"))).select("doc", "cell", "label").join(headings.where("metres is not null").select("doc", "metres", "lap", "event"), "doc")
-    at, wrong = point_of(F.col("label"), F.col("metres"), F.col("lap"), F.coalesce("event", F.lit("")))
-    along = by_doc.orderBy("cell")
-    labels = labels.withColumns({"at": at, "wrong": wrong}).withColumns({"since": F.coalesce(F.lag("at").over(along), F.lit(0).cast(_DISTANCE)), "i": F.row_number().over(along) - 1, "last": F.lead("cell").over(along).isNull()})
-    labels = labels.withColumn("wrong", F.coalesce("wrong", F.when(F.col("last") & (F.col("at") != F.col("metres")), "the last split column isn't the finish"), F.when(F.col("at") <= F.col("since"), "points aren't in the order of the race")))
-
-    # Athletes, one row each.
-    value = lambda c: F.max(F.when(F.col("cell") == F.col(c), F.col("text")))
-    mark = F.when((F.col("cell") > F.col("time_at")) & F.col("label").isNull(), F.struct("cell", "text"))
-    rows = table.where(body).groupBy("doc", "row").agg(
-        value("pl").alias("place_text"), value("ln").alias("lane_text"), value("athlete").alias("name"), value("affiliation").alias("country_text"), value("time_at").alias("time_text"),
-        F.max(F.when(F.col("cell") == F.col("athlete") + 1, F.col("text"))).alias("born_text"), F.array_join(F.transform(F.sort_array(F.collect_list(mark)), lambda m: m["text"]), " ").alias("marks"), F.first("with_splits").alias("with_splits"),
+    by_doc = W.partitionBy("doc")
+    lines = _lines(cells).join(races, "doc", "left")
+    event, sex = F.regexp_extract("race", _EVENT, 2), F.regexp_extract("race", _EVENT, 1)
+    place_of = lambda *names: F.array_max(F.transform(F.filter("header", lambda h: h["text"].isin(*names)), lambda h: h["cell"]))
+    lines = lines.withColumns(
+        {
+            "sex": F.when(sex == "Men", "men").when(sex == "Women", "women"),
+            "event": F.when(event != "", printed.event_id(F.regexp_replace(event, r" M(eter)?(?= |$)", " m"))),
+            "day": F.when(F.col("n") == 1, _meeting_day(F.col("dates"), F.col("weekday"))),  # once a document
+            "with_splits": F.get("header", F.lit(0))["text"] == "Pl",
+            "body": F.coalesce((F.col("row") > F.col("table_row")) & (F.col("stop").isNull() | (F.col("row") < F.col("stop"))), F.lit(False)),
+            "athlete": place_of("Athlete"), "affiliation": place_of("Affiliation"), "time_at": place_of("Time"), "ln": place_of("Ln"), "pl": place_of("Pl", "Place"),
+        }
     )
-    rows = rows.join(headings.select("doc", "metres"), "doc")
-    place_status, _ = times.outcome(F.col("place_text"))
-    out = F.col("with_splits") & place_status.isin("dnf", "dns", "dq")
-    status, time = times.outcome(F.when(F.coalesce(out, F.lit(False)), F.col("place_text")).otherwise(F.col("time_text")))
-    place = F.when(F.coalesce(~out, F.lit(True)), printed.position(F.col("place_text")))
+
+    # The points of the columns behind the times, each with the one before it.
+    def point(h: Column) -> Column:
+        at, wrong = point_of(h["text"], F.col("metres"), F.col("lap"), F.coalesce("event", F.lit("")))
+        return F.struct(h["cell"].alias("cell"), at.alias("at"), wrong.alias("wrong"))
+
+    def after_another(p: Column, i: Column) -> Column:
+        since = F.coalesce(F.get("named", i - 1)["at"], F.lit(0).cast(_DISTANCE))
+        wrong = F.coalesce(p["wrong"], F.when(p["at"] <= since, "points aren't in the order of the race"))
+        return F.struct(p["cell"].alias("cell"), p["at"].alias("at"), since.alias("since"), wrong.alias("wrong"))
+
+    behind = F.filter("header", lambda h: F.col("with_splits") & (h["cell"] > F.col("time_at")))
+    lines = lines.withColumn("named", F.transform(behind, point)).withColumn("points", F.transform("named", after_another))
+    last = F.get("points", F.size("points") - 1)
+
+    # Athletes, one line each, with their splits.
+    value = lambda at: F.get(F.filter("cells", lambda c: c["cell"] == at), F.lit(0))["text"]
+    unheaded = F.filter("cells", lambda c: (c["cell"] > F.col("time_at")) & ~F.exists("header", lambda h: h["cell"] == c["cell"]))
+    marks = F.filter(F.split(F.array_join(F.transform(unheaded, lambda c: c["text"]), " "), " "), lambda w: w != "")
+    lines = lines.withColumns({"place_text": value(F.col("pl")), "lane_text": value(F.col("ln")), "name": value(F.col("athlete")), "country_text": value(F.col("affiliation")), "time_text": value(F.col("time_at")), "born_text": value(F.col("athlete") + 1), "marks": marks})
+    lines = lines.withColumn("out", F.coalesce(F.col("with_splits") & times.outcome(F.col("place_text"))[0].isin("dnf", "dns", "dq"), F.lit(False)))
+    status, time = times.outcome(F.when(F.col("out"), F.col("place_text")).otherwise(F.col("time_text")))
     given, family = given_and_family(F.col("name"))
-    records, _, others = readings.tail(F.filter(F.split("marks", " "), lambda w: w != ""))
-    qualified = F.filter(F.split("marks", " "), lambda w: w.isin(*readings.QUALIFIED))
-    rows = rows.withColumns({"status": status, "time": time, "place": place, "country": printed.country_code(F.col("country_text")), "born": printed.dated(F.col("born_text")), "given": given, "family": family})
+    lines = lines.withColumns({"status": status, "time": time, "place": F.when(~F.col("out"), printed.position(F.col("place_text"))), "country": printed.country_code(F.col("country_text")), "born": printed.dated(F.col("born_text")), "given": given, "family": family})
+
+    def split(c: Column) -> Column:
+        part = lambda i: F.nullif(F.regexp_extract(c["text"], _SPLIT, i), F.lit(""))
+        p = F.get(F.filter("points", lambda p: p["cell"] == c["cell"]), F.lit(0))
+        unread = times.elapsed(part(1)).isNull() | (part(2).isNotNull() & times.elapsed(part(2)).isNull())
+        return F.struct(p["at"].alias("at"), p["since"].alias("since"), times.elapsed(part(1)).alias("time"), times.elapsed(part(2)).alias("lap_time"), F.when(unread, F.concat(F.lit("not a split and its lap time: "), c["text"])).alias("wrong"))
+
+    timed = F.filter("cells", lambda c: F.exists("points", lambda p: p["cell"] == c["cell"]))
+    lines = lines.withColumn("splits", F.when(F.col("body"), F.transform(timed, split)))
+    late = F.get("splits", F.size("splits") - 1)["at"] > F.get("points", F.size("splits") - 1)["at"]
+
+    # What is wrong, of documents and their columns, and of athletes and their splits.
+    lacking = _texts(*(F.when(F.col(c).isNull(), F.lit(name)) for c, name in (("athlete", "Athlete"), ("affiliation", "Affiliation"), ("time_at", "Time"))))
+    doc_error = (
+        F.when((F.coalesce("race", F.lit("")) == "") | F.col("sex").isNull() | F.col("event").isNull(), "no heading of results")
+        .when(F.col("table_row").isNull(), "no table of results")
+        .when(F.size(lacking) > 0, F.concat(F.lit("the table has no column "), F.array_join(lacking, ", ")))
+        .when(F.col("with_splits") & F.col("ln").isNull(), "the table has no column Ln")
+        .when(F.count_if("body").over(by_doc) == 0, "no rows of athletes")
+        .when(F.col("metres").isNull(), "no race is known for this document")
+        .when(F.col("day").isNull(), "no day among the meeting's dates")
+        .when(F.col("with_splits") & ((F.size("points") == 0) | (last["at"] != F.col("metres"))), "the last split column isn't the finish")
+    )
     row_error = (
         F.when(F.col("name").isNull() | F.col("country_text").isNull(), "a row without a name or a country")
         .when(F.col("family").isNull(), F.concat(F.lit("no family name in capitals: "), "name"))
         .when(F.col("country").isNull(), F.concat(F.lit("no such country: "), "country_text"))
         .when(F.col("born_text").isNotNull() & F.col("born").isNull(), F.concat(F.lit("not a date: "), "born_text"))
         .when(F.col("status").isNull(), F.concat(F.lit("no result for "), "name"))
-        .when(F.coalesce(~out, F.lit(True)) & F.col("place_text").isNotNull() & F.col("place").isNull(), F.concat(F.lit("not a place: "), "place_text"))
+        .when(~F.col("out") & F.col("place_text").isNotNull() & F.col("place").isNull(), F.concat(F.lit("not a place: "), "place_text"))
     )
-    rows = rows.withColumn("error", row_error)
-    lane = F.when(F.col("metres") <= IN_LANES, F.col("lane_text").try_cast("int"))
-
-    # Splits, each from the column of its point.
-    splits = table.where(body & F.col("with_splits") & (F.col("cell") > F.col("time_at"))).select("doc", "row", "cell", "text").join(labels, ["doc", "cell"])
-    part = lambda i: F.nullif(F.regexp_extract("text", _SPLIT, i), F.lit(""))
-    splits = splits.withColumns({"time": times.elapsed(part(1)), "lap_text": part(2), "lap_time": times.elapsed(part(2))})
-    of_athlete = W.partitionBy("doc", "row")
-    missed = F.max("i").over(of_athlete) + 1 > F.count("*").over(of_athlete)
-    unread = F.col("time").isNull() | (F.col("lap_text").isNotNull() & F.col("lap_time").isNull())
-    splits = splits.withColumn("error", F.when(unread, F.concat(F.lit("not a split and its lap time: "), "text")).when(missed, "a split after a point that wasn't timed"))
-
-    # What is wrong, of documents, columns, athletes and splits.
-    needed = headings.join(columns, "doc", "left").join(rows.groupBy("doc").agg(F.count("*").alias("n_rows")), "doc", "left").join(labels.groupBy("doc").agg(F.count("*").alias("n_points")), "doc", "left")
-    lacking = F.filter(F.array(*(F.when(F.col(c).isNull(), F.lit(name)) for c, name in (("athlete", "Athlete"), ("affiliation", "Affiliation"), ("time_at", "Time")))), lambda c: c.isNotNull())
-    doc_error = (
-        F.when((F.col("race") == "") | F.col("sex").isNull() | F.col("event").isNull(), "no heading of results")
-        .when(F.col("table_row").isNull(), "no table of results")
-        .when(F.size(lacking) > 0, F.concat(F.lit("the table has no column "), F.array_join(lacking, ", ")))
-        .when(F.col("with_splits") & F.col("ln").isNull(), "the table has no column Ln")
-        .when(F.col("n_rows").isNull(), "no rows of athletes")
-        .when(F.col("metres").isNull(), "no race is known for this document")
-        .when(F.col("day").isNull(), "no day among the meeting's dates")
-        .when(F.col("with_splits") & F.col("n_points").isNull(), "the last split column isn't the finish")
+    of_splits = F.filter(F.transform("splits", lambda x: x["wrong"]), lambda e: e.isNotNull())
+    of_points = F.filter(F.transform(F.coalesce("points", F.array().cast(lines.schema["points"].dataType)), lambda p: p["wrong"]), lambda e: e.isNotNull())
+    nothing = F.array().cast("array<string>")
+    lines = lines.withColumns(
+        {
+            "doc_errors": F.when(F.col("n") == 1, F.concat(_texts(doc_error), of_points)).otherwise(nothing),
+            "row_errors": F.when(F.col("body"), F.concat(_texts(row_error, F.when(late, "a split after a point that wasn't timed")), F.coalesce(of_splits, nothing))).otherwise(nothing),
+        }
     )
-    none = F.lit(None).cast("int").alias("row")
-    wrongs = [needed.select("doc", none, doc_error.alias("error")), labels.select("doc", none, F.col("wrong").alias("error")), rows.select("doc", "row", "error"), splits.select("doc", "row", "error")]
-    errors = wrongs[0].unionByName(wrongs[1]).unionByName(wrongs[2]).unionByName(wrongs[3]).where("error is not null").distinct()
-    sound = lambda d: d.join(errors.select("doc").distinct(), "doc", "left_anti")
-    entries = sound(rows).select("doc", "row", "place", lane.alias("lane"), "name", "given", "family", "country", "born", "status", "time", F.when(F.col("with_splits"), F.array().cast("array<string>")).otherwise(records).alias("records"), F.when(F.col("with_splits"), F.array().cast("array<string>")).otherwise(F.concat(others, qualified)).alias("remarks"))
-    good = sound(splits)
-    passings = good.select("doc", "row", F.col("at").alias("metres"), (F.col("at") == F.col("metres")).alias("finish"), "time")
-    stretches = good.where("lap_time is not null").select("doc", "row", F.col("since").alias("start_metres"), F.col("at").alias("metres"), F.col("lap_time").alias("time"))
-    return WebReading(sound(headings).select("doc", "race", "sex", "event", "round", "day", "started"), entries, passings, stretches, errors)
+    lines = lines.withColumn("broken", F.max((F.size("doc_errors") > 0) | (F.size("row_errors") > 0)).over(by_doc))
+    sound, none = lines.where("not broken"), F.lit(None).cast("int")
+    wrongs = F.concat(F.transform("doc_errors", lambda e: F.struct(none.alias("row"), e.alias("error"))), F.transform("row_errors", lambda e: F.struct(F.col("row").cast("int").alias("row"), e.alias("error"))))
+    errors = lines.select("doc", F.explode(F.array_distinct(wrongs)).alias("e")).select("doc", "e.*")
+    headings = sound.where("n = 1").select("doc", "race", "sex", "event", F.lit("final").alias("round"), "day", "started")
+    records, _, _ = readings.tail(F.col("marks"))
+    as_marks = lambda words: F.when(F.col("with_splits"), nothing).otherwise(words)
+    lane = F.when(F.col("metres") <= IN_LANES, F.col("lane_text").try_cast("int")).alias("lane")
+    athletes = sound.where("body")
+    entries = athletes.select("doc", "row", "place", lane, "name", "given", "family", "country", "born", "status", "time", as_marks(records).alias("records"), as_marks(F.filter("marks", lambda w: ~F.array_contains(records, w))).alias("remarks"))
+    good = athletes.select("doc", "row", "metres", F.explode("splits").alias("s"))
+    passings = good.select("doc", "row", F.col("s.at").alias("metres"), (F.col("s.at") == F.col("metres")).alias("finish"), F.col("s.time").alias("time"))
+    stretches = good.where("s.lap_time is not null").select("doc", "row", F.col("s.since").alias("start_metres"), F.col("s.at").alias("metres"), F.col("s.lap_time").alias("time"))
+    return WebReading(headings, entries, passings, stretches, errors)

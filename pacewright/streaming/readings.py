@@ -15,7 +15,7 @@ def hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """hour, event_type, n: a watermarked tumbling window over the events, run until what is there is read.
 
     The parquet file source is a stream. Each batch appends the hours that it changed to a table in the
-    session's checkpoint folder (a folder of this machine where none is set, as in tests), so that nothing
+    session's checkpoint folder (a folder of this machine where none is set and all is local, as in tests; elsewhere that is refused), so that nothing
     passes through the driver; the watermark lets the state of closed hours go. Counts only rise, so an
     hour's largest one is its last.
     """
@@ -23,7 +23,10 @@ def hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/event[s].parquet")
     seen = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour")
     counted = seen.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"))
-    folder = f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='pacewright-')}/hourly_{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = f"{shared or tempfile.mkdtemp(prefix='pacewright-')}/hourly_{uuid.uuid4().hex}"
     rows = counted.select(F.floor(F.unix_timestamp("w.start") / 3600).cast("long").alias("hour"), "event_type", "n")
 
     def append(batch: DataFrame, epoch: int) -> None:
