@@ -6,14 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _CLOCK = r"^(?:(?:(\d+):)?([0-5]?\d):([0-5]?\d(?:\.\d{1,3})?)|(\d+(?:\.\d{1,3})?))$"
-DECIMAL = "decimal(9,3)"
+DECIMAL = "decimal(18,3)"
 
 
 def elapsed(text: Column) -> Column:
-    """h:m:s, m:s or s as decimal seconds; null for anything else."""
+    """h:m:s, m:s or s as decimal seconds; null for anything else, and for more seconds than the type holds."""
     part = lambda i: F.coalesce(F.nullif(F.regexp_extract(text, _CLOCK, i), F.lit("")), F.lit("0"))
-    value = part(1).cast("int") * 3600 + part(2).cast("int") * 60 + part(3).cast(DECIMAL) + part(4).cast(DECIMAL)
-    return F.when(text.rlike(_CLOCK), value.cast(DECIMAL))
+    value = part(1).try_cast(DECIMAL) * 3600 + part(2).cast("int") * 60 + part(3).cast(DECIMAL) + part(4).try_cast(DECIMAL)
+    return F.when(text.rlike(_CLOCK), value.try_cast(DECIMAL))
 
 
 def precision(text: Column) -> Column:

@@ -21,3 +21,8 @@ def test_registry_pairs_of_names_through_what_is_left(spark):
     want = {(a, b) for a, b in itertools.combinations(sorted(names), 2) if min(len(a), len(b)) >= 4 and tx.SequenceMatcher(None, a, b, autojunk=False).ratio() >= 0.85}
     got = {(r.name, r.other) for r in tx.alike_pairs(spark.createDataFrame([(n,) for n in names], "name string")).collect()}
     assert got == want
+
+
+def test_times_of_a_million_seconds(spark):
+    d = spark.createDataFrame([("5999999.5",), ("99999999999999999999:00:00",), ("1:02.5",)], "t string")
+    assert [None if r[0] is None else float(r[0]) for r in d.select(tm.elapsed(F.col("t"))).collect()] == [5999999.5, None, 62.5]
