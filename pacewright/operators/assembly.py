@@ -35,9 +35,15 @@ def link_once(rows: DataFrame, candidates: DataFrame, on: list[str], condition)
 
 
 def expand_initials(short: DataFrame, full: DataFrame) -> DataFrame:
-    """row, given: initials that begin exactly one full name of the same family and country."""
-    met = short.join(full, ["family", "country"]).where(F.startswith(F.col("given"), F.col("initial")))
-    return met.groupBy("row").agg(F.min("given").alias("given"), F.count_distinct("given").alias("n")).where("n = 1").select("row", "given")
+    """row, given: initials that begin exactly one full name of the same family and country.
+
+    The different full names are summed up by each of their beginnings, so an initial meets one row, however many names it begins.
+    """
+    names = full.select("family", "country", "given").distinct()
+    begun = names.select("family", "country", "given", F.explode(F.transform(F.sequence(F.lit(0), F.length("given")), lambda n: F.substr("given", F.lit(1), n))).alias("initial"))
+    begun = begun.groupBy("family", "country", "initial").agg(F.min("given").alias("given"), F.max("given").alias("most"))
+    met = short.select("row", "family", "country", "initial").join(begun, ["family", "country", "initial"])
+    return met.groupBy("row").agg(F.min("given").alias("given"), F.max("most").alias("most")).where("given = most").select("row", "given")
 
 
 def integrity(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:

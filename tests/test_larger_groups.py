@@ -26,3 +26,10 @@ def test_registry_pairs_of_names_through_what_is_left(spark):
 def test_times_of_a_million_seconds(spark):
     d = spark.createDataFrame([("5999999.5",), ("99999999999999999999:00:00",), ("1:02.5",)], "t string")
     assert [None if r[0] is None else float(r[0]) for r in d.select(tm.elapsed(F.col("t"))).collect()] == [5999999.5, None, 62.5]
+
+
+def test_initials_meet_one_row_of_their_family(spark):
+    full = spark.range(20000).select(F.concat(F.lit("A"), F.col("id") % 7).alias("given"), F.lit("f").alias("family"), F.lit("c").alias("country"))
+    full = full.unionByName(spark.createDataFrame([("Bo", "f", "c"), ("Bo", "f", "c")], full.schema))
+    short = spark.range(20000).select(F.col("id").alias("row"), F.when(F.col("id") == 5, "B").otherwise("A").alias("initial"), F.lit("f").alias("family"), F.lit("c").alias("country"))
+    assert [tuple(r) for r in assembly.expand_initials(short, full).collect()] == [(5, "Bo")]
