@@ -30,6 +30,32 @@ def agreed_birth_date(claims: DataFrame) -> DataFrame:
 def link_once(rows: DataFrame, candidates: DataFrame, on: list[str], condition) -> DataFrame:
     """row, candidate: rows with exactly one fitting candidate, and candidates that no other row of the document got."""
     met = rows.join(candidates, on).where(condition).groupBy("row", "document").agg(F.min("candidate").alias("candidate"), F.max("candidate").alias("most")).where("candidate = most")
+    return _only_row(met)
+
+
+def link_nearest_once(rows: DataFrame, candidates: DataFrame, on: list[str], mark: str, listed: str, reach: float) -> DataFrame:
+    """``link_once`` where a row fits candidates whose ``listed`` value is no farther than ``reach`` from its ``mark``.
+
+    Values are dealt to cells of an eighth of the reach. The cells that are certainly within reach of a row are summed up by their least and greatest
+    candidate, so a row with several candidates there is out before any pair is formed; the others meet the different values in all cells that may be within reach.
+    """
+    width = reach / 8
+    key = [*on, "_cell"]
+    cell = lambda value: F.floor(value / width)
+    asked = rows.where(F.col(mark).isNotNull()).select("row", "document", *on, F.col(mark).alias("_mark"))
+    known = candidates.groupBy(*on, F.col(listed).alias("_listed")).agg(F.min("candidate").alias("_least"), F.max("candidate").alias("_most")).withColumn("_cell", cell(F.col("_listed")))
+    cells = known.groupBy(*key).agg(F.min("_least").alias("_least"), F.max("_most").alias("_most"))
+    ends = F.min("_least").alias("_least"), F.max("_most").alias("_most")
+    # one cell is left out at either end, so rounding can't bring a value in that isn't within reach
+    inside = asked.withColumn("_cell", F.explode(F.sequence(cell(F.col("_mark") - reach) + 2, cell(F.col("_mark") + reach) - 2))).join(cells, key)
+    several = inside.groupBy("row", "document").agg(*ends).where("_least <> _most").select("row", "document")
+    few = asked.join(several, ["row", "document"], "left_anti").withColumn("_cell", F.explode(F.sequence(cell(F.col("_mark") - reach) - 1, cell(F.col("_mark") + reach) + 1)))
+    met = few.join(known, key).where(F.abs(F.col("_mark") - F.col("_listed")) <= reach).groupBy("row", "document").agg(*ends).where("_least = _most").withColumnRenamed("_least", "candidate")
+    return _only_row(met)
+
+
+def _only_row(met: DataFrame) -> DataFrame:
+    """row, candidate of (row, document, candidate): those whose candidate no other row of the document has."""
     alone = F.count("*").over(W.partitionBy("document", "candidate"))
     return met.withColumn("n", alone).where("n = 1").select("row", "candidate")
 

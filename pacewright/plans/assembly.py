@@ -40,7 +40,7 @@ def linked_once(spark, sf_dir):
     t = Tables(spark, sf_dir)
     rows = t.read("orders").select(F.col("o_orderkey").alias("row"), F.col("o_orderpriority").alias("document"), (F.col("o_custkey") % 25).cast("int").alias("country"), (F.col("o_totalprice") / 100).alias("mark"))
     people = t.read("customer").select(F.col("c_custkey").alias("candidate"), F.col("c_nationkey").alias("country"), F.col("c_acctbal").alias("listed"))
-    return asm.link_once(rows, people, ["country"], F.abs(F.col("mark") - F.col("listed")) <= 20)
+    return asm.link_nearest_once(rows, people, ["country"], "mark", "listed", 20)
 
 
 @query("expanded_initials", "select s.p_partkey as \"row\", min(f.p_name) as given from part s join part f on s.p_brand = f.p_brand and s.p_size = f.p_size and starts_with(f.p_name, left(s.p_name, 1)) group by s.p_partkey having count(distinct f.p_name) = 1")

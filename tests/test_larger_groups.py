@@ -28,6 +28,23 @@ def test_times_of_a_million_seconds(spark):
     assert [None if r[0] is None else float(r[0]) for r in d.select(tm.elapsed(F.col("t"))).collect()] == [5999999.5, None, 62.5]
 
 
+def test_link_nearest_once_is_link_once(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, f"d{i % 4}", int(i % 3), float(x)) for i, x in enumerate(np.round(rng.uniform(0, 2000, 400), 2))]
+    people = [(i, int(i % 3), float(x)) for i, x in enumerate(np.concatenate([np.round(rng.uniform(0, 2000, 150), 2), np.array([r[3] + 20 for r in rows[:60]])]))]
+    rows, people = spark.createDataFrame(rows, "row long, document string, country int, mark double"), spark.createDataFrame(people, "candidate long, country int, listed double")
+    want = assembly.link_once(rows, people, ["country"], F.abs(F.col("mark") - F.col("listed")) <= 20).collect()
+    assert want and sorted(map(tuple, assembly.link_nearest_once(rows, people, ["country"], "mark", "listed", 20).collect())) == sorted(map(tuple, want))
+
+
+def test_link_nearest_once_forms_no_pairs_in_a_crowd(spark):
+    crowd = spark.range(20000).select(F.col("id").alias("row"), F.lit("d").alias("document"), F.lit(1).alias("country"), (F.col("id") % 997).cast("double").alias("mark"))
+    people = crowd.select(F.col("row").alias("candidate"), "country", F.col("mark").alias("listed"))
+    start = time.time()
+    assert assembly.link_nearest_once(crowd, people, ["country"], "mark", "listed", 20).count() == 0
+    assert time.time() - start < 60
+
+
 def test_initials_meet_one_row_of_their_family(spark):
     full = spark.range(20000).select(F.concat(F.lit("A"), F.col("id") % 7).alias("given"), F.lit("f").alias("family"), F.lit("c").alias("country"))
     full = full.unionByName(spark.createDataFrame([("Bo", "f", "c"), ("Bo", "f", "c")], full.schema))
