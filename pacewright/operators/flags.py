@@ -174,12 +174,18 @@ def outlier_scores(x: Inputs) -> DataFrame:
     return near.join(spread, group).withColumn("z", (F.col("share") - F.col("centre")) / F.col("spread"))
 
 
-def late_runs(scores: DataFrame) -> DataFrame:
-    """Series that lost time late: two scores or more, all negative, one below -5, the last two below -3."""
+def with_lateness(scores: DataFrame) -> DataFrame:
+    """``scores`` with ``late``: whether the series lost time late, with two scores or more, all negative, one below -5, the last two below -3."""
     series = W.partitionBy("performance", "document")
     ranked = scores.withColumn("back", F.row_number().over(series.orderBy(F.desc("distance_m"), F.desc("point"))))
-    run = ranked.groupBy("performance", "document").agg(F.count("*").alias("n"), F.max("z").alias("most"), F.min("z").alias("least"), F.max(F.when(F.col("back") <= 2, F.col("z"))).alias("last_two"))
-    return run.where((F.col("n") >= 2) & (F.col("most") < 0) & (F.col("least") < -OUTLIER_Z) & (F.col("last_two") < -LATE_Z)).select("performance", "document")
+    facts = F.count("*"), F.max("z"), F.min("z"), F.max(F.when(F.col("back") <= 2, F.col("z")))
+    n, most, least, last_two = (f.over(series) for f in facts)
+    return ranked.withColumn("late", (n >= 2) & (most < 0) & (least < -OUTLIER_Z) & (last_two < -LATE_Z)).drop("back")
+
+
+def late_runs(scores: DataFrame) -> DataFrame:
+    """Series that lost time late."""
+    return with_lateness(scores).where("late").select("performance", "document").distinct()
 
 
 def others_normal(scores: DataFrame) -> DataFrame:
@@ -192,8 +198,9 @@ def others_normal(scores: DataFrame) -> DataFrame:
 @check("split-outlier", "warning", True, "anomaly")
 def split_outlier(x: Inputs) -> DataFrame:
     """A score beyond five, unless the run lost time late."""
-    scores = outlier_scores(x)
-    return _split(scores.where(F.abs("z") > OUTLIER_Z).join(late_runs(scores), ["performance", "document"], "left_anti"))
+    odd = W.partitionBy("performance", "document")
+    far = outlier_scores(x).withColumn("far", F.max(F.abs("z")).over(odd)).where(F.col("far") > OUTLIER_Z)
+    return _split(with_lateness(far).where((F.abs("z") > OUTLIER_Z) & ~F.col("late")))
 
 
 @check("time-lost-late", "info", True, "anomaly")
