@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -213,14 +214,22 @@ def longest_rising(ranks: np.ndarray) -> np.ndarray:
     """Which members belong to the longest non-falling subsequence.
 
     Of equally long ones it is the one that ends earliest, and of a member's possible predecessors the
-    first. A field has some dozens of runners at most, so each member looks at those before it at once.
+    first. Members that end sequences of one length fall in rank, so both the length and the first predecessor are found by bisection.
     """
     length, before = np.ones(len(ranks), int), np.full(len(ranks), -1)
-    for i in range(1, len(ranks)):
-        fits = np.flatnonzero(ranks[:i] <= ranks[i])
-        if len(fits):
-            before[i] = fits[np.argmax(length[fits])]
-            length[i] = length[before[i]] + 1
+    least: list = []  # of each length, the rank of its latest end
+    ends: list[tuple[list, list]] = []  # of each length, the ends' ranks with the sign turned, and their places
+    for i, rank in enumerate(ranks.tolist()):
+        n = bisect_right(least, rank)
+        if n == len(least):
+            least.append(rank)
+            ends.append(([], []))
+        least[n] = rank
+        ends[n][0].append(-rank)
+        ends[n][1].append(i)
+        length[i] = n + 1
+        if n:
+            before[i] = ends[n - 1][1][bisect_left(ends[n - 1][0], -rank)]
     member = np.zeros(len(ranks), bool)
     i = int(np.argmax(length)) if len(ranks) else -1
     while i >= 0:
@@ -239,26 +248,40 @@ def place_order(x: Inputs) -> DataFrame:
 
 
 def rank_order(points: DataFrame) -> DataFrame:
-    """Rows of (race, distance_m, performance, time_s, rank) outside the longest agreeing sequence of ranks in order of time.
+    """Rows of (race, distance_m, performance, time_s, rank, ...) outside the longest agreeing sequence of ranks in order of time.
 
-    One race's points at one distance are a field of runners, a short list, so a row is a field.
+    The points of one race at one distance are a field. Rows come sorted by field and time in batches of any cut, and only
+    the ranks of the field at hand are kept beside a batch, with the rows of it that are still open.
     """
+    names = points.columns
 
     def outside(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
         for frame in frames:
-            rows = [(race, m, x["performance"], x["time_s"], x["rank"]) for race, m, field in zip(frame["race"], frame["distance_m"], frame["field"], strict=True) for x, good in zip(field, longest_rising(np.array([y["rank"] for y in field])), strict=True) if not good]
-            yield pd.DataFrame(rows, columns=["race", "distance_m", "performance", "time_s", "rank"])
+            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            if frame.empty:
+                continue
+            race, metres = frame["race"].to_numpy(), frame["distance_m"].to_numpy()
+            begins = np.concatenate(([0], np.flatnonzero((race[1:] != race[:-1]) | (metres[1:] != metres[:-1])) + 1))
+            rest = frame.iloc[begins[-1] :]
+            yield beyond(frame.iloc[: begins[-1]], begins)
+        if rest is not None:
+            yield beyond(rest, np.array([0, len(rest)]))
 
-    field = F.sort_array(F.collect_list(F.struct("time_s", "rank", "performance")))
-    rows = points.groupBy("race", "distance_m").agg(field.alias("field"))
-    return rows.mapInPandas(outside, points.select("race", "distance_m", "performance", "time_s", "rank").schema)
+    def beyond(frame: pd.DataFrame, begins: np.ndarray) -> pd.DataFrame:
+        ranks = frame["rank"].to_numpy()
+        good = [longest_rising(ranks[i:j]) for i, j in zip(begins[:-1], begins[1:], strict=True)]
+        return frame[~np.concatenate(good)] if good else frame
+
+    field = points.repartition("race", "distance_m").sortWithinPartitions("race", "distance_m", "time_s", "rank", "performance")
+    return field.select(*names).mapInPandas(outside, points.schema)
 
 
 @check("rank-order", "warning", needs=("placed_points",))
 def misplaced(x: Inputs) -> DataFrame:
     """Printed positions at a point that the times there don't allow, the fewest that explain it."""
     field = x.placed_points.withColumn("race", F.to_json(F.struct("race", "document")))
-    found = rank_order(field).join(field.select("race", "distance_m", "performance", "document", "point"), ["race", "distance_m", "performance"])
+    found = rank_order(field.select("race", "distance_m", "performance", "document", "point", "time_s", "rank"))
     return found.select("performance", "document", "point", F.lit("rank").alias("field"))
 
 

@@ -73,3 +73,34 @@ def test_documents_of_more_than_twenty_points(spark, tmp_path):
     folder = _folder(spark, tmp_path, spark.read.parquet("/root/testdata/sf0.001/orders.parquet").where("o_orderkey < 20"), lines)
     for name in ("tiered_passings", "tiered_stretches"):
         same(registry.queries()[name](spark, folder), engine(folder), registry.oracle_sql()[name])
+
+
+def test_longest_rising_of_a_large_field():
+    def plain(ranks):
+        length, before = np.ones(len(ranks), int), np.full(len(ranks), -1)
+        for i in range(1, len(ranks)):
+            fits = np.flatnonzero(ranks[:i] <= ranks[i])
+            if len(fits):
+                before[i] = fits[np.argmax(length[fits])]
+                length[i] = length[before[i]] + 1
+        member, i = np.zeros(len(ranks), bool), int(np.argmax(length))
+        while i >= 0:
+            member[i], i = True, before[i]
+        return member
+
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 9, 60, 200):
+        for _ in range(20):
+            ranks = rng.integers(0, max(2, n // 2), n)
+            assert (flags.longest_rising(ranks) == plain(ranks)).all()
+    start = time.time()
+    assert flags.longest_rising(np.arange(200_000)[::-1].copy()).sum() == 1 and time.time() - start < 10
+
+
+def test_rank_order_of_fields_across_batches(spark):
+    points = spark.range(30).select(F.concat(F.lit("r"), F.col("id") % 2).alias("race"), F.lit(100).alias("distance_m"), F.col("id").alias("performance"), F.col("id").cast("double").alias("time_s"), F.when(F.col("id") == 7, 99).otherwise(F.col("id")).alias("rank"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        assert [r.performance for r in flags.rank_order(points).collect()] == [7]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
