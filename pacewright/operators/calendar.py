@@ -9,6 +9,8 @@ from pacewright.functions.text import similarity, slug
 
 #: Days on either side that still count as the same ones, and days that an entry without a sane end covers at most.
 SLACK, MOST_DAYS = 1, 20
+#: Days of a cell in which entries are looked for.
+CELL = 32
 LEAST_LIKENESS = 0.8
 
 
@@ -35,17 +37,17 @@ def _ranged(table: DataFrame, most_days: int) -> DataFrame:
 def meetings(held: DataFrame, entries: DataFrame, most_days: int = MOST_DAYS) -> DataFrame:
     """The columns of ``held(id, country, first, last, ...)`` beside those of ``entries(entry, country, first, last, ...)``, prefixed with ``entry_``, for every two that overlap within a day.
 
-    Two that overlap share the day on which the later of them begins, so they meet by equality on one day, once: an edition's first
-    day among the entry's days, or an entry's first day among the edition's later ones. No other pair is formed.
+    Entries are the larger table, so each stays one row, in the CELL of days in which it opens; an edition goes to the two cells or so in which an entry that
+    overlaps it may open. They meet by equality on country and cell, and one condition on their days is left.
     """
     h, e = _ranged(held, most_days), _ranged(entries, most_days)
     e = e.select("country", *(F.col(c).alias(c if c.startswith("entry") else f"entry_{c}") for c in e.columns if c != "country"))
     e = e.withColumns({"opens": F.date_sub("entry_first", SLACK), "closes": F.date_add("entry_last", SLACK)})
-    e_days = e.withColumn("day", F.explode(F.sequence("opens", "closes")))
-    h_days = h.where(F.col("first") < F.col("last")).withColumn("day", F.explode(F.sequence(F.date_add("first", 1), F.col("last"))))
-    began_during = h.withColumn("day", F.col("first")).join(e_days, ["country", "day"])
-    then_began = h_days.join(e.withColumn("day", F.col("opens")), ["country", "day"])
-    return began_during.unionByName(then_began).drop("day", "opens", "closes")
+    cell = lambda day: F.floor(F.unix_date(day) / CELL)
+    longest = most_days - 1 + 2 * SLACK  # from an entry's opening to its close
+    h = h.withColumn("cell", F.explode(F.sequence(cell(F.date_sub("first", longest)), cell(F.col("last")))))
+    met = h.join(e.withColumn("cell", cell(F.col("opens"))), ["country", "cell"])
+    return met.where((F.col("opens") <= F.col("last")) & (F.col("first") <= F.col("closes"))).drop("cell", "opens", "closes")
 
 
 def best_entry(held: DataFrame, entries: DataFrame) -> DataFrame:

@@ -104,3 +104,11 @@ def test_rank_order_of_fields_across_batches(spark):
         assert [r.performance for r in flags.rank_order(points).collect()] == [7]
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_an_entry_of_the_calendar_stays_one_row(spark):
+    """Entries of many days aren't copied day by day: the plan explodes editions only."""
+    d = spark.createDataFrame([(1, "N", "2020-01-01", "2020-01-25", "x")], "id int, country string, first string, last string, city string").withColumns({c: F.col(c).cast("date") for c in ("first", "last")})
+    e = d.drop("id").withColumn("entry", F.lit("e")).withColumn("rank", F.lit(1))
+    met = calendar.meetings(d, e)
+    assert met._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1 and met.count() == 1
