@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 
 #: How far a value's left edge may be from its column's.
 REACH = 12.0
+#: Tasks over which the lines of one table spread.
+SHARES = 512
+
+
+def _beside_columns(lines: DataFrame, listed: DataFrame) -> DataFrame:
+    """``lines(table, line, ...)`` beside their table's columns. Tables may be few and large, so each table's row is copied, and lines of one table meet SHARES copies of it in as many tasks."""
+    share = F.pmod(F.xxhash64("line"), F.lit(SHARES)).cast("int")
+    copies = listed.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    return lines.withColumn("share", share).join(copies, ["table", "share"], "left").drop("share")
 
 
 def by_position(values: DataFrame, columns: DataFrame, fits: Column, reach: float = REACH) -> DataFrame:
@@ -18,7 +27,7 @@ def by_position(values: DataFrame, columns: DataFrame, fits: Column, reach: floa
     have an error and no column. A table's columns are a short list, so a value meets those of its own table only.
     """
     anchors = columns.groupBy("table").agg(F.sort_array(F.collect_list(F.struct("column", "anchor", "kind"))).alias("all"))
-    met = values.join(anchors, "table", "left")
+    met = _beside_columns(values, anchors)
     nearest = F.array_min(F.transform("all", lambda c: F.struct(F.abs(c["anchor"] - F.col("x")).alias("far"), c["column"].alias("column"), c["kind"].alias("kind"))))
     met = met.withColumn("near", nearest).withColumn("near", F.when(F.col("near.far") <= reach, F.col("near"))).withColumns({"kind": F.col("near.kind"), "k": F.col("near.column")})
     earlier = F.row_number().over(W.partitionBy("table", "line", "k").orderBy("x", "text")) > 1
@@ -34,7 +43,8 @@ def in_order(values: DataFrame, columns: DataFrame, patterns: dict[str, str], em
     in the order of their places; equal places go by text.
     """
     listed = columns.groupBy("table").agg(F.sort_array(F.collect_list(F.struct("place", "column", "kind"))).alias("all"))
-    lines = values.groupBy("table", "line").agg(F.sort_array(F.collect_list(F.struct("x", "text"))).alias("values")).join(listed, "table", "left")
+    lines = values.groupBy("table", "line").agg(F.sort_array(F.collect_list(F.struct("x", "text"))).alias("values"))
+    lines = _beside_columns(lines, listed)
     lines = lines.withColumn("all", F.coalesce("all", F.array().cast(listed.schema["all"].dataType)))
     fits = lambda text, kind: F.coalesce(*(F.when(kind == k, text.rlike(p)) for k, p in patterns.items()), F.lit(False))
     given = "array<string>"

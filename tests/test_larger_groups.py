@@ -112,3 +112,10 @@ def test_an_entry_of_the_calendar_stays_one_row(spark):
     e = d.drop("id").withColumn("entry", F.lit("e")).withColumn("rank", F.lit(1))
     met = calendar.meetings(d, e)
     assert met._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1 and met.count() == 1
+
+
+def test_values_of_one_table_spread(spark):
+    values = spark.range(2000).select(F.lit("t").alias("table"), F.col("id").alias("line"), F.lit(8.0).alias("x"), F.lit("F").alias("text"))
+    heads = spark.createDataFrame([("t", "a", 8.0, "F")], "table string, column string, anchor double, kind string")
+    found = columns.by_position(values, heads, F.col("text") == F.col("kind"))
+    assert found.where("column = 'a'").count() == 2000 and "share" in found._jdf.queryExecution().analyzed().toString()
