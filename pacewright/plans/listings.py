@@ -140,8 +140,8 @@ def sourced_words(spark, sf_dir):
     x = F.col("l_quantity") * 10
     word = F.struct(F.concat("l_returnflag", "l_linestatus").alias("text"), x.alias("x0"), F.lit(1.0).alias("top"), (x + 5).alias("x1"), F.lit(9.0).alias("bottom"))
     lines = d.groupBy(F.col("l_orderkey").alias("doc")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", word.alias("w")))).alias("l"))
-    found = lines.select("doc", F.transform("l", lambda r: r["w"]).alias("words")).select("doc", spans.sourced(F.col("words"), r"NO(?: [ANR][FO])?").alias("m"))
-    return found.where("m is not null").select("doc", "m.value", "m.x0", "m.x1")
+    found = lines.select("doc", F.transform("l", lambda r: r["w"]).alias("words")).select("doc", F.inline(F.array_compact(F.array(spans.sourced(F.col("words"), r"NO(?: [ANR][FO])?")))))
+    return found.select("doc", "value", "x0", "x1")
 
 
 @query("lap_points", "select l_orderkey, l_linenumber, l_partkey, case when l_returnflag = 'R' then floor(1609.344 - 400 * (l_linenumber % 4)) + 5 else 1609.344::double - 400 * (l_linenumber % 4) end::double as metres from lineitem")

@@ -18,9 +18,17 @@ def sourced(words: Column, pattern: str, group: int = 0) -> Column:
     text = F.array_join(F.transform(words, lambda w: w["text"]), " ")
     value = F.regexp_extract(text, pattern, group)
     at = F.position(value, text, F.greatest(F.lit(1), F.regexp_instr(text, F.lit(pattern)))) - 1
-    own = words_under(words, at, at + F.length(value))
-    edge = lambda f, c: f(F.transform(own, lambda w: w[c]))
-    box = F.struct(value.alias("value"), edge(F.array_min, "x0").alias("x0"), edge(F.array_min, "top").alias("top"), edge(F.array_max, "x1").alias("x1"), edge(F.array_max, "bottom").alias("bottom"))
+    # one pass over the words: the match's ends, where the next word begins, and the box so far
+    none = lambda c: F.lit(None).cast("double").alias(c)
+    start = F.struct(value.alias("value"), at.cast("int").alias("from"), F.lit(0).alias("next"), *(none(c) for c in ("x0", "top", "x1", "bottom")))
+
+    def step(s: Column, w: Column) -> Column:
+        end = s["next"] + F.length(w["text"])
+        covered = (s["next"] < s["from"] + F.length(s["value"])) & (end > s["from"])
+        edge = lambda f, c: F.when(covered, f(s[c], w[c].cast("double"))).otherwise(s[c]).alias(c)
+        return F.struct(s["value"].alias("value"), s["from"].alias("from"), (end + 1).alias("next"), edge(F.least, "x0"), edge(F.least, "top"), edge(F.greatest, "x1"), edge(F.greatest, "bottom"))
+
+    box = F.aggregate(words, start, step, lambda s: F.struct(s["value"].alias("value"), *(s[c].alias(c) for c in ("x0", "top", "x1", "bottom"))))
     return F.when(value != "", box)
 
 

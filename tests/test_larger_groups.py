@@ -119,3 +119,11 @@ def test_values_of_one_table_spread(spark):
     heads = spark.createDataFrame([("t", "a", 8.0, "F")], "table string, column string, anchor double, kind string")
     found = columns.by_position(values, heads, F.col("text") == F.col("kind"))
     assert found.where("column = 'a'").count() == 2000 and "share" in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_match_in_a_long_line(spark):
+    word = "struct(concat('w', id) as text, double(id) as x0, 1d as top, double(id) + 1 as x1, 2d as bottom)"
+    line = spark.range(4000).selectExpr(f"{word} as w", "id").groupBy().agg(F.sort_array(F.collect_list(F.struct("id", "w"))).alias("l")).select(F.transform("l", lambda r: r["w"]).alias("words"))
+    start = time.time()
+    assert tuple(line.select(spans.sourced(F.col("words"), r"w3998 w3999").alias("m")).first().m) == ("w3998 w3999", 3998.0, 1.0, 4000.0, 2.0)
+    assert time.time() - start < 30
