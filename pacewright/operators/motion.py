@@ -37,6 +37,33 @@ def interpolate(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
     return y[i] * (2 * t**3 - 3 * t**2 + 1) + h * m[i] * (t**3 - 2 * t**2 + t) + y[i + 1] * (3 * t**2 - 2 * t**3) + h * m[i + 1] * (t**3 - t**2)
 
 
+def interpolate_runs(x: np.ndarray, y: np.ndarray, step: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Steps of each run, and all runs' points and values there, as ``interpolate`` has them: x and y have a run's knots in a row, two at least, the first at 0."""
+    h = np.diff(x, axis=1)
+    chord = np.diff(y, axis=1) / h
+    if chord.shape[1] < 2:
+        m = np.repeat(chord, 2, axis=1)
+    else:
+        left, right, w1, w2 = chord[:, :-1], chord[:, 1:], 2 * h[:, 1:] + h[:, :-1], h[:, 1:] + 2 * h[:, :-1]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            inner = np.where(left * right > 0, (w1 + w2) / (w1 / left + w2 / right), 0.0)
+        m = np.empty_like(y)
+        m[:, 1:-1] = inner
+        for at, edge, beside in ((0, chord[:, 0], inner[:, 0]), (-1, chord[:, -1], inner[:, -1])):
+            m[:, at] = np.minimum(np.where(edge >= 0, np.clip(1.5 * edge - 0.5 * beside, 0, 3 * np.abs(edge)), 0.0), 3 * edge)
+    count = np.ceil((x[:, -1] + 1e-9) / step).astype(int)
+    run = np.repeat(np.arange(len(x)), count)
+    points = (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)) * step
+    at = np.minimum(points, x[run, -1])
+    i = np.zeros(len(at), int)
+    for k in range(1, x.shape[1] - 1):
+        i += x[run, k] <= at
+    h = h[run, i]
+    t = (at - x[run, i]) / h
+    values = y[run, i] * (2 * t**3 - 3 * t**2 + 1) + h * m[run, i] * (t**3 - 2 * t**2 + t) + y[run, i + 1] * (3 * t**2 - 2 * t**3) + h * m[run, i + 1] * (t**3 - t**2)
+    return count, points, values
+
+
 def knots(passings: DataFrame) -> DataFrame:
     """Clean points of every performance and document from the gun, only those later than all before."""
     clean = passings.where("not suspect and time_s > 0").select("performance", "document", "distance_m", "time_s")
@@ -47,22 +74,18 @@ def knots(passings: DataFrame) -> DataFrame:
 def positions(passings: DataFrame, step_m: float = 25.0) -> DataFrame:
     """performance, document, distance_m, time_s at every step of distance.
 
-    A run's knots are a short list, so a row is a run and a batch of runs goes to Python at once.
+    A run's knots are a short list, so a row is a run; the runs of a batch that have as many knots are worked out together.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            done = []
-            for xs, ys in zip(frame["x"], frame["y"], strict=True):
-                x, y = np.append(0.0, xs), np.append(0.0, ys)
-                at = np.arange(0.0, x[-1] + 1e-9, step_m)
-                done.append((at, interpolate(x, y, at)))
-            size = [len(at) for at, _ in done]
-            if done:
-                yield pd.DataFrame({
-                    "performance": np.repeat(frame["performance"], size), "document": np.repeat(frame["document"], size),
-                    "distance_m": np.concatenate([at for at, _ in done]), "time_s": np.concatenate([t for _, t in done]),
-                })
+            knots_of = frame["x"].map(len).to_numpy()
+            for n in np.unique(knots_of):
+                same = frame[knots_of == n]
+                zero = np.zeros((len(same), 1))
+                x, y = (np.hstack([zero, np.stack(same[c].to_list())]) for c in ("x", "y"))
+                count, at, values = interpolate_runs(x, y, step_m)
+                yield pd.DataFrame({"performance": np.repeat(same["performance"].to_numpy(), count), "document": np.repeat(same["document"].to_numpy(), count), "distance_m": at, "time_s": values})
 
     own = F.sort_array(F.collect_list(F.struct(F.col("distance_m").cast("double").alias("distance_m"), "time_s")))
     rows = knots(passings).groupBy("performance", "document").agg(own.alias("k")).select("performance", "document", F.col("k.distance_m").alias("x"), F.col("k.time_s").alias("y"))

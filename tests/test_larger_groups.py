@@ -129,6 +129,17 @@ def test_a_match_in_a_long_line(spark):
     assert time.time() - start < 30
 
 
+def test_runs_of_as_many_knots_are_as_each_alone():
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 3, 9):
+        x = np.hstack([np.zeros((50, 1)), 100.0 * np.cumsum(rng.integers(1, 4, (50, n)), axis=1)])
+        y = np.hstack([np.zeros((50, 1)), np.cumsum(rng.uniform(0.1, 60, (50, n)), axis=1)])
+        count, at, values = motion.interpolate_runs(x, y, 25.0)
+        each = [np.arange(0.0, r[-1] + 1e-9, 25.0) for r in x]
+        assert count.tolist() == [len(a) for a in each] and (at == np.concatenate(each)).all()
+        assert np.allclose(values, np.concatenate([motion.interpolate(a, b, p) for a, b, p in zip(x, y, each, strict=True)]), rtol=1e-12, atol=0)
+
+
 def test_gathered_lines_are_read_as_their_cells(spark):
     texts = [(0, 0, False, "Field | May 25, 2018"), (1, 0, False, "Friday 7:35 PM"), (2, 0, False, "Results: Women 800 M Cup (Finals)")]
     texts += [(3, i, True, t) for i, t in enumerate(("Pl", "Ln", "Athlete", "", "Affiliation", "Time", "400m", "800m"))]
