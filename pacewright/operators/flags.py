@@ -114,10 +114,15 @@ def finish_matches_result(x: Inputs) -> DataFrame:
     series = W.partitionBy("performance", "document")
     last = x.passings.withColumn("last", F.max("point").over(series)).where("point = last")
     both = last.join(x.runs.where("status <> 'dq'").select("performance", F.col("time_s").alias("finish_s")), "performance")
-    same = F.col("time_s") == F.col("finish_s")
-    if "scale" in both.columns:
-        same = same | F.coalesce(equal_printed(F.col("finish_s"), F.col("time_s"), F.col("scale")), F.lit(False))
-    return _split(both.where(F.col("finish_s").isNull() | ~same))
+    return _split(both.where(_off_result(both, "finish_s")))
+
+
+def _off_result(rows: DataFrame, result: str) -> Column:
+    """Whether a time isn't the official one, in the decimals that are printed if there is a ``scale``."""
+    same = F.col("time_s") == F.col(result)
+    if "scale" in rows.columns:
+        same = same | F.coalesce(equal_printed(F.col(result), F.col("time_s"), F.col("scale")), F.lit(False))
+    return F.col(result).isNull() | ~same
 
 
 @check("segment-matches-passings", "error", True, "consistency", ("stretches",))
@@ -141,6 +146,21 @@ def segment_matches_passings(x: Inputs) -> DataFrame:
     return wrong.select("performance", "document", F.col("end_m").cast("long").alias("point"), F.lit("segment").alias("field"))
 
 
+def _with_official_end(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``last``, finish_m and finish_s, where the official finish stands for a series' own last point; its point is null then."""
+    ends = F.col("finish_s").isNotNull() & (F.col("point") == F.col("last"))
+    there = rows.where(F.col("finish_s").isNull() | (F.col("point") <= F.col("last")))
+    point, metres, seconds = F.when(~F.coalesce(ends, F.lit(False)), F.col("point")), F.when(ends, F.col("finish_m")).otherwise(F.col("distance_m")), F.when(ends, F.col("finish_s")).otherwise(F.col("time_s"))
+    return there.withColumns({"point": point, "distance_m": metres, "time_s": seconds})
+
+
+def _with_fast(points: DataFrame) -> DataFrame:
+    """``points`` with ``at``, the point of a stretch (that before, for an official finish), where it is covered faster than anyone runs."""
+    before = F.lag("point").over(W.partitionBy("performance", "document").orderBy("distance_m", F.asc_nulls_last("point")))
+    fast = (F.col("segment_s") > 0) & (F.col("segment_m") / F.col("segment_s") > FASTEST_MPS)
+    return with_segments(points.withColumn("before", before)).withColumn("at", F.when(fast, F.coalesce("point", "before")))
+
+
 @check("segment-speed", "error", True)
 def segment_speed(x: Inputs) -> DataFrame:
     """A stretch covered faster than anyone runs; stretches that take no time are another check's.
@@ -151,13 +171,27 @@ def segment_speed(x: Inputs) -> DataFrame:
     last = F.max("point").over(W.partitionBy("performance", "document"))
     official = x.runs.where("status = 'finished' and time_s is not null").select("performance", F.col("distance_m").alias("finish_m"), F.col("time_s").alias("finish_s"))
     rows = x.passings.withColumn("last", last).join(official, "performance", "left")
-    own = rows.where(F.col("finish_s").isNull() | (F.col("point") < F.col("last"))).select("performance", "document", "point", "distance_m", "time_s")
-    ends = rows.where(F.col("finish_s").isNotNull() & (F.col("point") == F.col("last")))
-    ends = ends.select("performance", "document", F.lit(None).cast("long").alias("point"), F.col("finish_m").alias("distance_m"), F.col("finish_s").alias("time_s"))
-    order = W.partitionBy("performance", "document").orderBy("distance_m", F.asc_nulls_last("point"))
-    points = with_segments(own.unionByName(ends)).withColumn("before", F.lag("point").over(order))
-    fast = points.where((F.col("segment_s") > 0) & (F.col("segment_m") / F.col("segment_s") > FASTEST_MPS))
-    return _split(fast.withColumn("point", F.coalesce("point", "before")).where("point is not null"))
+    return _split(_with_fast(_with_official_end(rows)).where("at is not null").withColumn("point", F.col("at")))
+
+
+def counts(x: Inputs) -> DataFrame:
+    """check_id, severity, flags, races: the findings of split-order, finish-matches-result and segment-speed, and the races they are in.
+
+    The three look at the same series beside the same results (one row for a performance), so one pass marks
+    a passing with all of them, and findings are summed within races before races are counted.
+    """
+    series = W.partitionBy("performance", "document")
+    rows = x.passings.withColumn("last", F.max("point").over(series)).withColumn("earlier", F.lag("time_s").over(series.orderBy("distance_m", "point")))
+    runs = x.runs.select("performance", "race", "status", F.col("distance_m").alias("finish_m"), F.col("time_s").alias("result_s"))
+    rows = rows.join(runs, "performance")
+    off = (F.col("point") == F.col("last")) & (F.col("status") != "dq") & _off_result(rows, "result_s")
+    rows = rows.withColumns({"split-order": F.col("time_s") <= F.col("earlier"), "finish-matches-result": off, "finish_s": F.when(F.col("status") == "finished", F.col("result_s"))})
+    rows = _with_fast(_with_official_end(rows)).withColumn("segment-speed", F.col("at").isNotNull())
+    ids = ["split-order", "segment-speed", "finish-matches-result"]
+    by_race = rows.groupBy("race").agg(*(F.count_if(F.col(f"`{k}`")).alias(k) for k in ids))
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("check_id"), F.lit(CHECKS[k].severity).alias("severity"), F.col(f"`{k}`").alias("n")) for k in ids)))
+    found = by_race.select("race", each.alias("of")).where("of.n > 0")
+    return found.groupBy("of.check_id", "of.severity").agg(F.sum("of.n").alias("flags"), F.count("race").alias("races"))
 
 
 def outlier_scores(x: Inputs) -> DataFrame:

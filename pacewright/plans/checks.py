@@ -94,8 +94,7 @@ def outlier_scores(spark, sf_dir):
 def flag_counts(spark, sf_dir):
     """Findings by check and severity, and the races they are in."""
     t = Tables(spark, sf_dir)
-    found = flags.run_checks(_inputs(t), ["split-order", "segment-speed", "finish-matches-result"])
-    return found.join(t.runs.select("performance", "race"), "performance").groupBy("check_id", "severity").agg(F.count("*").alias("flags"), F.count_distinct("race").alias("races"))
+    return flags.counts(flags.Inputs(t.passings, t.runs))
 
 
 @query("check_rank_order")
