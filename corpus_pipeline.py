@@ -17,9 +17,20 @@ from pacewright.llm.queries import TOKENIZER
 from pacewright.llm.scratch import Scratch
 from pacewright.llm.toxicity import train, without_toxic
 
+#: Rows of whole texts that go to Python at once. A batch stands several times in an executor's memory: in both Arrow buffers of a task and in its worker.
+BATCH_ROWS = 1000
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    """From now on the session's batches have ``BATCH_ROWS`` rows at most; a smaller number that is set stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without those that the toxicity score rejects, each by its own text."""
+    _in_small_batches(spark)
     return without_toxic(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
@@ -30,6 +41,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the least doc_id."""
+    _in_small_batches(spark)
     return without_copies(docs)
 
 
@@ -40,6 +52,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their pieces' ids, their number, and whether decoding gives the text back."""
+    _in_small_batches(spark)
     return encode(docs, TOKENIZER)
 
 

@@ -31,7 +31,7 @@ SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
 #: Remembered units of a worker (about 200 bytes each), in two generations.
-REMEMBERED_UNITS = 150_000
+REMEMBERED_UNITS = 60_000
 #: Remembered left pieces and right pieces of each: together at most some hundred thousand pairs that texts hold.
 LEFT_PIECES, RIGHT_PIECES = 4_000, 256
 #: What an unknown character costs beyond the worst piece of a unigram model.

@@ -21,3 +21,18 @@ def test_an_empty_table_and_null_ids_pass(spark, tables_dir):
         assert stage(spark, odd, tables_dir).count() == 1
     poor = spark.createDataFrame([(None, "a text that is too short", None, None, 3)], docs.schema)
     assert corpus_pipeline.quality_rules(spark, poor, tables_dir).count() == 0
+
+
+def test_texts_go_to_python_in_small_batches(spark, tables_dir):
+    key, docs = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.read.parquet(f"{tables_dir}/documents.parquet")
+    given = spark.conf.get(key)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.set(key, "10000")
+            stage(spark, docs.limit(0), tables_dir)
+            assert name in ("quality_rules", "decontamination") or int(spark.conf.get(key)) == corpus_pipeline.BATCH_ROWS, name
+        spark.conf.set(key, "10")
+        corpus_pipeline.encoding(spark, docs, tables_dir)
+        assert spark.conf.get(key) == "10"
+    finally:
+        spark.conf.set(key, given)
