@@ -7,7 +7,9 @@ whose best path in the tropical semiring is the encoding. In a unigram model an
 negated score of its piece. In a merge model (BPE) the state also holds the last piece, and an arc
 weighs nothing if merging the two pieces' characters by rank leaves just these two, and infinity
 otherwise: exactly one path has a finite weight, and it is the merges' result. No piece has the meta
-symbol after another character, so the lattice falls apart before every run of it: paths are found
+symbol after another character, and none has two characters side by side that are of different
+classes (in the given vocabulary letters of one script, signs, or a character by itself), so the
+lattice falls apart before every run of meta symbols and wherever the class changes: paths are found
 for such units and remembered.
 """
 
@@ -18,7 +20,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
+from itertools import repeat
 from math import inf
 from pathlib import Path
 
@@ -30,7 +32,7 @@ from pyspark.sql import types as T
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6
-#: Remembered units of a worker (about 200 bytes each), in two generations.
+#: Remembered units of a worker (about 170 bytes each), in two generations.
 REMEMBERED_UNITS = 60_000
 #: Remembered left pieces and right pieces of each: together at most some hundred thousand pairs that texts hold.
 LEFT_PIECES, RIGHT_PIECES = 4_000, 256
@@ -72,7 +74,8 @@ class Model:
     collapse: bool = True
 
     def __post_init__(self):
-        self.ids = {p: i for i, (p, _, kind) in enumerate(self.pieces) if kind in (NORMAL, USER)}
+        # inside, a space stands for the meta symbol, which keeps most texts at one byte a character
+        self.ids = {p.replace(SPACE, " "): i for i, (p, _, kind) in enumerate(self.pieces) if kind in (NORMAL, USER) and " " not in p}
         self.cost = {p: -self.pieces[i][1] for p, i in self.ids.items()}
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(self.pieces) if kind == BYTE}
         self.unknown = next((i for i, (*_, kind) in enumerate(self.pieces) if kind == UNKNOWN), 0)
@@ -83,10 +86,10 @@ class Model:
             for p in self.ids:
                 if len(p) > 1:
                     self._derive(p)
-        # every beginning of a piece, with the piece if it is one that merges can give
-        reachable = {p: p for p in self.ids if self.kind != BPE or len(p) == 1 or p in self.halves}
-        self.prefixes: dict[str, str | None] = {p[:k]: None for p in self.ids for k in range(1, len(p) + 1)} | reachable
-        self.units = _Memory(self._path, REMEMBERED_UNITS)
+        self.tree = self._tree()
+        self.cut = self._borders()
+        self.coded = {p: np.int32(i).tobytes() for p, i in self.ids.items()}
+        self.units = _Memory(self._code, REMEMBERED_UNITS)
         self.pairs = _Memory(lambda a: _Memory(lambda b: self._stay_apart(a, b), RIGHT_PIECES), LEFT_PIECES)
 
     @staticmethod
@@ -138,79 +141,109 @@ class Model:
             else:
                 limit, b = float(np.nextafter(of_b, inf)), self.halves[b][0]
 
-    def _arcs(self, unit: str, start: int) -> list[str]:
-        """The pieces from a position on, its character alone first (a piece or not)."""
-        get, end, n = self.prefixes.get, start + 1, len(unit)
-        found = [unit[start]]
-        seen = get(unit[start], "")
-        while seen != "" and end < n:
+    def _tree(self) -> dict[str, tuple]:
+        """The pieces as a tree of characters. A node holds the arcs on its way, the longest first and its first character alone (a piece or not) last, and the next nodes."""
+        reachable = {p: p for p in self.ids if self.kind != BPE or len(p) == 1 or p in self.halves}
+        arcs: dict[str, tuple[str, ...]] = {}
+        for p in self.ids:
+            own = arcs.setdefault(p[0], (reachable.get(p[0], p[0]),))
+            for k in range(2, len(p) + 1):
+                head = p[:k]
+                known = arcs.get(head)
+                if known is None:
+                    known = arcs[head] = (reachable[head], *own) if head in reachable else own
+                own = known
+        none, inner = {}, {"": {}}
+        for head in sorted(arcs, key=len, reverse=True):
+            inner.setdefault(head[:-1], {})[head[-1]] = (arcs[head], inner.pop(head, none))
+        return inner[""]
+
+    def _borders(self) -> re.Pattern:
+        """The units of a normalised text: spaces with the run of one class behind them. Characters side by side in a piece are of one class."""
+        classes: dict[str, set[str]] = {}
+        for a, b in {pair for p in map(str.lstrip, self.ids, repeat(" ")) for pair in zip(p, p[1:])}:
+            joined = classes.get(a, {a}) | classes.get(b, {b})
+            classes |= dict.fromkeys(joined, joined)
+        runs = sorted({id(x): x for x in classes.values()}.values(), key=len, reverse=True)
+        either = [f"[{''.join(map(re.escape, sorted(x)))}]+" for x in runs]
+        return re.compile(f" *(?:{'|'.join([*either, '[^ ]'])})| +")
+
+    def _arcs(self, unit: str, start: int) -> tuple[str, ...]:
+        """The pieces from a position on, the longest first, its character alone (a piece or not) last."""
+        arcs, nodes, n = None, self.tree, len(unit)
+        end = start
+        while end < n:
+            node = nodes.get(unit[end])
+            if node is None:
+                break
+            arcs, nodes = node
             end += 1
-            seen = get(unit[start:end], "")
-            if seen:
-                found.append(seen)
-        return found
+        return arcs or (unit[start],)
 
-    def _path(self, unit: str) -> tuple[int, ...]:
-        """The ids on the best path through the lattice of one unit."""
+    def _path(self, unit: str) -> list[str]:
+        """The best path through the lattice of one unit: its pieces, and characters without one."""
         n = len(unit)
-        last: list[str] = [""] * (n + 1)
         if self.kind == BPE:
             # a position has one state that a finite path reaches, so none is entered twice; the longest arc goes first
-            open_, start, end, pairs = [], 0, -1, self.pairs
-            while end < n:
-                if end:
-                    start = max(0, end)
-                    open_.append((start, self._arcs(unit, start), pairs[last[start]] if start else None))
-                end = 0
-                start, arcs, apart = open_[-1]
-                while arcs:
-                    piece = arcs.pop()
-                    reached = start + len(piece)
-                    if not last[reached] and (apart is None or apart[piece]):
-                        last[reached] = piece
-                        end = reached
-                        break
-                else:
-                    open_.pop()
-        else:
-            best = [0.0] + [inf] * n
-            for start in range(n):
-                for piece in self._arcs(unit, start):
-                    end = start + len(piece)
-                    weight = best[start] + self.cost.get(piece, self.worst)
-                    if weight < best[end]:
-                        best[end], last[end] = weight, piece
-        path, end = [], len(unit)
+            open_, entered, start, apart = [], bytearray(n + 1), 0, None
+            while start < n:
+                arcs = iter(self._arcs(unit, start))
+                while True:
+                    for piece in arcs:
+                        end = start + len(piece)
+                        if not entered[end] and (apart is None or apart[piece]):
+                            break
+                    else:
+                        _, start, arcs, apart = open_.pop()
+                        continue
+                    break
+                open_.append((piece, start, arcs, apart))
+                entered[end] = 1
+                start, apart = end, self.pairs[piece]
+            return [piece for piece, *_ in open_]
+        last = [""] * (n + 1)
+        best = [0.0] + [inf] * n
+        for start in range(n):
+            for piece in reversed(self._arcs(unit, start)):
+                end = start + len(piece)
+                weight = best[start] + self.cost.get(piece, self.worst)
+                if weight < best[end]:
+                    best[end], last[end] = weight, piece
+        path, end = [], n
         while end:
-            piece = last[end]
-            end -= len(piece)
-            if piece in self.ids:
-                path.append(self.ids[piece])
-            elif len(self.bytes) == 256:
-                path += [self.bytes[x] for x in reversed(piece.encode())]
-            else:
-                path.append(self.unknown)
-        return tuple(reversed(path))
+            path.append(last[end])
+            end -= len(last[end])
+        return path[::-1]
+
+    def _code(self, unit: str) -> bytes:
+        """The ids of one unit, as 32-bit integers."""
+        coded = self.coded.get
+        return b"".join([coded(piece) or self._spelled(piece) for piece in self._path(unit)])
+
+    def _spelled(self, character: str) -> bytes:
+        """The ids of a character without a piece."""
+        if len(self.bytes) < 256:
+            return np.int32(self.unknown).tobytes()
+        return np.array([self.bytes[x] for x in character.replace(" ", SPACE).encode()], np.int32).tobytes()
 
     # composition with a text
 
     def normalise(self, text: str) -> str:
         if self.collapse:
             text = re.sub(" +", " ", text.strip(" "))
-        return (SPACE if self.dummy_prefix and text else "") + text.replace(" ", SPACE)
+        return (" " if self.dummy_prefix and text else "") + text.replace(SPACE, " ")
 
     def encode(self, text: str) -> list[int]:
-        units = _UNIT.findall(self.normalise(text))
-        return list(chain.from_iterable(map(self.units.__getitem__, units)))
+        return self.encoded(text).tolist()
+
+    def encoded(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.units.__getitem__, self.cut.findall(self.normalise(text)))), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if self.dummy_prefix and text[:1] == " " else text
 
 
-_UNIT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-
-
 class _Memory(dict):
     """Results by key, in two generations of ``size``: when the young one is full it becomes the old one, whose keys in use come back."""
 
@@ -253,9 +286,9 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
                 part = batch.slice(lo, 500)
                 ids, same = [], []
                 for text in part.column(at).to_pylist():
-                    own = model.encode(text or "")
-                    same.append(model.decode(own) == (text or ""))
-                    ids.append(np.array(own, np.int32))
+                    own = model.encoded(text or "")
+                    same.append(model.decode(own.tolist()) == (text or ""))
+                    ids.append(own)
                 offsets = np.zeros(len(ids) + 1, np.int32)
                 np.cumsum([len(x) for x in ids], out=offsets[1:])
                 lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))

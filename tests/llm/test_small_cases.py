@@ -8,6 +8,7 @@ import random
 import re
 import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -221,6 +222,27 @@ def test_pieces_unigram_path_is_the_best_one():
         assert "".join(found) == "▁" + text and math.isclose(sum(own[p] for p in found), best("▁" + text))
 
 
+def test_pieces_find_no_path_anew_where_only_signs_differ():
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=TOKENIZER)
+    model = pieces.Model.parse(Path(TOKENIZER).read_bytes())
+    words = ["thstion", "ofonleer", "erhrwo", "слово", "keitbeung"]
+    signs = ["", ".", ",", "!!", "***", ")", ".\n", "7", "数据", "🙂"]
+    text = " ".join(w + s + v for w in words for s in signs for v in words)
+    assert model.encode(text) == library.encode(text) and model.decode(model.encode(text)) == text
+    # a word at the beginning, a word behind a sign, two words with nothing between, and the signs
+    assert len(model.units) <= 2 * len(words) + len(words) ** 2 + 12
+
+
+def test_pieces_cut_only_where_no_piece_crosses():
+    own = {"▁": -3.0, "a": -2.0, "b": -2.0, "ab": -1.0, "▁a": -1.5, "1": -2.0, "b1": -1.2, ".": -2.2, "..": -2.3}
+    for kind in (pieces.UNIGRAM, pieces.BPE):
+        model = pieces.Model([("<unk>", 0.0, pieces.UNKNOWN), *((p, s, pieces.NORMAL) for p, s in own.items())], kind)
+        assert model.cut.findall(model.normalise("ab1..ba  é.▁")) == [" ab1", "..", "ba", " é", ".", " "] and model.cut.findall("   ") == ["   "]
+    assert [model.pieces[i][0] for i in model.encode("ab1..b1é b")] == ["▁", "ab", "1", "..", "b1", "<unk>", "▁", "b"]
+
+
 # licences
 
 
