@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pacewright.functions.once import with_value
+
 _CLOCK = r"^(?:(?:(\d+):)?([0-5]?\d):([0-5]?\d(?:\.\d{1,3})?)|(\d+(?:\.\d{1,3})?))$"
+_LINE_ENDS = "\n\r\u0085\u2028\u2029"
 DECIMAL = "decimal(18,3)"
 
 
 def elapsed(text: Column) -> Column:
     """h:m:s, m:s or s as decimal seconds; null for anything else, and for more seconds than the type holds."""
-    part = lambda i: F.coalesce(F.nullif(F.regexp_extract(text, _CLOCK, i), F.lit("")), F.lit("0"))
-    value = part(1).try_cast(DECIMAL) * 3600 + part(2).cast("int") * 60 + part(3).cast(DECIMAL) + part(4).try_cast(DECIMAL)
-    return F.when(text.rlike(_CLOCK), value.try_cast(DECIMAL))
+    tail = F.substring_index(text, ":", -2)
+    hours = F.when(tail != text, F.substring_index(text, ":", 1).try_cast(DECIMAL)).otherwise(F.lit(0).cast(DECIMAL))
+    minutes = F.when(text.contains(":"), F.substring_index(tail, ":", 1).try_cast("int")).otherwise(0)
+    seconds = F.translate(F.substring_index(text, ":", -1), _LINE_ENDS, "").try_cast(DECIMAL)  # the pattern allows a line's end behind the time
+    return F.when(text.rlike(_CLOCK), (hours * 3600 + minutes * 60 + seconds).try_cast(DECIMAL))
 
 
 def precision(text: Column) -> Column:
@@ -43,7 +48,7 @@ def refines(finer: Column, coarser: Column) -> Column:
 def weekday_in(first: Column, last: Column, weekday: Column) -> Column:
     """The only day of a range on a weekday (1 Sunday to 7 Saturday); null if none or several."""
     days = F.filter(F.sequence(first, last), lambda d: F.dayofweek(d) == weekday)
-    return F.when(F.size(days) == 1, days[0])
+    return with_value(days, lambda found: F.when(F.size(found) == 1, F.get(found, F.lit(0))))
 
 
 def laps_left(distance: Column, done: Column, lap: int = 400) -> Column:
