@@ -153,10 +153,14 @@ def read_tiers(words: DataFrame, races: DataFrame, timed: DataFrame, results: Da
     lines = lines.withColumn("tier", (F.col("begun") + F.coalesce(F.last("moved", ignorenulls=True).over(so_far), F.lit(-1))).cast("int"))
     wrong = F.when((F.col("ranked") > 0) & ~F.col("cumulative"), "a line has times with and without ranks").when(F.col("tier") >= F.col("n_tiers"), "more lines than tiers")
 
-    # Each value beside the labels of its tier, of which the nearest is its own.
-    values = lines.select("doc", "athlete", "line", "tier", "cumulative", wrong.alias("wrong"), F.explode_outer("values").alias("v"))
-    far = F.abs(F.col("v.centre") - F.col("x"))
-    met = values.join(labels, ["doc", "tier"], "left").groupBy("doc", "athlete", "line", "v", "cumulative", "wrong").agg(F.min(F.struct(far.alias("far"), "place", "metres", "finish", "since", "reach")).alias("p"))
+    # Each value beside the labels of its tier, of which the nearest is its own. A document's labels come as one map by tier, so the join
+    # is by document, as all else is, and nothing is shuffled for it.
+    label = F.struct("place", "metres", "finish", "since", "reach", "x")
+    by_tier = labels.groupBy("doc", "tier").agg(F.collect_list(label).alias("labels")).groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("tier", "labels"))).alias("by_tier"))
+    values = lines.join(by_tier, "doc", "left").select("doc", "athlete", "line", "cumulative", wrong.alias("wrong"), F.try_element_at("by_tier", F.col("tier")).alias("near"), F.array_distinct("values").alias("values"))
+    values = values.select("doc", "athlete", "line", "cumulative", "wrong", "near", F.explode_outer("values").alias("v"))
+    beside = lambda p: F.struct(F.abs(F.col("v.centre") - p["x"]).alias("far"), *(p[c].alias(c) for c in ("place", "metres", "finish", "since", "reach")))
+    met = values.withColumn("p", F.array_min(F.transform("near", beside))).drop("near")
     stray = F.when(F.col("p.far") > F.col("p.reach"), F.concat("v.text", F.lit(" is below no label")))
     met = met.withColumn("error", F.coalesce("wrong", stray))
     same = F.count(F.when(F.col("error").isNull() & F.col("v").isNotNull(), 1)).over(W.partitionBy("doc", "athlete", "cumulative", "p.place"))
